@@ -16,15 +16,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _PREFIX = r"(?iudU)\A(?:"
+_CASE_SENSITIVE = r"(?dU)\A(?:"
 _NAMED_GROUP = r"(?<!\\)\(\?P<"
 _NAMED_REFERENCE = r"(?<!\\)\(\?P=(\w+)\)"
 
 
-def anchored(pattern: str) -> str:
+def anchored(pattern: str, prefix: str = _PREFIX) -> str:
     """The Java form of a start-anchored pattern."""
     pattern = re.sub(_NAMED_GROUP, "(?<", pattern)
     pattern = re.sub(_NAMED_REFERENCE, r"\\k<\1>", pattern)
-    return f"{_PREFIX}{pattern})"
+    return f"{prefix}{pattern})"
 
 
 def anchored_column(pattern: Column) -> Column:
@@ -49,9 +50,9 @@ def title_matches_column(title: Column, pattern: Column) -> Column:
     return F.call_function("rlike", title, anchored_column(pattern))
 
 
-def topic_matches(topic: Column, pattern: Column) -> Column:
+def topic_matches(topic: Column, pattern: str) -> Column:
     """Topic patterns of subscriptions: anchored at the start, case-sensitive."""
-    return F.call_function("rlike", topic, F.concat(F.lit(r"\A(?:"), pattern, F.lit(")")))
+    return topic.rlike(anchored(pattern, _CASE_SENSITIVE))
 
 
 def is_valid_pattern(pattern: Column) -> Column:
@@ -65,10 +66,3 @@ def is_valid_pattern(pattern: Column) -> Column:
     plain = F.regexp_replace(pattern, _NAMED_GROUP, "(?<")
     plain = F.regexp_replace(plain, _NAMED_REFERENCE, r"\\k<$1>")
     return pattern.isNotNull() & compiles(plain) & compiles(anchored_column(pattern))
-
-
-def matched_patterns(title: Column, patterns: Sequence[str]) -> Column:
-    """Positions of all matching patterns: each pattern is tested once per title."""
-    return F.array_compact(
-        F.array(*[F.when(title_matches(title, p), F.lit(i)) for i, p in enumerate(patterns)])
-    ) if patterns else F.array().cast("array<int>")

@@ -52,7 +52,7 @@ def field(value: Column, path: str, type_: str = "variant") -> Column:
 
 def root_kind(text: Column) -> Column:
     """First significant character of a JSON text: ``{`` object, ``[`` array."""
-    return F.substring(F.regexp_replace(text, r"\A[ \t\r\n]+", ""), 1, 1)
+    return F.substring(F.ltrim(text, F.lit(" \t\r\n")), 1, 1)
 
 
 def utf8_text(data: Column) -> Column:

@@ -33,7 +33,7 @@ def delivery_rounds(
     ``chunk`` offsets, and chunk totals carry over, so no task holds a whole partition.
     """
     marked = df.withColumn("passes", F.coalesce(passes, F.lit(False))).withColumn(
-        "_chunk", F.floor(F.col("offset") / F.lit(chunk))
+        "_chunk", F.expr(f"`offset` div {chunk}")
     )
     passing = F.col("passes").cast("long")
     in_chunk = (
@@ -52,7 +52,7 @@ def delivery_rounds(
     return (
         marked.withColumn("_before", before)
         .join(carried, [*by, "_chunk"])
-        .withColumn("round", F.floor((F.col("_before") + F.col("_carried")) / F.lit(c)) + 1)
+        .withColumn("round", F.expr(f"(_before + _carried) div {c} + 1"))
         .select(*df.columns, "passes", "round")
     )
 
@@ -114,7 +114,7 @@ def delivery_outcome(
     ending attempt the status is UNKNOWN. Attempts are first reduced in spans of
     ``width``, so an event with very many of them is spread over tasks.
     """
-    span = F.floor((F.col("attempt") - 1) / F.lit(width))
+    span = F.expr(f"(attempt - 1) div {width}")
     ended = F.col("status").isNotNull()
     within = Window.partitionBy(*key, "_span")
     spans = (

@@ -7,11 +7,9 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postroad.functions.match import (
-    matched_patterns,
-    title_matches_any,
-    title_matches_column,
-)
+from postroad.functions.arrays import present
+from postroad.functions.match import title_matches, title_matches_any, title_matches_column
+from postroad.functions.strict_json import evaluate_once
 from postroad.operators.lookup import rows_within
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -51,38 +49,46 @@ def transform_chain(df: DataFrame, transforms: Iterable[Transform]) -> DataFrame
     return df
 
 
-def story_filter(fanned: DataFrame, stories: DataFrame, max_patterns: int = 400) -> DataFrame:
-    """Per-story include and exclude lists on events that carry their story's lists.
+def _story_patterns(stories: DataFrame, max_patterns: int) -> list[str] | None:
+    """Different patterns of all stories, or None if there are too many for literals."""
+    empty = F.array().cast("array<string>")
+    lists = F.concat(F.coalesce("include", empty), F.coalesce("exclude", empty))
+    rows = rows_within(stories.select(F.explode(lists).alias("pattern")).distinct(), max_patterns)
+    return rows and sorted(r.pattern for r in rows)
 
-    ``fanned`` has ``include`` and ``exclude`` array columns (see `story_fanout`). Up to
-    ``max_patterns`` different patterns are tested as literals; beyond that they are
-    taken from the row, which is slower and gives the same rows.
+
+def with_title_hits(
+    events: DataFrame, stories: DataFrame, max_patterns: int = 400
+) -> tuple[DataFrame, list[str] | None]:
+    """Add ``_hits``, the patterns of any story that match the title.
+
+    Each pattern is tested once per event, as a literal, however many stories share it.
+    With more than ``max_patterns`` patterns the events stay as they are, and None is
+    given in place of the patterns.
     """
-    lists = F.concat(
-        F.coalesce("include", F.array().cast("array<string>")),
-        F.coalesce("exclude", F.array().cast("array<string>")),
-    )
-    patterns = rows_within(
-        stories.select(F.explode(lists).alias("pattern")).distinct(), max_patterns
-    )
-    title = F.col("title")
+    patterns = _story_patterns(stories, max_patterns)
     if patterns is None:
-        def any_match(listed: str) -> Column:
-            return F.exists(listed, lambda p: title_matches_column(title, p))
-    else:
-        known = sorted(r.pattern for r in patterns)
-        if not known:
-            return fanned
-        names = F.array(*[F.lit(p) for p in known])
-        hits = F.transform(matched_patterns(title, known), lambda i: F.get(names, i))
-        fanned = fanned.withColumn("_hits", hits)
-
-        def any_match(listed: str) -> Column:
-            return F.arrays_overlap(F.col(listed), F.col("_hits"))
+        return events, None
+    names = [(title_matches(F.col("title"), p), F.lit(p)) for p in patterns]
+    hits = present(names) if names else F.array()
+    return evaluate_once(events, _hits=hits.cast("array<string>")), patterns
+
+
+def story_filter(fanned: DataFrame, patterns: list[str] | None) -> DataFrame:
+    """Per-story include and exclude lists, on events that carry their story's lists.
+
+    Takes ``_hits`` and ``patterns`` from `with_title_hits`. Without them the patterns
+    are taken from the row, which is slower and gives the same rows.
+    """
 
     def is_set(listed: str) -> Column:
         return F.coalesce(F.size(listed), F.lit(0)) > 0
 
+    def any_match(listed: str) -> Column:
+        if patterns is None:
+            return F.exists(listed, lambda p: title_matches_column(F.col("title"), p))
+        return F.arrays_overlap(F.col(listed), F.col("_hits"))
+
     kept = fanned.where(
         (~is_set("include") | any_match("include")) & ~(is_set("exclude") & any_match("exclude"))
     )

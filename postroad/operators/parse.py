@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad import schema
+from postroad.functions.arrays import present
 from postroad.functions.strict_json import (
     evaluate_once,
     field,
@@ -24,14 +25,14 @@ RELATED = ["actor", "object", "target"]
 
 
 def bad_fields(value: Column) -> Column:
-    """Names of required fields that are absent or not JSON strings."""
-    return F.array_compact(
-        F.array(*[F.when(~is_json_string(field(value, f"$.{f}")), F.lit(f)) for f in REQUIRED])
+    """Names of required fields that are absent or not JSON strings; ``""`` without any."""
+    return F.concat_ws(
+        ", ", *[F.when(~is_json_string(field(value, f"$.{f}")), F.lit(f)) for f in REQUIRED]
     )
 
 
 def validate_envelope(df: DataFrame, value: str, out: str = "bad_fields") -> DataFrame:
-    """Add the list of required fields that are missing or of a wrong type."""
+    """Add the names of the required fields that are missing or of a wrong type."""
     return df.withColumn(out, bad_fields(F.col(value)))
 
 
@@ -40,15 +41,11 @@ def extra_map(value: Column) -> Column:
 
     Null without any. An ``id`` that is not a string is kept as JSON text.
     """
-    entries = F.array_compact(
-        F.array(*[
-            F.when(
-                field(value, f"$.{name}.id").isNotNull(),
-                F.struct(F.lit(f"{name}_id"), field(value, f"$.{name}.id", "string")),
-            )
-            for name in RELATED
-        ])
-    )
+    ids = {f"{name}_id": f"$.{name}.id" for name in RELATED}
+    entries = present([
+        (field(value, path).isNotNull(), F.struct(F.lit(key), field(value, path, "string")))
+        for key, path in ids.items()
+    ])
     return F.when(F.size(entries) > 0, F.map_from_entries(entries))
 
 
@@ -119,7 +116,7 @@ def _examined_bodies(df: DataFrame, body: str) -> DataFrame:
     staged = evaluate_once(parsed.withColumn("_kind", kind), _elements=elements)
     faults = F.filter(
         F.transform("_elements", lambda v, i: F.struct(i.alias("pos"), bad_fields(v).alias("bad"))),
-        lambda e: F.size(e["bad"]) > 0,
+        lambda e: e["bad"] != "",
     )
     staged = evaluate_once(staged, _fault=F.get(faults, F.lit(0)))
     error_kind = (
@@ -134,11 +131,7 @@ def _examined_bodies(df: DataFrame, body: str) -> DataFrame:
         .when(F.size("_elements") == 0, schema.EMPTY_BODY)
         .when(
             F.col("_fault").isNotNull(),
-            F.format_string(
-                "element %d: not a string: %s",
-                F.col("_fault.pos"),
-                F.array_join("_fault.bad", ", "),
-            ),
+            F.format_string("element %d: not a string: %s", "_fault.pos", "_fault.bad"),
         )
     )
     return staged.select(
@@ -194,9 +187,9 @@ def _examined_messages(df: DataFrame) -> DataFrame:
         (F.col("_value").isNull(), "NOT_JSON", F.lit(schema.NOT_JSON)),
         (~is_object, "NOT_AN_EVENT", F.lit(schema.NOT_AN_EVENT)),
         (
-            F.size("_bad") > 0,
+            F.col("_bad") != "",
             "BAD_EVENT",
-            F.concat(F.lit("not a string: "), F.array_join("_bad", ", ")),
+            F.concat(F.lit("not a string: "), F.col("_bad")),
         ),
         (
             F.col("key").isNotNull() & F.col("_key").isNull(),

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from itertools import islice
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postroad.functions.match import title_matches, title_matches_column, topic_matches
+from postroad.functions.arrays import present
+from postroad.functions.match import title_matches, topic_matches
+from postroad.operators.filters import story_filter, with_title_hits
 from postroad.operators.lookup import MAX_BROADCAST_ROWS, lookup_join, rows_within
 
 Rules = Sequence[tuple[str, str]]  # (topic, pattern), first match wins
@@ -51,6 +55,13 @@ def ordered_rules(rules: DataFrame, max_rules: int = MAX_LITERAL_RULES) -> Rules
     return rows and [(r.topic, r.pattern) for r in sorted(rows, key=lambda r: r["rank"])]
 
 
+def _rule_blocks(rules: DataFrame, size: int) -> Iterator[Rules]:
+    """The rules in order, in blocks that each fit one expression."""
+    rows = dedupe_patterns(rules).orderBy("rank").toLocalIterator()
+    while block := list(islice(rows, size)):
+        yield [(r.topic, r.pattern) for r in block]
+
+
 def resolve_topic_table(
     df: DataFrame, rules: DataFrame, max_rules: int = MAX_LITERAL_RULES
 ) -> DataFrame:
@@ -74,20 +85,20 @@ def resolve_distinct_titles(
 ) -> DataFrame:
     """Resolve each distinct title once, then look the events' titles up.
 
-    Pays off for many rules and few titles. Rules beyond ``max_rules`` are matched by a
-    join of titles and rules instead of literals.
+    Pays off for many rules and few titles. Rules are matched in blocks of
+    ``max_rules``; the first block with a match decides.
     """
     titles = df.select("title").where(F.col("title").isNotNull()).distinct()
-    listed = ordered_rules(rules, max_rules)
-    if listed is None:
-        resolved = (
-            titles.join(rules, title_matches_column(F.col("title"), F.col("pattern")))
-            .groupBy("title")
-            .agg(F.min_by("topic", "rank").alias("topic"))
-        )
-    else:
-        resolved = resolve_topic(titles, listed).where(F.col("topic").isNotNull())
-    return lookup_join(df, resolved, ["title"], "left", spread_by, max_rows=max_titles)
+    passes = [
+        resolve_topic(titles, block).withColumn("_block", F.lit(i))
+        for i, block in enumerate(_rule_blocks(rules, max_rules))
+    ] or [resolve_topic(titles, []).withColumn("_block", F.lit(0))]
+    resolved = reduce(DataFrame.union, passes).where(F.col("topic").isNotNull())
+    if len(passes) > 1:
+        resolved = resolved.groupBy("title").agg(F.min_by("topic", "_block").alias("topic"))
+    return lookup_join(
+        df, resolved.select("title", "topic"), ["title"], "left", spread_by, max_rows=max_titles
+    )
 
 
 def unrouted_events(df: DataFrame) -> DataFrame:
@@ -98,14 +109,19 @@ def unrouted_events(df: DataFrame) -> DataFrame:
     })
 
 
-def subscriptions(topics: DataFrame, stories: DataFrame) -> DataFrame:
-    """``(topic, story_id)`` pairs: by topic list, or by topic pattern over ``topics``."""
-    listed = stories.select("story_id", F.explode("topics").alias("topic"))
-    patterned = stories.where(F.col("topic_pattern").isNotNull()).select("story_id", "topic_pattern")
-    matched = topics.select("topic").distinct().join(
-        patterned, topic_matches(F.col("topic"), F.col("topic_pattern"))
-    )
-    return listed.union(matched.select("story_id", "topic")).distinct()
+def subscriptions(topics: DataFrame, stories: DataFrame, block: int = 400) -> DataFrame:
+    """``(topic, story_id)`` pairs: by topic list, or by topic pattern over ``topics``.
+
+    Patterns become literals, in blocks that each fit one expression.
+    """
+    pairs = stories.select("story_id", F.explode("topics").alias("topic"))
+    names = topics.select("topic").distinct()
+    patterned = stories.select("story_id", "topic_pattern").where("topic_pattern is not null")
+    rows = patterned.toLocalIterator()
+    while found := list(islice(rows, block)):
+        hits = present([(topic_matches(F.col("topic"), r.topic_pattern), F.lit(r.story_id)) for r in found])
+        pairs = pairs.union(names.select(F.explode(hits).alias("story_id"), "topic"))
+    return pairs.distinct()
 
 
 def story_fanout(
@@ -126,6 +142,18 @@ def story_fanout(
     )
 
 
+def story_events(
+    events: DataFrame,
+    stories: DataFrame,
+    topics: DataFrame | None = None,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
+    """`story_fanout`, then `story_filter`, with each title tested before the fan-out."""
+    tested, patterns = with_title_hits(events, stories)
+    fanned = story_fanout(tested, stories, events if topics is None else topics, spread_by)
+    return story_filter(fanned, patterns)
+
+
 def dispatch_to_sink(events: DataFrame, sinks: DataFrame) -> DataFrame:
     """Events of requests that name a sink, with the sink's parameters.
 

@@ -220,7 +220,7 @@ def validate_envelope(spark, events):
            ',"published":', if(event_id % 5 = 0, props, '""'), '}') as body""",
     )
     checked = parse.validate_envelope(with_variant(typed, F.col("body"), "v"), "v")
-    return checked.select("event_id", F.array_join("bad_fields", ",").alias("bad_fields"))
+    return checked.select("event_id", "bad_fields")
 
 
 @query("events")
@@ -294,9 +294,15 @@ def filter_documents(spark, documents):
 
 @query("events")
 def story_filter(spark, events):
-    stories = views.stories_table(spark)
-    fanned = routing.story_fanout(_log(events), stories)
-    return filters.story_filter(fanned, stories).select("story_id", "id", "title")
+    chosen = routing.story_events(_log(events), views.stories_table(spark))
+    return chosen.select("story_id", "id", "title")
+
+
+@query("events")
+def story_filter_large(spark, events):
+    """The way for pattern lists beyond the limit: patterns taken from the row."""
+    fanned = routing.story_fanout(_log(events), views.stories_table(spark))
+    return filters.story_filter(fanned, None).select("story_id", "id", "title")
 
 
 # --- routing ---------------------------------------------------------------------

@@ -351,7 +351,7 @@ ORACLES: dict[str, str] = {
           when 'NOT_AN_EVENT' then 'Invalid format of the event'
           when 'BAD_EVENT' then 'not a string: id, published' else 'not a string: key' end as error
         from faults where error_kind is not null""",
-    "validate_envelope": """select event_id, concat_ws(',', case when event_id % 3 <> 0 then 'id' end,
+    "validate_envelope": """select event_id, concat_ws(', ', case when event_id % 3 <> 0 then 'id' end,
         case when event_id % 4 = 0 then 'title' end, case when event_id % 5 = 0 then 'published' end)
         as bad_fields from events""",
     "extract_extra": """select event_id,
@@ -508,5 +508,6 @@ ORACLES: dict[str, str] = {
         from replayed r join outcome o on r.event_id = o.event_id""",
     "row_transform": f"""with {_LOG} select id, upper(title) as title from log where event_id % 2 = 0""",
 }
+ORACLES["story_filter_large"] = ORACLES["story_filter"]
 for _same in ("resolve_topic_table", "resolve_distinct_titles", "resolve_distinct_titles_large", "route_stream"):
     ORACLES[_same] = ORACLES["resolve_topic"]

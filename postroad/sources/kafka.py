@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postroad import schema
+from postroad.functions.match import topic_matches
 from postroad.functions.text import merge_options
 from postroad.operators.parse import to_kafka_records
 
@@ -77,7 +78,7 @@ def landed_log(
     log = reader.parquet(path)
     if topics:
         return log.where(F.col("topic").isin(list(topics)))
-    return log.where(F.col("topic").rlike(rf"\A(?:{topic_pattern})"))
+    return log.where(topic_matches(F.col("topic"), topic_pattern))
 
 
 def land_log(records: DataFrame, path: str) -> None:
