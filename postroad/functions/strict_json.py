@@ -1,8 +1,8 @@
 """Strict JSON parsing with native expressions.
 
 ``try_parse_json`` ignores text after the first value. Parsing ``[<text>,"<hash of the
-text>"]`` instead makes one parse enough: the array has exactly two elements and ends
-with the hash only if the text is one complete JSON value.
+text>"]`` instead makes one parse enough: the array is the value and the hash, and nothing
+else, only if the text is one complete JSON value.
 """
 
 from __future__ import annotations
@@ -21,19 +21,22 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
+def with_wrapped(df: DataFrame, text: Column) -> DataFrame:
+    """Add ``_wrapped``, the parsed pair of a text and its mark; null if it is not one
+    complete JSON value. The value itself is at ``$[0]``.
+    """
+    mark = F.hex(F.xxhash64(text))
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
+    parsed = evaluate_once(df, _parsed=pair, _mark=mark)
+    complete = (field(F.col("_parsed"), "$[1]", "string") == F.col("_mark")) & field(
+        F.col("_parsed"), "$[2]"
+    ).isNull()
+    return parsed.withColumn("_wrapped", F.when(complete, F.col("_parsed"))).drop("_parsed", "_mark")
+
+
 def with_variant(df: DataFrame, text: Column, out: str) -> DataFrame:
     """Add ``out``: the VARIANT of a strict JSON text, null if it is not one."""
-    mark = F.hex(F.xxhash64(text))
-    wrapped = F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]'))
-    pair = F.try_parse_json(wrapped).try_cast("array<variant>")
-    complete = (F.size("_pair") == 2) & (
-        F.try_variant_get(F.get("_pair", F.lit(1)), "$", "string") == F.col("_mark")
-    )
-    return (
-        evaluate_once(df, _pair=pair, _mark=mark)
-        .withColumn(out, F.when(complete, F.get("_pair", F.lit(0))))
-        .drop("_pair", "_mark")
-    )
+    return with_wrapped(df, text).withColumn(out, field(F.col("_wrapped"), "$[0]")).drop("_wrapped")
 
 
 def json_type(value: Column) -> Column:

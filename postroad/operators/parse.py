@@ -18,6 +18,7 @@ from postroad.functions.strict_json import (
     root_kind,
     utf8_text,
     with_variant,
+    with_wrapped,
 )
 
 REQUIRED = ["id", "title", "published"]
@@ -43,8 +44,8 @@ def extra_map(value: Column) -> Column:
     """
     ids = {f"{name}_id": f"$.{name}.id" for name in RELATED}
     entries = present([
-        (field(value, path).isNotNull(), F.struct(F.lit(key), field(value, path, "string")))
-        for key, path in ids.items()
+        (found.isNotNull(), F.struct(F.lit(key), field(found, "$", "string")))
+        for key, found in ((key, field(value, path)) for key, path in ids.items())
     ])
     return F.when(F.size(entries) > 0, F.map_from_entries(entries))
 
@@ -88,45 +89,47 @@ def _python_dumps_each(bodies: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield batch.map(texts)
 
 
-def payload_text(value: Column, exact: bool = False) -> Column:
-    """JSON text of an event, written anew.
+def payload_text(text: Column, exact: bool = False) -> Column:
+    """JSON text of an event.
 
-    Default: sorted keys, compact. ``exact``: key order kept, ``", "`` and ``": "``
-    as separators and ASCII escapes, through an Arrow batch function; ``value`` is
-    then the event's text rather than its VARIANT.
+    By default the received text as it stands: the same JSON value, with its own number
+    formats and key order. ``exact`` writes it anew, with ``", "`` and ``": "`` as
+    separators, ASCII escapes and no repeated keys, by an Arrow batch function.
     """
-    return _python_dumps(value) if exact else F.to_json(value)
+    return _python_dumps(text) if exact else text
 
 
-def _envelope(value: Column, payload: Column | None = None) -> dict[str, Column]:
+def _envelope(value: Column, payload: Column) -> dict[str, Column]:
     return {
         **{f: field(value, f"$.{f}", "string") for f in REQUIRED},
-        "payload": payload_text(value) if payload is None else payload,
+        "payload": payload,
         "extra": extra_map(value),
     }
 
 
 def _examined_bodies(df: DataFrame, body: str) -> DataFrame:
     """Add ``_elements`` and the fault of each body, without a shuffle."""
-    parsed = with_variant(df, F.col(body), "_value")
+    wrapped = F.col("_wrapped")
     kind = root_kind(F.col(body))
-    elements = F.when(kind == "[", F.col("_value").cast("array<variant>")).when(
-        kind == "{", F.array("_value")
+    elements = F.when(kind == "[", field(wrapped, "$[0]", "array<variant>")).when(
+        kind == "{", F.array(field(wrapped, "$[0]"))
+    )
+    staged = evaluate_once(
+        with_wrapped(df, F.col(body)), _elements=F.when(wrapped.isNotNull(), elements), _kind=kind
     )
-    staged = evaluate_once(parsed.withColumn("_kind", kind), _elements=elements)
     faults = F.filter(
         F.transform("_elements", lambda v, i: F.struct(i.alias("pos"), bad_fields(v).alias("bad"))),
         lambda e: e["bad"] != "",
     )
     staged = evaluate_once(staged, _fault=F.get(faults, F.lit(0)))
     error_kind = (
-        F.when(F.col("_value").isNull(), "NOT_JSON")
+        F.when(wrapped.isNull(), "NOT_JSON")
         .when(F.col("_elements").isNull(), "NOT_AN_EVENT")
         .when(F.size("_elements") == 0, "EMPTY_BODY")
         .when(F.col("_fault").isNotNull(), "BAD_ELEMENT")
     )
     error = (
-        F.when(F.col("_value").isNull(), schema.NOT_JSON)
+        F.when(wrapped.isNull(), schema.NOT_JSON)
         .when(F.col("_elements").isNull(), schema.NOT_AN_EVENT)
         .when(F.size("_elements") == 0, schema.EMPTY_BODY)
         .when(
@@ -145,19 +148,23 @@ def parse_request_bodies(
     """One row per event, with its place ``pos`` in the body.
 
     An object is one event, a list is its elements in order. Any fault rejects the
-    whole body (see `quarantine_bodies`). ``exact_payload``: see `payload_text`.
+    whole body (see `quarantine_bodies`). The payload is the body's own text for an
+    object, and compact JSON with sorted keys for an element of a list;
+    ``exact_payload``: see `payload_text`.
     """
     keep = [c for c in df.columns if c != body]
     good = _examined_bodies(df, body).where(F.col("error_kind").isNull())
-    payload = None
     if exact_payload:
         texts = good.withColumn("_texts", _python_dumps_each(F.col(body)))
-        good = texts.withColumn("_elements", F.arrays_zip("_elements", "_texts"))
-        events = good.select(*keep, F.posexplode("_elements").alias("pos", "_pair"))
-        events = events.withColumns({"_event": F.col("_pair._elements"), "_text": F.col("_pair._texts")})
-        payload = F.col("_text")
+        pairs = texts.select(
+            *keep, F.posexplode(F.arrays_zip("_elements", "_texts")).alias("pos", "_pair")
+        )
+        events = pairs.select("*", F.col("_pair._elements").alias("_event"))
+        payload = F.col("_pair._texts")
     else:
-        events = good.select(*keep, F.posexplode("_elements").alias("pos", "_event"))
+        own = good.withColumn("_text", F.when(F.col("_kind") == "{", F.col(body)))
+        events = own.select(*keep, "_text", F.posexplode("_elements").alias("pos", "_event"))
+        payload = F.coalesce("_text", F.to_json("_event"))
     columns = _envelope(F.col("_event"), payload)
     return events.select(*keep, "pos", *[c.alias(n) for n, c in columns.items()])
 
@@ -210,8 +217,7 @@ def parse_kafka_messages(df: DataFrame, exact_payload: bool = False) -> DataFram
     `payload_text`.
     """
     keep = [c for c in df.columns if c not in ("key", "value")]
-    payload = payload_text(F.col("_text"), exact=True) if exact_payload else None
-    columns = _envelope(F.col("_value"), payload)
+    columns = _envelope(F.col("_value"), payload_text(F.col("_text"), exact_payload))
     return (
         _examined_messages(df)
         .where(F.col("error_kind").isNull())
