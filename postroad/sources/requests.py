@@ -17,7 +17,7 @@ def request_bodies_source(
     """
     reader = spark.readStream if streaming else spark.read
     if format == "text":
-        files = reader.option("wholetext", True).text(path)
+        files = reader.text(path, wholetext=True)
         return files.select(
             F.col("_metadata.file_path").alias("request_id"),
             F.col("value").alias("body"),
