@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain, combinations
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad import schema
-from postroad.functions.arrays import present
 from postroad.functions.strict_json import (
     evaluate_once,
     field,
@@ -32,6 +34,11 @@ def bad_fields(value: Column) -> Column:
     )
 
 
+def is_event(value: Column) -> Column:
+    """True if all required fields are JSON strings."""
+    return reduce(and_, [is_json_string(field(value, f"$.{f}")) for f in REQUIRED])
+
+
 def validate_envelope(df: DataFrame, value: str, out: str = "bad_fields") -> DataFrame:
     """Add the names of the required fields that are missing or of a wrong type."""
     return df.withColumn(out, bad_fields(F.col(value)))
@@ -42,12 +49,15 @@ def extra_map(value: Column) -> Column:
 
     Null without any. An ``id`` that is not a string is kept as JSON text.
     """
-    ids = {f"{name}_id": f"$.{name}.id" for name in RELATED}
-    entries = present([
-        (found.isNotNull(), F.struct(F.lit(key), field(found, "$", "string")))
-        for key, found in ((key, field(value, path)) for key, path in ids.items())
-    ])
-    return F.when(F.size(entries) > 0, F.map_from_entries(entries))
+    ids = {name: field(value, f"$.{name}.id") for name in RELATED}
+    extra = F
+    # One map per set of ids that may be there: no intermediate arrays.
+    for size in range(len(RELATED), 0, -1):
+        for names in combinations(RELATED, size):
+            entries = [(F.lit(f"{name}_id"), field(ids[name], "$", "string")) for name in names]
+            found = reduce(and_, [ids[name].isNotNull() for name in names])
+            extra = extra.when(found, F.create_map(*chain.from_iterable(entries)))
+    return extra
 
 
 def extract_extra(df: DataFrame, value: str, out: str = "extra") -> DataFrame:
@@ -108,7 +118,7 @@ def _envelope(value: Column, payload: Column) -> dict[str, Column]:
 
 
 def _examined_bodies(df: DataFrame, body: str) -> DataFrame:
-    """Add ``_elements`` and the fault of each body, without a shuffle."""
+    """Add ``_elements``, ``_kind`` and ``error_kind`` of each body, without a shuffle."""
     wrapped = F.col("_wrapped")
     kind = root_kind(F.col(body))
     elements = F.when(kind == "[", field(wrapped, "$[0]", "array<variant>")).when(
@@ -117,29 +127,13 @@ def _examined_bodies(df: DataFrame, body: str) -> DataFrame:
     staged = evaluate_once(
         with_wrapped(df, F.col(body)), _elements=F.when(wrapped.isNotNull(), elements), _kind=kind
     )
-    faults = F.filter(
-        F.transform("_elements", lambda v, i: F.struct(i.alias("pos"), bad_fields(v).alias("bad"))),
-        lambda e: e["bad"] != "",
-    )
-    staged = evaluate_once(staged, _fault=F.get(faults, F.lit(0)))
     error_kind = (
         F.when(wrapped.isNull(), "NOT_JSON")
         .when(F.col("_elements").isNull(), "NOT_AN_EVENT")
         .when(F.size("_elements") == 0, "EMPTY_BODY")
-        .when(F.col("_fault").isNotNull(), "BAD_ELEMENT")
-    )
-    error = (
-        F.when(wrapped.isNull(), schema.NOT_JSON)
-        .when(F.col("_elements").isNull(), schema.NOT_AN_EVENT)
-        .when(F.size("_elements") == 0, schema.EMPTY_BODY)
-        .when(
-            F.col("_fault").isNotNull(),
-            F.format_string("element %d: not a string: %s", "_fault.pos", "_fault.bad"),
-        )
-    )
-    return staged.select(
-        "*", F.inline(F.array(F.struct(error_kind.alias("error_kind"), error.alias("error"))))
+        .when(~F.forall("_elements", is_event), "BAD_ELEMENT")
     )
+    return evaluate_once(staged, error_kind=error_kind).drop("_wrapped")
 
 
 def parse_request_bodies(
@@ -164,50 +158,46 @@ def parse_request_bodies(
     else:
         own = good.withColumn("_text", F.when(F.col("_kind") == "{", F.col(body)))
         events = own.select(*keep, "_text", F.posexplode("_elements").alias("pos", "_event"))
-        payload = F.coalesce("_text", F.to_json("_event"))
+        payload = F.coalesce("_text", F.col("_event").cast("string"))
     columns = _envelope(F.col("_event"), payload)
     return events.select(*keep, "pos", *[c.alias(n) for n, c in columns.items()])
 
 
 def quarantine_bodies(df: DataFrame, body: str = "body") -> DataFrame:
     """The bodies that `parse_request_bodies` rejects, with ``error_kind, error``."""
+    faults = F.filter(
+        F.transform("_elements", lambda v, i: F.struct(i.alias("pos"), bad_fields(v).alias("bad"))),
+        lambda e: e["bad"] != "",
+    )
+    first = F.get(faults, F.lit(0))
+    kind = F.col("error_kind")
+    error = (
+        F.when(kind == "NOT_JSON", schema.NOT_JSON)
+        .when(kind == "NOT_AN_EVENT", schema.NOT_AN_EVENT)
+        .when(kind == "EMPTY_BODY", schema.EMPTY_BODY)
+        .otherwise(F.format_string("element %d: not a string: %s", first["pos"], first["bad"]))
+    )
     return (
         _examined_bodies(df, body)
-        .where(F.col("error_kind").isNotNull())
-        .select(*df.columns, "error_kind", "error")
+        .where(kind.isNotNull())
+        .select(*df.columns, "error_kind", error.alias("error"))
     )
 
 
 def _examined_messages(df: DataFrame) -> DataFrame:
+    """Add ``_text``, ``_key``, ``_value`` and ``error_kind`` of each record."""
     staged = evaluate_once(
         df, _text=utf8_text(F.col("value")), _key=utf8_text(F.col("key"))
     )
     parsed = with_variant(staged, F.col("_text"), "_value")
-    parsed = evaluate_once(parsed, _bad=bad_fields(F.col("_value")))
-    is_object = root_kind(F.col("_text")) == "{"
-    checks = [
-        (
-            F.coalesce(F.octet_length("value"), F.lit(0)) == 0,
-            "EMPTY_VALUE",
-            F.lit(schema.EMPTY_VALUE),
-        ),
-        (F.col("_value").isNull(), "NOT_JSON", F.lit(schema.NOT_JSON)),
-        (~is_object, "NOT_AN_EVENT", F.lit(schema.NOT_AN_EVENT)),
-        (
-            F.col("_bad") != "",
-            "BAD_EVENT",
-            F.concat(F.lit("not a string: "), F.col("_bad")),
-        ),
-        (
-            F.col("key").isNotNull() & F.col("_key").isNull(),
-            "BAD_KEY",
-            F.lit("not a string: key"),
-        ),
-    ]
-    error_kind, error = F.when(F.lit(False), ""), F.when(F.lit(False), "")
-    for test, kind, text in checks:
-        error_kind, error = error_kind.when(test, kind), error.when(test, text)
-    return evaluate_once(parsed, error_kind=error_kind, error=error)
+    error_kind = (
+        F.when(F.coalesce(F.octet_length("value"), F.lit(0)) == 0, "EMPTY_VALUE")
+        .when(F.col("_value").isNull(), "NOT_JSON")
+        .when(root_kind(F.col("_text")) != "{", "NOT_AN_EVENT")
+        .when(~is_event(F.col("_value")), "BAD_EVENT")
+        .when(F.col("key").isNotNull() & F.col("_key").isNull(), "BAD_KEY")
+    )
+    return evaluate_once(parsed, error_kind=error_kind)
 
 
 def parse_kafka_messages(df: DataFrame, exact_payload: bool = False) -> DataFrame:
@@ -227,10 +217,18 @@ def parse_kafka_messages(df: DataFrame, exact_payload: bool = False) -> DataFram
 
 def quarantine_messages(df: DataFrame) -> DataFrame:
     """The records that `parse_kafka_messages` drops, with ``error_kind, error``."""
+    kind = F.col("error_kind")
+    error = (
+        F.when(kind == "EMPTY_VALUE", schema.EMPTY_VALUE)
+        .when(kind == "NOT_JSON", schema.NOT_JSON)
+        .when(kind == "NOT_AN_EVENT", schema.NOT_AN_EVENT)
+        .when(kind == "BAD_KEY", "not a string: key")
+        .otherwise(F.concat(F.lit("not a string: "), bad_fields(F.col("_value"))))
+    )
     return (
         _examined_messages(df)
-        .where(F.col("error_kind").isNotNull())
-        .select(*df.columns, "error_kind", "error")
+        .where(kind.isNotNull())
+        .select(*df.columns, "error_kind", error.alias("error"))
     )
 
 

@@ -714,7 +714,7 @@ def replay_events(spark, events):
     start, end = [F.lit(t).cast("timestamp") for t in (views.REPLAY_START, views.REPLAY_END)]
     sent = story.replay(
         _kafka_log(events), "http://example.invalid/", start, end, out, ScriptedSink(),
-        headers=["Accept=application/json;version=1"], sleep=_no_sleep,
+        headers=["Accept=application/json;version=1"], step=500, sleep=_no_sleep,
     )
     return report.replay_count(sent)
 

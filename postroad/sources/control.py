@@ -15,6 +15,7 @@ from postroad import schema
 from postroad.functions.match import is_valid_pattern
 from postroad.functions.strict_json import evaluate_once, field, is_json_string, with_variant
 from postroad.functions.text import group_id
+from postroad.operators.lookup import lookup_join
 
 
 def _strings(value: Column, path: str) -> Column:
@@ -81,7 +82,9 @@ def _number(value: Column, name: str, type_: str) -> Column:
     return F.nullif(field(value, f"$.{name}", "string"), F.lit("")).try_cast(type_)
 
 
-def _sink_columns(df: DataFrame, data: Column) -> tuple[DataFrame, dict[str, Column], Column]:
+def _sink_columns(
+    df: DataFrame, data: Column, defaults: bool = True
+) -> tuple[DataFrame, dict[str, Column], Column]:
     """Stage one sink text ``http#{json}``; give its parameter columns and its error."""
     parts = F.split(data, "#", 2)
     staged = evaluate_once(df, _type=F.get(parts, F.lit(0)), _json=F.get(parts, F.lit(1)))
@@ -99,6 +102,9 @@ def _sink_columns(df: DataFrame, data: Column) -> tuple[DataFrame, dict[str, Col
         "exp_backoff_factor": _number(value, "exp_backoff_factor", "double"),
         "exp_backoff_max_delay": _number(value, "exp_backoff_max_delay", "double"),
     }
+    if defaults:
+        for name, default in schema.SINK_DEFAULTS.items():
+            columns[name] = F.coalesce(columns[name], F.lit(default))
     error = (
         F.when(F.col("_json").isNull() | (F.col("_type") != "http"), "Invalid sink type")
         .when(value.isNull(), "sink parameters are not JSON")
@@ -116,10 +122,7 @@ def load_sinks(df: DataFrame, data: str = "data", defaults: bool = True) -> Data
     in parameters that are not given.
     """
     keep = [c for c in df.columns if c != data]
-    staged, columns, error = _sink_columns(df, F.col(data))
-    if defaults:
-        for name, value in schema.SINK_DEFAULTS.items():
-            columns[name] = F.coalesce(columns[name], F.lit(value))
+    staged, columns, error = _sink_columns(df, F.col(data), defaults)
     return staged.select(*keep, *[c.alias(n) for n, c in columns.items()], error.alias("error"))
 
 
@@ -234,4 +237,6 @@ def active_stories(stories: DataFrame, runners: DataFrame, project_id: str) -> D
         .select(F.explode("runners").alias("runner"))
         .distinct()
     )
-    return stories.where(F.col("status") == "NORMAL").join(chosen, "runner", "left_semi")
+    return lookup_join(
+        stories.where(F.col("status") == "NORMAL"), chosen, ["runner"], "left_semi", ["story_id"]
+    )

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from postroad import schema
 from postroad.functions.text import parse_headers
 from postroad.operators.delivery import committable_offsets, dead_letter_records, delivery_rounds
 from postroad.operators.filters import Transform, title_passes, transform_chain
@@ -102,7 +102,11 @@ def run_story(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, story, out, transport, **options)
+        batch.persist()  # several tables are written from one read of the source
+        try:
+            process_batch(batch, batch_id, story, out, transport, **options)
+        finally:
+            batch.unpersist()
 
     writer = (
         stream.writeStream.queryName(f"story-{story['story_id']}")
@@ -112,6 +116,37 @@ def run_story(
     return (writer.trigger(**trigger) if trigger else writer).start()
 
 
+def story_params(row: Row) -> dict[str, Any]:
+    """Parameters of `run_story` from a row of `load_stories`."""
+    sink = {k: row[k] for k in ("url", "method", "headers", *schema.SINK_DEFAULTS)}
+    return {"story_id": row.story_id, "sink": sink, "include": row.include, "exclude": row.exclude}
+
+
+def run_stories(
+    stories: DataFrame,
+    open_stream: Callable[[Row], DataFrame],
+    out: str,
+    checkpoint: str,
+    transport: Any = http_transport,
+    trigger: dict[str, Any] | None = None,
+    **options: Any,
+) -> list[StreamingQuery]:
+    """Start one query per usable story, each with its own tables, checkpoint and pool.
+
+    ``open_stream`` gives the stream of a story's row: by its topics or its pattern.
+    """
+    context = stories.sparkSession.sparkContext
+    running = []
+    for row in stories.where(F.col("error").isNull()).toLocalIterator():
+        context.setLocalProperty("spark.scheduler.pool", f"story-{row.story_id}")
+        running.append(run_story(
+            open_stream(row), story_params(row), f"{out}/{row.story_id}",
+            f"{checkpoint}/{row.story_id}", transport, trigger, **options,
+        ))
+    context.setLocalProperty("spark.scheduler.pool", None)
+    return running
+
+
 def replay(
     log: DataFrame,
     url: str,
@@ -120,20 +155,30 @@ def replay(
     out: str,
     transport: Any = http_transport,
     headers: Sequence[str] | None = None,
-    sleep: Callable[[float], None] = time.sleep,
+    step: int = 100_000,
     **delivery: Any,
 ) -> DataFrame:
     """Send a time range of a log to a sink; returns the written results.
 
+    The range is first written under ``out`` in steps of ``step`` offsets, and the steps
+    are sent one after the other. So a task never holds more than ``step`` records of a
+    partition, and a replay that is started again goes on after its last full step.
     Failures stay in the results and are not dead-lettered. Unparsable records go to a
     quarantine table and the replay goes on. ``headers`` are ``k=v`` texts.
     """
     spark = log.sparkSession
-    window = replay_window(log, start, end)
     sink: dict[str, Any] = {"url": url}
     if headers:
         sink["headers"] = parse_headers(headers)
-    sent = deliver(parse_kafka_messages(window), sink, transport, sleep=sleep, **delivery)
-    sent.write.parquet(f"{out}/results")
-    quarantine_messages(window).write.parquet(f"{out}/quarantine")
+    chosen_path = f"{out}/chosen"
+    if not _is_written(spark, chosen_path):
+        chosen = replay_window(log, start, end).withColumn("step", F.expr(f"`offset` div {step}"))
+        chosen.write.partitionBy("step").mode("overwrite").parquet(chosen_path)
+    chosen = spark.read.parquet(chosen_path)
+    quarantine_messages(chosen).write.mode("overwrite").parquet(f"{out}/quarantine")
+    for (number,) in chosen.select("step").distinct().orderBy("step").toLocalIterator():
+        path = f"{out}/results/step={number}"
+        if not _is_written(spark, path):
+            events = parse_kafka_messages(chosen.where(F.col("step") == number).drop("step"))
+            deliver(events, sink, transport, **delivery).write.mode("overwrite").parquet(path)
     return spark.read.parquet(f"{out}/results")

@@ -210,12 +210,62 @@ def test_replay(spark, tmp_path):
             json.dump(headers, f)
         return 200, "ok"
 
-    sent = story.replay(df, SINK["url"], F.timestamp_seconds(F.lit(5)), None, out, send, headers=["Accept=a=b"])
+    begin = F.timestamp_seconds(F.lit(5))
+    sent = story.replay(df, SINK["url"], begin, None, out, send, headers=["Accept=a=b"], step=6)
     assert report.replay_count(sent).first().total == 15
+    assert sorted(int(r.id) for r in sent.collect()) == list(range(5, 20))
     assert json.load(open(seen)) == {"Accept": "a=b"}
     assert spark.read.parquet(f"{out}/quarantine").count() == 1
 
 
+def test_replay_goes_on_after_a_failure(spark, tmp_path):
+    df = log(spark, [record("t", 0, i) for i in range(12)]).withColumn("timestamp", F.timestamp_seconds(F.col("offset")))
+    out, flag, sent = str(tmp_path / "out"), str(tmp_path / "up"), str(tmp_path / "sent")
+
+    class Fragile:
+        def send(self, method, url, headers, body, timeout):
+            n = json.loads(body)["id"]
+            if n == "7" and not os.path.exists(flag):
+                sys.exit("task lost")
+            with open(sent, "a") as f:
+                f.write(f"{n}\n")
+            return 200, "ok"
+
+    def start():
+        return story.replay(df, SINK["url"], F.timestamp_seconds(F.lit(0)), None, out, Fragile(), step=4)
+
+    with pytest.raises(Exception):
+        start()
+    open(flag, "w").close()
+    assert start().where("status = 'DONE'").count() == 12
+    assert [int(n) for n in open(sent)] == [0, 1, 2, 3, 4, 5, 6, 4, 5, 6, 7, 8, 9, 10, 11]
+
+
+def test_all_stories(spark, tmp_path):
+    rows = [record(f"t{i % 2}", 0, i, "user.a" if i % 3 else "msg.x") for i in range(24)]
+    path = str(tmp_path / "log")
+    kafka.land_log(log(spark, rows), path)
+    sink = 'http#{"uri":"http://example.invalid/","method":"post"}'
+    nodes = [
+        ("a", 'kafka#{"topics":["t0"]}', 'filter#{"event-name-white-list":["user"]}'),
+        ("b", 'kafka#{"topic-pattern":"t"}', None),
+        ("c", "file#{}", None),
+    ]
+    table = [(f"stories/{s}/{n}", d) for s, source, op in nodes for n, d in [("source", source), ("sink", sink), ("status", ""), ("operators", op)] if d is not None]
+    stories = control.load_stories(spark.createDataFrame(table, "path string, data string"), "relay", "p", "test")
+
+    def open_stream(row):
+        return kafka.landed_log(spark, path, row.topics, row.topic_pattern)
+
+    out = str(tmp_path / "out")
+    running = story.run_stories(stories, open_stream, out, f"{out}/checkpoints", lambda *_: (200, "ok"), {"availableNow": True})
+    for query in running:
+        query.awaitTermination()
+    results = spark.read.parquet(f"{out}/a/results", f"{out}/b/results").where("passes")
+    counts = {r.story_id: r.new for r in report.story_outcome_counts(results).collect()}
+    assert counts == {"a": 8, "b": 24}
+
+
 def test_rules_change_while_running(spark, tmp_path):
     snapshots = []
 
