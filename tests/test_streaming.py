@@ -261,7 +261,7 @@ def test_all_stories(spark, tmp_path):
     running = story.run_stories(stories, open_stream, out, f"{out}/checkpoints", lambda *_: (200, "ok"), {"availableNow": True})
     for query in running:
         query.awaitTermination()
-    results = spark.read.parquet(f"{out}/a/results", f"{out}/b/results").where("passes")
+    results = spark.read.parquet(f"{out}/a/results").union(spark.read.parquet(f"{out}/b/results")).where("passes")
     counts = {r.story_id: r.new for r in report.story_outcome_counts(results).collect()}
     assert counts == {"a": 8, "b": 24}
 
