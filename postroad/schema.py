@@ -78,6 +78,9 @@ SINK_DEFAULTS = {
 POLL_MAX_RECORDS = 100
 POLL_TIMEOUT_MS = 1000
 
+# Records per micro-batch, which takes the place of many polls.
+BATCH_MAX_RECORDS = 100_000
+
 # Messages of rejected records and requests.
 EMPTY_VALUE = "Message value must not be empty."
 NOT_JSON = "Request body must not an non-empty Json."

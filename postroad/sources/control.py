@@ -68,9 +68,10 @@ def current_rules(snapshots: DataFrame, by: Sequence[str] = (), data: str = "dat
     """Rules of the latest valid document; invalid or empty ones leave the old rules.
 
     ``snapshots`` has ``version`` and the document; ``by`` names columns that tell
-    independent rule sets apart.
+    independent rule sets apart. A document that comes back unchanged is examined once.
     """
-    valid = _examined_rules(snapshots, data).where("_valid")
+    texts = snapshots.groupBy(*by, data).agg(F.max("version").alias("version"))
+    valid = _examined_rules(texts, data).where("_valid")
     latest = valid.groupBy(*by).agg(
         F.max("version").alias("version"), F.max_by("_entries", "version").alias("_entries")
     )
@@ -142,14 +143,20 @@ def sink_entries(documents: DataFrame, data: str = "data") -> DataFrame:
 def current_sinks(snapshots: DataFrame, by: Sequence[str] = (), data: str = "data") -> DataFrame:
     """Latest usable entry of each sink: documents add and update, they do not remove.
 
-    A bad entry is skipped and leaves the older one in place.
+    A bad entry is skipped and leaves the older one in place. An entry that comes back
+    unchanged is examined once.
     """
-    good = load_sinks(sink_entries(snapshots, data), data).where(F.col("error").isNull()).drop("error")
-    params = [c for c in good.columns if c not in (*by, "sink_id", "version")]
-    latest = good.groupBy(*by, "sink_id").agg(
-        F.max("version").alias("version"), F.max_by(F.struct(*params), "version").alias("_sink")
+    texts = (
+        sink_entries(snapshots, data)
+        .groupBy(*by, "sink_id", data)
+        .agg(F.max("version").alias("version"))
     )
-    return latest.select(*by, "sink_id", "version", "_sink.*")
+    staged, _, error = _sink_columns(texts, F.col(data))
+    usable = evaluate_once(staged, _error=error).where(F.col("_error").isNull())
+    latest = usable.groupBy(*by, "sink_id").agg(
+        F.max("version").alias("version"), F.max_by(data, "version").alias(data)
+    )
+    return load_sinks(latest, data).drop("error")
 
 
 def load_stories(

@@ -29,7 +29,7 @@ def reader_options(
     subscribe = (
         {"subscribe": ",".join(topics)} if topics else {"subscribePattern": f"(?:{topic_pattern}).*"}
     )
-    defaults = {"startingOffsets": "latest", "maxOffsetsPerTrigger": schema.POLL_MAX_RECORDS}
+    defaults = {"startingOffsets": "latest", "maxOffsetsPerTrigger": schema.BATCH_MAX_RECORDS}
     return {**merge_options(defaults, options or {}), **subscribe}
 
 

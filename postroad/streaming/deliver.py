@@ -186,7 +186,9 @@ def deliver(
     rounds = "round" if ordered and "round" in events.columns else None
     if ordered:
         lead = [rounds] if rounds else []
-        events = events.repartition("topic", "partition").sortWithinPartitions(
+        # With a number, since adaptive execution would merge partitions that wait on a sink.
+        tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        events = events.repartition(tasks, "topic", "partition").sortWithinPartitions(
             *lead, "topic", "partition", "offset"
         )
 

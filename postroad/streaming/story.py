@@ -63,13 +63,15 @@ def process_batch(
             passes = F.col("_kept")
             events = kept.withColumn("_kept", F.lit(True)).unionByName(
                 dropped.withColumn("_kept", F.lit(False)), allowMissingColumns=True
-            )
+            ).persist()  # user code runs once
         # Filtered events take part in offset accounting; they are not sent.
         rounds = delivery_rounds(events, passes, story.get("concurrent", 1))
         sent = deliver(rounds, story["sink"], transport, **delivery)
         sent.withColumn("story_id", F.lit(story["story_id"])).write.mode("overwrite").parquet(
             results_path
         )
+        if transforms:
+            events.unpersist()
 
     results = spark.read.parquet(results_path)
 

@@ -289,7 +289,7 @@ def test_rules_change_while_running(spark, tmp_path):
 def test_kafka_options():
     options = kafka.reader_options(["a", "b"], None, {"kafka.bootstrap.servers": "example.invalid:9092"})
     assert options == {
-        "subscribe": "a,b", "startingOffsets": "latest", "maxOffsetsPerTrigger": 100, "kafka.bootstrap.servers": "example.invalid:9092",
+        "subscribe": "a,b", "startingOffsets": "latest", "maxOffsetsPerTrigger": 100_000, "kafka.bootstrap.servers": "example.invalid:9092",
     }
     assert kafka.reader_options(None, "event-(a|b)", {"maxOffsetsPerTrigger": 5})["subscribePattern"] == "(?:event-(a|b)).*"
     with pytest.raises(ValueError):
