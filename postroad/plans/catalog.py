@@ -623,6 +623,20 @@ def route_stream(spark, events):
     return spark.read.parquet(f"{out}/data").select("id", "title", "topic")
 
 
+@query("events")
+def publish(spark, events):
+    path, out = shared_dir(spark, "log"), shared_dir(spark, "published")
+    kafka.land_log(_kafka_log(events), path)
+    stream = parse.parse_kafka_messages(kafka.landed_log(spark, path, topic_pattern="event"))
+    routed = routing.resolve_topic(stream, views.RULES)
+    kafka.publish(
+        routed, {"path": f"{out}/data"}, f"{out}/checkpoint", "parquet", {"availableNow": True}
+    ).awaitTermination()
+    return spark.read.parquet(f"{out}/data").select(
+        "topic", *[F.col(c).cast("string").alias(c) for c in ("key", "value")]
+    )
+
+
 @query("events")
 def windowed_counts_stream(spark, events):
     path = shared_dir(spark, "log")

@@ -495,6 +495,9 @@ ORACLES: dict[str, str] = {
     "windowed_counts_stream": f"""with {_LOG}
         select strftime(time_bucket(interval 6 hours, ts, timestamp '1970-01-01'), '%Y-%m-%d %H:%M:%S') as window_start,
           topic, count(*) as n from log group by 1, 2""",
+    "publish": f"""with {_LOG}, routed as (select *, {_topic('title')} as target from log)
+        select target as topic, id as key, concat('{{"id":"', id, '","title":"', title, '","published":"', published,
+          '","user":', user_id, '}}') as value from routed where target is not null""",
     "deliver_events": f"""with {_LOG}, {_STREAMED_ATTEMPTS}
         select id, status, error, attempts, round(total_delay, 6) as total_delay
         from log join outcome o on log.event_id = o.event_id where {_PASSES}""",

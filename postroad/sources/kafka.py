@@ -92,15 +92,24 @@ def writer_options(options: Mapping[str, Any]) -> dict[str, Any]:
     return merge_options(defaults, options)
 
 
-def publish(events: DataFrame, options: Mapping[str, Any], checkpoint: str | None = None):
-    """Send routed events to their topics, at least once.
-
-    A stream gives its running query; a table is written at once.
+def publish(
+    events: DataFrame,
+    options: Mapping[str, Any],
+    checkpoint: str | None = None,
+    format: str = "kafka",
+    trigger: Mapping[str, Any] | None = None,
+):
+    """Send routed events to their topics, at least once; events without a topic stay out.
+
+    A stream gives its running query; a table is written at once. ``format`` may name a
+    file format, with its ``path`` among the options, to land the records instead.
     """
     records = to_kafka_records(events.where(F.col("topic").isNotNull()))
+    given = writer_options(options) if format == "kafka" else dict(options)
     if not events.isStreaming:
-        return records.write.format("kafka").options(**writer_options(options)).save()
+        return records.write.format(format).mode("append").options(**given).save()
     if not checkpoint:
         raise ValueError("a stream needs a checkpoint folder")
-    writer = records.writeStream.format("kafka").options(**writer_options(options))
-    return writer.option("checkpointLocation", checkpoint).start()
+    writer = records.writeStream.format(format).options(**given)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()

@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from postroad import schema
@@ -15,7 +16,7 @@ from postroad.operators.delivery import committable_offsets, dead_letter_records
 from postroad.operators.filters import Transform, title_passes, transform_chain
 from postroad.operators.parse import parse_kafka_messages, quarantine_messages
 from postroad.operators.replay import replay_window
-from postroad.streaming.deliver import deliver, http_transport
+from postroad.streaming.deliver import RESULT_FIELDS, deliver, http_transport
 
 
 class DeliveryIncomplete(RuntimeError):
@@ -169,6 +170,9 @@ def replay(
     quarantine table and the replay goes on. ``headers`` are ``k=v`` texts.
     """
     spark = log.sparkSession
+    by_step = T.StructField("step", T.LongType())
+    chosen_schema = T.StructType([*log.schema.fields, by_step])
+    sent_schema = T.StructType([*parse_kafka_messages(log).schema.fields, *RESULT_FIELDS, by_step])
     sink: dict[str, Any] = {"url": url}
     if headers:
         sink["headers"] = parse_headers(headers)
@@ -176,11 +180,15 @@ def replay(
     if not _is_written(spark, chosen_path):
         chosen = replay_window(log, start, end).withColumn("step", F.expr(f"`offset` div {step}"))
         chosen.write.partitionBy("step").mode("overwrite").parquet(chosen_path)
-    chosen = spark.read.parquet(chosen_path)
+    chosen = spark.read.schema(chosen_schema).parquet(chosen_path)
     quarantine_messages(chosen).write.mode("overwrite").parquet(f"{out}/quarantine")
+    any_sent = False
     for (number,) in chosen.select("step").distinct().orderBy("step").toLocalIterator():
         path = f"{out}/results/step={number}"
         if not _is_written(spark, path):
             events = parse_kafka_messages(chosen.where(F.col("step") == number).drop("step"))
             deliver(events, sink, transport, **delivery).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(f"{out}/results")
+        any_sent = True
+    if not any_sent:
+        return spark.createDataFrame([], sent_schema)
+    return spark.read.schema(sent_schema).parquet(f"{out}/results")

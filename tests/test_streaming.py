@@ -215,6 +215,8 @@ def test_replay(spark, tmp_path):
     assert report.replay_count(sent).first().total == 15
     assert sorted(int(r.id) for r in sent.collect()) == list(range(5, 20))
     assert json.load(open(seen)) == {"Accept": "a=b"}
+    late = F.timestamp_seconds(F.lit(1000))
+    assert story.replay(df, SINK["url"], late, None, f"{out}-late", send).count() == 0
     assert spark.read.parquet(f"{out}/quarantine").count() == 1
 
 
