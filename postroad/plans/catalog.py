@@ -43,10 +43,6 @@ def _log(events: DataFrame) -> DataFrame:
     return views.kv_events(events)
 
 
-def _long(df: DataFrame, *names: str) -> DataFrame:
-    return df.withColumns({n: F.col(n).cast("bigint") for n in names})
-
-
 def _kafka_log(events: DataFrame) -> DataFrame:
     """The log with the columns of the Kafka source."""
     value = F.to_json(F.struct("id", "title", "published", F.col("user_id").alias("user")))
