@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 from postroad.llm.arrays import chunks
 
 SPACE = "▁"
-MEMORY = 200_000
+MEMORY = 400_000
 
 
 class Vocabulary:
@@ -68,6 +69,7 @@ class Encoder:
         self.segment = re.compile(f"{SPACE}*[^{SPACE}{newline}]+|{SPACE}+" + newline.replace("\n", "|\n"))
         self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         surface = [bytes([self.byte_ids.index(i)]) if k == "b" else b"" if k == "c" else " ⁇ ".encode() if k == "u" else p.replace(SPACE, " ").encode() for i, (p, k) in enumerate(zip(self.pieces, vocabulary.kinds, strict=True))]
         self.sizes = np.array([len(s) for s in surface])
         self.places = np.concatenate([[0], np.cumsum(self.sizes)])
@@ -102,7 +104,7 @@ class Encoder:
         pair = left << 32 | right
         fits = self.fits.get(pair)
         if fits is None:
-            if len(self.fits) >= 4 * MEMORY:
+            if len(self.fits) >= 2 * MEMORY:
                 self.fits.clear()
             fits = self.fits[pair] = self.merged(self.pieces[left] + self.pieces[right]) == [self.pieces[left], self.pieces[right]]
         return fits
@@ -111,14 +113,13 @@ class Encoder:
         """The ids as 32-bit numbers."""
         n, fits = len(segment), self.fits
         last, size = [-1] * (n + 1), [1] * (n + 1)  # -1: a character without a piece, compatible with anything
-        done = 0
+        done = -1
         for end, (length, i) in self.automaton.iter(segment):
-            end += 1
             if end == done:
                 continue
-            before = end - length
-            if not before or (left := last[before]) < 0 or fits.get(left << 32 | i) or self.compatible(left, i):
-                last[end], size[end], done = i, length, end
+            before = end + 1 - length
+            if not before or (left := last[before]) < 0 or ((ok := fits.get(left << 32 | i)) is None and self.compatible(left, i)) or ok:
+                last[end + 1], size[end + 1], done = i, length, end
         ids: list[int] = []
         while n:
             if last[n] >= 0:
@@ -126,23 +127,28 @@ class Encoder:
             else:
                 ids.extend(self.byte_ids[b] for b in reversed(segment[n - 1].encode()))
             n -= size[n]
-        return np.array(ids[::-1], np.int32).tobytes()
+        return array("i", ids[::-1]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        found, known = [], self.known
-        for segment in self.segment.findall(SPACE + text.replace(" ", SPACE)):
-            ids = known.get(segment)
-            if ids is None:
-                ids = self.encode_segment(segment)
-                if len(segment) <= 32:
-                    if len(known) >= MEMORY:
-                        known.clear()
-                    known[segment] = ids
-            found.append(ids)
+        segments = self.segment.findall(SPACE + text.replace(" ", SPACE))
+        found = list(map(self.known.get, segments))
+        if None in found:
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            for k in missing:
+                found[k] = self.missed(segments[k])
         return b"".join(found)
 
+    def missed(self, segment: str) -> bytes:
+        """Segments of the older generation in use move to the newer one; the rest go when that is full."""
+        ids = self.known.get(segment) or self.older.get(segment) or self.encode_segment(segment)
+        if len(segment) <= 32:
+            if len(self.known) >= MEMORY:
+                self.older, self.known = self.known, {}
+            self.known[segment] = ids
+        return ids
+
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
         """The texts of runs of ids; the mark that encoding put before each text goes."""
         sizes = self.sizes[ids]
