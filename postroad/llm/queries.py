@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.llm import decontaminate, piece_tokens, simhash
+from postroad.llm import decontaminate, piece_tokens, quality_rules, simhash
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(decontaminate.find(documents, benchmark))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     vocabulary = piece_tokens.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
@@ -29,6 +33,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
+    "op4_quality_rules": op4_quality_rules,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_simhash": op7_simhash,
 }
