@@ -28,7 +28,7 @@ MIN_WORDS = 50
 MIN_ROWS = 200
 REACH = 3
 #: metric -> (allowance above, allowance below): per 1,000 words, lines or words, and hundredths of characters a word.
-ALLOWANCE = {"symbols": (100, None), "dup_lines": (300, None), "repeats": (300, None), "word_length": (1000, 300)}
+ALLOWANCE = {"symbols": (100, None), "dup_lines": (500, None), "repeats": (300, None), "word_length": (1000, 300)}
 BLANK = "[\\x20\\x09-\\x0D]+"
 
 

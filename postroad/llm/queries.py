@@ -2,38 +2,55 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.llm import decontaminate, piece_tokens, quality_rules, simhash
+from postroad.llm import decontaminate, perplexity, piece_tokens, quality_rules, simhash
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table. Workers of a local session find this package where the driver has it; a cluster gets it as usual."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [paths])])
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    documents, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find(documents, benchmark))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return quality_rules.judge(read(spark, sf_dir, "documents"))
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = read(spark, sf_dir, "documents")
     vocabulary = piece_tokens.Vocabulary.load(public_tokenizers.path("piece_bpe_32k.model"))
     return piece_tokens.digests(piece_tokens.encode(documents, vocabulary))
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = read(spark, sf_dir, "documents")
     found = simhash.duplicates(documents)
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    return perplexity.judge(documents, read(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_simhash": op7_simhash,
+    "op10_quality_classifier": op10_quality_classifier,
 }
