@@ -160,18 +160,27 @@ def gram_keys(data: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 
     Contexts reach back to the text's start, before which bytes 255 are taken.
     """
-    wide = data.astype(np.uint64)
-    keys = wide.copy()
-    since = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
-    for k in range(1, n):
-        earlier = np.full(len(data), 255, np.uint64)
-        earlier[k:] = wide[:-k] if k < len(data) else wide[:0]
-        early = np.flatnonzero(since < k)
-        earlier[early] = 255
-        keys |= earlier << np.uint64(8 * k)
+    keys = data.astype(np.uint64)
+    reach = 1  # bytes in each key so far
+    while reach < n:
+        more = min(reach, n - reach)
+        earlier = keys[:-reach] & np.uint64((1 << 8 * more) - 1)
+        keys[reach:] |= earlier << np.uint64(8 * reach)
+        reach += more
+    for since in range(min(n - 1, int(np.diff(offsets).max(initial=0)))):
+        at = offsets[:-1][np.diff(offsets) > since] + since
+        own = np.uint64((1 << 8 * (since + 1)) - 1)
+        keys[at] = keys[at] & own | ~own & np.uint64((1 << 8 * n) - 1)
     return keys
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys in order, and how often each occurs."""
+    keys = np.sort(keys)
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[heads], np.diff(np.append(heads, len(keys)))
+
+
 def counted(keys: np.ndarray, weights: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
     """Distinct keys in order, and the sum of each weight by key."""
     order = np.argsort(keys, kind="stable")

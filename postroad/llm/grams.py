@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postroad.llm.arrays import Table, chunks, counted, framed, gram_keys
+from postroad.llm.arrays import Table, chunks, counted, distinct, framed, gram_keys
 
 #: Distinct n-grams that a task gathers before it hands them on.
 GATHER = 2_000_000
@@ -39,9 +39,11 @@ def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") ->
         for batch in batches:
             for rows, data, offsets in chunks(batch, 0):
                 data, offsets = framed(data, offsets)
-                weights = np.repeat(rows.column(1).to_numpy(zero_copy_only=False).astype(np.int64), np.diff(offsets))
-                keys, (sums,) = counted(gram_keys(data, offsets, n), [weights])
-                held.append((keys, sums))
+                keys = gram_keys(data, offsets, n)
+                learned = np.repeat(rows.column(1).to_numpy(zero_copy_only=False) > 0, np.diff(offsets))
+                held.append(distinct(keys[learned]))
+                others, _ = distinct(keys[~learned])
+                held.append((others, np.zeros(len(others), np.int64)))
                 if sum(len(k) for k, _ in held) >= GATHER:
                     batch_out = handed()
                     if batch_out.num_rows >= GATHER // 2:

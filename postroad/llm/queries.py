@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.llm import decontaminate, perplexity, piece_tokens, quality_rules, simhash
+from postroad.llm import context_tree, decontaminate, perplexity, piece_tokens, quality_rules, simhash
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(read(spark, sf_dir, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     return perplexity.judge(documents, read(spark, sf_dir, "labels"))
@@ -52,5 +56,6 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_sentencepiece": op5_sentencepiece,
     "op7_simhash": op7_simhash,
+    "op8_context_tree": op8_context_tree,
     "op10_quality_classifier": op10_quality_classifier,
 }
