@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.llm import context_tree, decontaminate, perplexity, piece_tokens, quality_rules, simhash
+from postroad.llm import context_tree, decontaminate, licenses, perplexity, piece_tokens, quality_rules, simhash
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(licenses.spans(read(spark, sf_dir, "documents")))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find(documents, benchmark))
@@ -52,6 +56,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licenses": op1_licenses,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_sentencepiece": op5_sentencepiece,
