@@ -65,19 +65,20 @@ def scored(df: DataFrame, table: DataFrame, n: int, text: str = "text", keep: tu
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_bytes", T.LongType()), T.StructField("total", T.DoubleType())])
     if table.count() > sent:
         return _joined(df, table, n, text, keep, value)
+    columns = keep if text in keep else (*keep, text)
     rows = table.select("gram", F.col(value).cast("double").alias("value")).toArrow()
     shared = df.sparkSession.sparkContext.broadcast((rows.column("gram").to_numpy().view(np.uint64), rows.column("value").to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = Table(*shared.value)
         for batch in batches:
-            for rows, data, offsets in chunks(batch, len(keep)):
+            for rows, data, offsets in chunks(batch, columns.index(text)):
                 data, offsets = framed(data, offsets)
                 found = values.find(gram_keys(data, offsets, n))
                 total = np.add.reduceat(values.values[found], offsets[:-1])
                 yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], pa.array(np.diff(offsets)), pa.array(total)], names=[*keep, "n_bytes", "total"])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(run, schema)
 
 
 def _joined(df: DataFrame, table: DataFrame, n: int, text: str, keep: tuple[str, ...], value: str) -> DataFrame:

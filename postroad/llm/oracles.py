@@ -1,3 +1,119 @@
 """The same results in DuckDB SQL, for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+PERSPECTIVES = r"""
+with turns as (
+  select conv_id, turn, floor(turn / 64)::bigint as part, coalesce(role, 'unknown') as who,
+         replace(coalesce(text, ''), '<|im_', '< |im_') as said
+  from conversations
+), views as (
+  select distinct conv_id, part, who as speaker from turns where who <> 'system'
+), lines as (
+  select v.conv_id, v.part, v.speaker, t.turn, t.who, t.said, t.who = v.speaker as own,
+         '<|im_start|>' || case when t.who = v.speaker then 'assistant' when t.who = 'system' then 'system'
+                                else 'user name=' || t.who end || chr(10) as head,
+         t.said || '<|im_end|>' as body
+  from views v join turns t on t.conv_id = v.conv_id and t.part = v.part
+), placed as (
+  select *, coalesce(sum(length(head) + length(body) + 1) over (
+              partition by conv_id, part, speaker order by turn, who, said
+              rows between unbounded preceding and 1 preceding), 0) + length(head) as first
+  from lines
+)
+select conv_id, part, speaker, count(*)::bigint as n_turns, sum(own::int)::bigint as n_own,
+       string_agg(head || body || chr(10), '' order by turn, who, said) as rendered,
+       string_agg(first::bigint || '-' || (first + length(body))::bigint, ',' order by turn, who, said) filter (own) as mask
+from placed group by conv_id, part, speaker
+"""
+
+DECONTAMINATE = r"""
+with words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+), item_words as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark
+), windows as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[k : k + least(len(w), 10) - 1], ' ') as win
+  from (select *, unnest(range(1, len(w) - least(len(w), 10) + 2)) as k from item_words where len(w) > 0)
+), places as (
+  select doc_id, n, k, array_to_string(w[k : k + n - 1], ' ') as win
+  from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as k from words, (select distinct n from windows) where len(w) >= n)
+), hits as (
+  select doc_id, k, n, item_id from places join windows using (n, win)
+), counted as (
+  select doc_id, count(distinct word)::bigint as n_hit
+  from (select doc_id, unnest(range(k, k + n)) as word from (select distinct doc_id, k, n from hits)) group by 1
+), found as (
+  select doc_id, count(*)::bigint as n_items, string_agg(item_id, ',' order by item_id) as items
+  from (select distinct doc_id, item_id::varchar as item_id from hits) group by 1
+)
+select w.doc_id, len(w.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words w left join counted using (doc_id) left join found using (doc_id)
+"""
+
+QUALITY = r"""
+with base as (
+  select doc_id, coalesce(text, '') as text, coalesce('=' || lang, '') as lang, coalesce('=' || source, '') as source,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents
+), triples as (
+  select doc_id, k, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] as t
+  from (select doc_id, w, unnest(range(1, len(w) - 1)) as k from base where len(w) >= 3)
+), twice as (
+  select doc_id, k from (select *, count(*) over (partition by doc_id, t) as n from triples) where n > 1
+), repeated as (
+  select doc_id, count(distinct word) as n from (select doc_id, unnest(range(k, k + 3)) as word from twice) group by 1
+), counted as (
+  select b.doc_id, lang, source, len(w)::bigint as n_words,
+         length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols,
+         (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(r.n, 0)::bigint as n_repeat_words,
+         len(lines)::bigint as n_lines
+  from base b left join repeated r using (doc_id)
+), rates as (
+  select *, 1000 * n_symbols // greatest(n_words, 1) as symbols, 1000 * n_dup_lines // greatest(n_lines, 1) as dup_lines,
+         1000 * n_repeat_words // greatest(n_words, 1) as repeats, 100 * word_chars // greatest(n_words, 1) as word_length
+  from counted
+), long as (
+  unpivot (select lang, source, symbols, dup_lines, repeats, word_length from rates where n_words > 0)
+  on symbols, dup_lines, repeats, word_length into name metric value value
+), cut as (
+  select lang, source, metric, value >> greatest(length(bin(value)) - 7, 0) << greatest(length(bin(value)) - 7, 0) as value from long
+), own as (select lang, source, metric, value, count(*) as n from cut group by all),
+by_lang as (select lang, metric, value, sum(n) as n from own group by all),
+every as (select metric, value, sum(n) as n from own group by all),
+own_run as (select *, sum(n) over (partition by lang, source, metric order by value) as upto, sum(n) over (partition by lang, source, metric) as rows from own),
+lang_run as (select *, sum(n) over (partition by lang, metric order by value) as upto, sum(n) over (partition by lang, metric) as rows from by_lang),
+every_run as (select *, sum(n) over (partition by metric order by value) as upto, sum(n) over (partition by metric) as rows from every),
+a as (select lang, source, metric, any_value(rows) as rows, min(value) filter (4 * upto >= rows) as q1, min(value) filter (4 * upto >= 3 * rows) as q3 from own_run group by all),
+b as (select lang, metric, any_value(rows) as rows, min(value) filter (4 * upto >= rows) as q1, min(value) filter (4 * upto >= 3 * rows) as q3 from lang_run group by all),
+c as (select metric, min(value) filter (4 * upto >= rows) as q1, min(value) filter (4 * upto >= 3 * rows) as q3 from every_run group by all),
+q as (
+  select a.lang, a.source, metric,
+         case when a.rows >= 200 then a.q1 when b.rows >= 200 then b.q1 else c.q1 end as q1,
+         case when a.rows >= 200 then a.q3 when b.rows >= 200 then b.q3 else c.q3 end as q3
+  from a join b using (lang, metric) join c using (metric)
+), fences as (
+  select lang, source,
+         max(greatest(q3 + 3 * (q3 - q1), 100)) filter (metric = 'symbols') as s,
+         max(greatest(q3 + 3 * (q3 - q1), 500)) filter (metric = 'dup_lines') as d,
+         max(greatest(q3 + 3 * (q3 - q1), 300)) filter (metric = 'repeats') as r,
+         max(greatest(q3 + 3 * (q3 - q1), 1000)) filter (metric = 'word_length') as l,
+         min(least(q1 - 3 * (q3 - q1), 300)) filter (metric = 'word_length') as m
+  from q group by all
+), judged as (
+  select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
+         coalesce(symbols > s or dup_lines > d or repeats > r or word_length > l or word_length < m, false) as outside
+  from rates left join fences using (lang, source)
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not outside as kept
+from judged
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_perspectives": PERSPECTIVES,
+    "op3_decontaminate": DECONTAMINATE,
+    "op4_quality_rules": QUALITY,
+}

@@ -9,15 +9,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.llm import context_tree, decontaminate, licenses, perplexity, piece_tokens, quality_rules, simhash
+from postroad.llm import context_tree, decontaminate, licenses, perplexity, perspectives, piece_tokens, quality_rules, simhash, url_filter, warc
 
 
-def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A given table. Workers of a local session find this package where the driver has it; a cluster gets it as usual."""
+def ready(spark: SparkSession) -> None:
+    """Workers of a local session find this package where the driver has it; a cluster gets it as it gets any package."""
     root = str(Path(__file__).resolve().parents[2])
     paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", ""))
     if root not in paths.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, [paths])])
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ready(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -25,6 +29,10 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(licenses.spans(read(spark, sf_dir, "documents")))
 
 
+def op2_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.report(perspectives.rotate(read(spark, sf_dir, "conversations")))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, benchmark = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     return decontaminate.report(decontaminate.find(documents, benchmark))
@@ -40,6 +48,10 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_tokens.digests(piece_tokens.encode(documents, vocabulary))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     found = simhash.duplicates(documents)
@@ -50,6 +62,15 @@ def op8_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.score(read(spark, sf_dir, "documents"))
 
 
+#: Host, path and verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(read(spark, sf_dir, "pages"), rules)
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     return perplexity.judge(documents, read(spark, sf_dir, "labels"))
@@ -57,10 +78,13 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_licenses": op1_licenses,
+    "op2_perspectives": op2_perspectives,
     "op3_decontaminate": op3_decontaminate,
     "op4_quality_rules": op4_quality_rules,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_warc": op6_warc,
     "op7_simhash": op7_simhash,
     "op8_context_tree": op8_context_tree,
+    "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
 }

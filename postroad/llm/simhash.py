@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad.llm.arrays import LOWER, NOT_SPACE, Words, chunks, mixed
+from postroad.llm.shared import written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -48,11 +49,12 @@ AT_ONCE = 1 << 20
 def fingerprints(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), shingle: int = SHINGLE, column: str = "bits") -> DataFrame:
     """The kept columns and the fingerprint as a long. One pass, no shuffle."""
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(column, T.LongType())])
+    columns = keep if text in keep else (*keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for rows, data, offsets in chunks(batch, len(keep)):
+            for rows, data, offsets in chunks(batch, columns.index(text)):
                 data = LOWER[data]
                 words = Words(data, offsets, NOT_SPACE)
                 sizes = words.end - words.start
@@ -73,7 +75,7 @@ def fingerprints(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
                     out[full] |= (2 * ones > shingles[full]).astype(np.uint64) << np.uint64(bit)
                 yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], pa.array(out.view(np.int64))], names=[*keep, column])
 
-    return df.select(*keep, text).mapInArrow(run, schema)
+    return df.select(*columns).mapInArrow(run, schema)
 
 
 def blocks(n: int) -> list[int]:
@@ -229,3 +231,18 @@ def duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     least = placed.groupBy("root").agg(F.min("least").alias("component"))
     answer = placed.join(least, "root").select("bits", "component")
     return prints.join(answer, "bits").select(F.col("key").alias(key), "bits", "component")
+
+
+def representatives(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
+    """The rows of `df` of which one stands for each group: the one of the smallest key, and of equal keys one.
+
+    Fingerprints are written beside the rows' own numbers, so the texts are moved once, by the join that picks the rows.
+    """
+    at = {c: f"keep_{k}" for k, c in enumerate(df.columns)}
+    numbered = df.select(F.monotonically_increasing_id().alias("row"), *(F.col(f"`{c}`").alias(k) for c, k in at.items()))
+    prints = written(fingerprints(numbered, at[text], tuple(c for c in numbered.columns), shingle), "prints")
+    nodes = prints.groupBy("bits").agg(F.min(F.struct(F.col(at[key]).isNull().alias("none"), F.col(at[key]).alias("key"), "row")).alias("least")).checkpoint()
+    roots = components(edges(nodes, distance, parts))
+    placed = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("least", F.coalesce("root", "bits").alias("root"))
+    chosen = placed.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
+    return prints.join(chosen, "row", "left_semi").select(*(F.col(k).alias(c) for c, k in at.items()))
