@@ -56,7 +56,7 @@ QUALITY = r"""
 with base as (
   select doc_id, coalesce(text, '') as text, coalesce('=' || lang, '') as lang, coalesce('=' || source, '') as source,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x : regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
   from documents
 ), triples as (
   select doc_id, k, w[k] || ' ' || w[k + 1] || ' ' || w[k + 2] as t
