@@ -121,9 +121,8 @@ def _name(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
-def judged(counted: DataFrame, lang: str = "lang", source: str = "source", min_words: int = MIN_WORDS, min_rows: int = MIN_ROWS, reach: int = REACH) -> DataFrame:
-    """`counted`, which is read twice, with base_failed and kept."""
-    limits = written(fences(counted, lang, source, min_rows, reach), "fences")
+def judged(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source", min_words: int = MIN_WORDS) -> DataFrame:
+    """`counted` with base_failed and kept; `limits` are what `fences` gave."""
     rows = lookup(counted.withColumn("lang_", _name(lang)).withColumn("source_", _name(source)), limits, ["lang_", "source_"])
     values = {x: f"_rates[{k}]" for k, x in enumerate(ALLOWANCE)}
     rows = rows.withColumn("_rates", F.transform(_rates(), lambda x: x["value"]))
@@ -142,12 +141,18 @@ def judge(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "
     renamed = df.select(*(F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)), F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
     counted = written(counts(renamed).drop("text"), "counts")
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged(counted).select(*(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)), *names)
+    return judged(counted, written(fences(counted), "fences")).select(*(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)), *names)
 
 
 def kept(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """The rows of `df` that pass, in its own columns. The texts are read once, and written once with their counts."""
+    """The rows of `df` that pass, in its own columns.
+
+    The texts are counted twice, once for the fences and once to be judged, so that no copy of them is written.
+    """
     row = [F.col(f"`{c}`").alias(f"keep_{k}") for k, c in enumerate(df.columns)]
     renamed = df.select(*row, F.col(lang).alias("lang"), F.col(source).alias("source"), F.col(text).alias("text"))
-    counted = written(counts(renamed).drop("text"), "counts")
-    return judged(counted).where("kept").select(*(F.col(f"keep_{k}").alias(c) for k, c in enumerate(df.columns)))
+    names = ["lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+    limits = written(fences(written(counts(renamed.select("lang", "source", "text")).select(*names), "counts")), "fences")
+    # A row number keeps the filter above the counts; pushed down, it would have them worked out many times over.
+    counted = counts(renamed).drop("text").withColumn("_at", F.monotonically_increasing_id())
+    return judged(counted, limits).where(F.col("kept") & (F.col("_at") >= 0)).select(*(F.col(f"keep_{k}").alias(c) for k, c in enumerate(df.columns)))

@@ -236,13 +236,21 @@ def duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle:
 def representatives(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
     """The rows of `df` of which one stands for each group: the one of the smallest key, and of equal keys one.
 
-    Fingerprints are written beside the rows' own numbers, so the texts are moved once, by the join that picks the rows.
+    A row is known by its key and a hash of its text, so the texts are not written with the fingerprints; they move
+    once, in the join that picks the rows. Of rows with the same key and text one stays, as they are copies.
     """
     at = {c: f"keep_{k}" for k, c in enumerate(df.columns)}
-    numbered = df.select(F.monotonically_increasing_id().alias("row"), *(F.col(f"`{c}`").alias(k) for c, k in at.items()))
-    prints = written(fingerprints(numbered, at[text], tuple(c for c in numbered.columns), shingle), "prints")
-    nodes = prints.groupBy("bits").agg(F.min(F.struct(F.col(at[key]).isNull().alias("none"), F.col(at[key]).alias("key"), "row")).alias("least")).checkpoint()
+    rows = df.select(*(F.col(f"`{c}`").alias(k) for c, k in at.items()))
+    id_, hashed = F.col(at[key]), F.xxhash64(F.coalesce(F.col(at[text]).cast("string"), F.lit("")))
+    prints = written(fingerprints(rows.select(at[key], at[text], hashed.alias("hash")), at[text], (at[key], "hash"), shingle), "prints")
+    least = F.min(F.struct(id_.isNull().alias("none"), id_.alias("key"), F.col("hash"))).alias("least")
+    nodes = written(prints.groupBy("bits").agg(least), "nodes")
     roots = components(edges(nodes, distance, parts))
     placed = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("least", F.coalesce("root", "bits").alias("root"))
-    chosen = placed.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.row").alias("row"))
-    return prints.join(chosen, "row", "left_semi").select(*(F.col(k).alias(c) for c, k in at.items()))
+    chosen = placed.groupBy("root").agg(F.min("least").alias("least")).select(F.col("least.key").alias("of"), F.col("least.hash").alias("hash"))
+    # Null keys are marked, as they equal nothing in a join.
+    key_of = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
+    chosen = chosen.select(key_of("of").alias("of"), "hash")
+    marked = rows.withColumn("of", key_of(at[key])).withColumn("hash", hashed)
+    picked = marked.join(chosen, ["of", "hash"], "left_semi").dropDuplicates(["of", "hash"])
+    return picked.select(*(F.col(k).alias(c) for c, k in at.items()))

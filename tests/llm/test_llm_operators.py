@@ -265,7 +265,7 @@ def test_perplexity(spark, odd, sent):
     labels = spark.createDataFrame([(1, 1, 0), (9, 1, None), (10, 1, 1), (11, 0, 0), (12, 1, 0), (12, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
     docs = pairs(df)
     train = [t for i, t in docs if i in (1, 9)]
-    found = perplexity.bits(df, labels, keep=("doc_id",), order=4, sent=sent).collect()
+    found = perplexity.bits(df, perplexity.fitted(df, labels, order=4), order=4, sent=sent).collect()
     same([(r.doc_id, r.bits) for r in found], [(i, b) for (i, _), b in zip(docs, brute.kneser_ney(train, [t for _, t in docs], 4), strict=True)])
 
 
