@@ -155,9 +155,13 @@ def committable_offsets(
     which no partition sends anything, unless ``commit_filtered``.
     """
     unknown = F.col("passes") & (F.coalesce("status", F.lit("UNKNOWN")) == "UNKNOWN")
+    # One pass over the events; both limits and the answer come from this table.
+    results = results.groupBy(*by, "round").agg(
+        F.max("offset").alias("offset"), F.max("passes").alias("sent"), F.max(unknown).alias("unknown")
+    )
     marks = results.agg(
-        F.min(F.when(unknown, F.col("round"))).alias("broken"),
-        F.max(F.when(F.col("passes"), F.col("round"))).alias("sent"),
+        F.min(F.when(F.col("unknown"), F.col("round"))).alias("broken"),
+        F.max(F.when(F.col("sent"), F.col("round"))).alias("sent"),
     )
     first_broken = marks.select("broken").scalar()
     settled = results.where(F.coalesce(F.col("round") < first_broken, F.lit(True)))

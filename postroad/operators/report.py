@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from functools import reduce
 
@@ -137,10 +138,13 @@ def story_outcome_counts(results: DataFrame) -> DataFrame:
 def send_time_stats(attempts: DataFrame, by: Sequence[str] = ("sink_id",)) -> DataFrame:
     """Duration of answered attempts in whole ms, and the number of retries, per sink.
 
+    An attempt is answered when the head of the reply is there, so one whose payload could
+    not be read counts.
+
     The median comes from a table of (duration, count), which stays small because
     durations are whole milliseconds under a timeout.
     """
-    answered = F.col("error_kind").isNull()
+    answered = F.coalesce(F.col("error_kind"), F.lit("payload")) == "payload"
     counted = attempts.groupBy(*by, F.when(answered, F.col("duration_ms")).alias("ms")).agg(
         F.count("*").alias("n"), F.count_if(F.col("attempt") > 1).alias("retries")
     )
@@ -170,15 +174,20 @@ def exact_median(df: DataFrame, value: str, bins: int = 1 << 16) -> float | None
 
     A job counts the values in equal-width bins, and the next one looks only into the
     bin that holds the middle rank, until that bin holds one value. Counts per bin are
-    all that meets in one task, however the values are spread.
+    all that meets in one task, however the values are spread. NaN counts as missing, as
+    null does; infinite values are the least and the greatest.
     """
-    values = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull())
+    values = df.select(F.col(value).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
     span = values.agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
     if span.n == 0:
         return None
     total, rank = span.n, (span.n + 1) // 2
     while span.lo < span.hi:
-        place = F.floor((F.col("v") - span.lo) / (span.hi - span.lo) * bins)
+        # Halved, so that no difference overflows; infinite values have bins of their own.
+        lo, hi = (min(max(end, -sys.float_info.max), sys.float_info.max) for end in (span.lo, span.hi))
+        part = (F.col("v") / 2 - lo / 2) / (hi / 2 - lo / 2) if lo < hi else F.lit(0.5)
+        inside = F.floor(F.least(F.greatest(part, F.lit(0.0)), F.lit(1.0)) * bins)
+        place = F.when(F.col("v") < lo, -1).when(F.col("v") > hi, bins + 1).otherwise(inside)
         counts = (
             values.where(F.col("v").between(span.lo, span.hi))
             .groupBy(place.alias("bin"))
@@ -236,21 +245,12 @@ def lifecycle_counts(log: DataFrame) -> DataFrame:
 def lifecycle_latest(log: DataFrame) -> DataFrame:
     """Latest lifecycle status of each event; at one instant the later stage wins.
 
-    Time and stage are packed into one number, which keeps the aggregation in hash maps.
+    A status that is not listed comes before those that are; of several, the greatest text wins.
     """
     stage = F.array_position(F.array(*[F.lit(s) for s in schema.LIFECYCLE]), F.col("status"))
-    packed = F.unix_micros("ts") * 16 + stage
-    return (
-        log.groupBy("id")
-        .agg(F.max(packed).alias("_packed"))
-        .select(
-            "id",
-            F.element_at(
-                F.array(*[F.lit(s) for s in schema.LIFECYCLE]),
-                F.pmod("_packed", F.lit(16)).cast("int"),
-            ).alias("status"),
-            F.timestamp_micros(F.floor(F.col("_packed") / 16)).alias("ts"),
-        )
+    latest = F.max(F.struct(F.unix_micros("ts").alias("at"), F.coalesce(stage, F.lit(0)).alias("stage"), "status"))
+    return log.groupBy("id").agg(latest.alias("_last")).select(
+        "id", "_last.status", F.timestamp_micros("_last.at").alias("ts")
     )
 
 

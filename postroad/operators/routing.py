@@ -63,14 +63,17 @@ def _rule_blocks(rules: DataFrame, size: int) -> Iterator[Rules]:
 
 
 def resolve_topic_table(
-    df: DataFrame, rules: DataFrame, max_rules: int = MAX_LITERAL_RULES
+    df: DataFrame, rules: DataFrame, max_rules: int = MAX_LITERAL_RULES, allow_empty: bool = False
 ) -> DataFrame:
     """`resolve_topic` for a table ``(rank, topic, pattern)``.
 
-    A table of ordinary size becomes literals; a larger one is resolved once per
+    An empty table is refused, as rules that were never set must not lose events, unless
+    ``allow_empty`` says that a valid document without rules is meant. A table of ordinary size becomes literals; a larger one is resolved once per
     distinct title.
     """
     listed = ordered_rules(rules, max_rules)
+    if listed == [] and not allow_empty:
+        raise ValueError("Topic mappings is empty")
     if listed is None:
         return resolve_distinct_titles(df, rules, max_rules)
     return resolve_topic(df, listed)

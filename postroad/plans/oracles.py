@@ -463,7 +463,7 @@ ORACLES: dict[str, str] = {
           count(*) filter (status = 'DEAD_LETTER') as dead_letter
         from fanned where passes group by story_id""",
     "send_time_stats": f"""with {_ATTEMPTS.format(count="event_id % 6")}, timed as (
-          select *, case when error_kind is null then duration_ms end as ms from attempts)
+          select *, case when error_kind is null or error_kind = 'payload' then duration_ms end as ms from attempts)
         select sink_id, count(ms) as answered, min(ms) as min_ms, max(ms) as max_ms, round(avg(ms), 6) as avg_ms,
           median(ms) as median_ms, count(*) filter (attempt > 1) as retries
         from timed group by sink_id""",

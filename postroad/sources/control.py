@@ -7,6 +7,8 @@ events; a fault is kept as a row with an ``error`` instead of stopping the job.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,6 +66,11 @@ def rejected_rules(df: DataFrame, data: str = "data") -> DataFrame:
     return _examined_rules(df, data).where(~F.col("_valid")).drop("_entries", "_valid")
 
 
+def has_valid_rules(snapshots: DataFrame, data: str = "data") -> bool:
+    """Whether any document is valid, one without rules included."""
+    return not _examined_rules(snapshots, data).where("_valid").isEmpty()
+
+
 def current_rules(snapshots: DataFrame, by: Sequence[str] = (), data: str = "data") -> DataFrame:
     """Rules of the latest valid document; invalid or empty ones leave the old rules.
 
@@ -78,9 +85,44 @@ def current_rules(snapshots: DataFrame, by: Sequence[str] = (), data: str = "dat
     return _ranked_rules(latest, [*by, "version"])
 
 
-def _number(value: Column, name: str, type_: str) -> Column:
+NUMBERS = {
+    "timeout": "double",
+    "max_retry_times": "int",
+    "exp_backoff_factor": "double",
+    "exp_backoff_max_delay": "double",
+}
+
+
+def _number(value: Column, name: str) -> Column:
     """A parameter as a number; an absent one or ``""`` counts as not given."""
-    return F.nullif(field(value, f"$.{name}", "string"), F.lit("")).try_cast(type_)
+    return F.nullif(field(value, f"$.{name}", "string"), F.lit("")).try_cast(NUMBERS[name])
+
+
+def _given(value: Column, path: str) -> Column:
+    """Whether there is a value that is neither null nor ``""``."""
+    found = field(value, path)
+    void = found.isNull() | (F.schema_of_variant(found) == "VOID")
+    return ~void & ~F.coalesce(field(value, path, "string") == "", F.lit(False))
+
+
+def _wrong_number(value: Column) -> Column:
+    """A number that is given and is none."""
+    return reduce(or_, [_given(value, f"$.{n}") & _number(value, n).isNull() for n in NUMBERS])
+
+
+def _wrong_headers(value: Column) -> Column:
+    """Headers that are given and are no object of strings."""
+    texts = F.forall(F.map_values(field(value, "$.headers", "map<string,variant>")), is_json_string)
+    return _given(value, "$.headers") & ~F.coalesce(texts, F.lit(False))
+
+
+def _wrong_strings(value: Column, path: str) -> Column:
+    """A list that is given and is no list of strings."""
+    return _given(value, path) & _strings(value, path).isNull()
+
+
+def _wrong_patterns(patterns: Column) -> Column:
+    return ~F.coalesce(F.forall(patterns, is_valid_pattern), F.lit(True))
 
 
 def _sink_columns(
@@ -98,10 +140,7 @@ def _sink_columns(
         "url": field(value, "$.uri", "string"),
         "method": method,
         "headers": field(value, "$.headers", "map<string,string>"),
-        "timeout": _number(value, "timeout", "double"),
-        "max_retry_times": _number(value, "max_retry_times", "int"),
-        "exp_backoff_factor": _number(value, "exp_backoff_factor", "double"),
-        "exp_backoff_max_delay": _number(value, "exp_backoff_max_delay", "double"),
+        **{name: _number(value, name) for name in NUMBERS},
     }
     if defaults:
         for name, default in schema.SINK_DEFAULTS.items():
@@ -112,6 +151,8 @@ def _sink_columns(
         .when(~is_json_string(field(value, "$.uri")), "missing uri")
         .when(~is_json_string(field(value, "$.method")), "missing method")
         .when(~method.isin(schema.HTTP_METHODS), "method is not POST, PUT or PATCH")
+        .when(_wrong_headers(value), "headers are not an object of strings")
+        .when(_wrong_number(value), "a parameter is not a number")
     )
     return staged, columns, error
 
@@ -199,7 +240,9 @@ def load_stories(
         F.when(F.col("source").isNull(), "missing source")
         .when(F.col("_source_json").isNull() | (F.col("_source_type") != "kafka"), "source is not kafka")
         .when(source.isNull(), "source parameters are not JSON")
+        .when(_wrong_strings(source, "$.topics"), "topics are not a list of strings")
         .when(topics.isNull() & topic_pattern.isNull(), "topics or topic-pattern must be set")
+        .when(topic_pattern.isNotNull() & ~is_valid_pattern(topic_pattern), "topic-pattern does not compile")
         .when(F.col("sink").isNull(), "missing sink")
         .when(sink_error.isNotNull(), sink_error)
         .when(
@@ -207,6 +250,15 @@ def load_stories(
             "operator is not filter",
         )
         .when(has_filter & operators.isNull(), "operator parameters are not JSON")
+        .when(
+            has_filter
+            & (
+                _wrong_strings(operators, "$['event-name-white-list']")
+                | _wrong_strings(operators, "$['event-name-black-list']")
+            ),
+            "a filter list is not a list of strings",
+        )
+        .when(has_filter & (_wrong_patterns(include) | _wrong_patterns(exclude)), "a filter pattern does not compile")
         .when(
             has_filter
             & (F.size(F.coalesce(include, empty)) + F.size(F.coalesce(exclude, empty)) == 0),

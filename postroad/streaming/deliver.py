@@ -62,8 +62,11 @@ def http_transport(
     import urllib.error
     import urllib.request
 
+    headers = dict(headers or {})
+    if "content-type" not in map(str.lower, headers):
+        headers["Content-Type"] = "application/json; charset=utf-8"
     try:
-        request = urllib.request.Request(url, data=body, headers=headers or {}, method=method)
+        request = urllib.request.Request(url, data=body, headers=headers, method=method)
     except ValueError as ex:
         raise InvalidUrl(str(ex)) from ex
     try:
@@ -93,14 +96,13 @@ def send_until_settled(
     send: Callable[..., tuple[int, str]],
     sink: dict[str, Any],
     payload: str,
-    deadline_s: float,
+    deadline: float,
     sleep: Callable[[float], None],
 ) -> dict[str, Any]:
-    """Send one event until an attempt ends its delivery or the deadline passes.
+    """Send one event until an attempt ends its delivery or the deadline (on the monotonic clock) passes.
 
     The rules are those of `classify_attempt`.
     """
-    began = time.monotonic()
     log: list[dict[str, Any]] = []
     waited = 0.0
 
@@ -143,7 +145,7 @@ def send_until_settled(
                 return settled("DEAD_LETTER", schema.MAX_RETRIES)
             if reply == "retry":
                 wait = 0.0
-        if time.monotonic() - began + wait > deadline_s:
+        if time.monotonic() + wait > deadline:
             return settled("UNKNOWN", schema.SINK_CLOSED)
         waited += wait
         sleep(wait)
@@ -174,8 +176,10 @@ def deliver(
     ``ordered``: a (topic, partition) stays in one task and keeps its offset order,
     which the log's own ordering demands; with a ``round`` column (`delivery_rounds`)
     the events of a round go out together, so partitions that share a task do not wait
-    for one another. Otherwise events are sent where they are, without a shuffle. Rows
-    whose ``passes`` is false are carried along and not sent.
+    for one another. Otherwise events are sent where they are, without a shuffle.
+    ``deadline_s`` holds for a task as a whole. What is not settled by then is UNKNOWN, and
+    so is all that follows in a partition with an UNKNOWN event: it is not sent, as order
+    demands. Rows whose ``passes`` is false are carried along and not sent.
 
     The plan has side effects: write the result once and read it back.
     """
@@ -198,19 +202,31 @@ def deliver(
             transport.open()
         send = getattr(transport, "send", transport)
 
+        deadline = time.monotonic() + deadline_s
+        stopped: set[tuple[Any, Any]] = set()
+        unsent = {"status": "UNKNOWN", "error": schema.SINK_CLOSED, "attempts": 0, "total_delay": 0.0, "log": []}
+
         def settle(payload: str) -> dict[str, Any]:
-            return send_until_settled(send, params, payload, deadline_s, sleep)
+            return send_until_settled(send, params, payload, deadline, sleep)
 
         try:
             with ThreadPoolExecutor(max_parallel) as pool:
                 for batch in batches:
                     results: list[dict[str, Any]] = [{}] * len(batch)
                     payloads = batch["payload"].tolist()
+                    lines = list(zip(batch["topic"], batch["partition"])) if ordered else [None] * len(batch)
                     for places in _rounds(batch, rounds):
+                        late = not ordered and time.monotonic() > deadline
+                        for i in places:
+                            if late or lines[i] in stopped:
+                                results[i] = unsent
+                        places = [i for i in places if results[i] is not unsent]
                         todo = [payloads[i] for i in places]
                         settle_all = map if len(todo) == 1 else pool.map
                         for i, result in zip(places, settle_all(settle, todo)):
                             results[i] = result
+                            if ordered and result["status"] == "UNKNOWN":
+                                stopped.add(lines[i])
                     yield batch.assign(**{
                         f.name: [r.get(f.name) for r in results] for f in RESULT_FIELDS
                     })

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from postroad.operators.routing import resolve_topic_table
-from postroad.sources.control import current_rules
+from postroad.sources.control import current_rules, has_valid_rules
 
 
 def route_stream(
@@ -21,12 +21,17 @@ def route_stream(
     """Resolve each micro-batch by the rules that are current when it starts.
 
     ``read_snapshots`` gives the rule documents ``(version, data)``; ``write`` takes the
-    resolved batch and its id, and must be idempotent by id.
+    resolved batch and its id, and must be idempotent by id. Without any valid document
+    the batch fails and keeps its offsets; a valid document without rules gives no topics.
     """
 
     def route(batch: DataFrame, batch_id: int) -> None:
-        rules = current_rules(read_snapshots())
-        write(resolve_topic_table(batch, rules), batch_id)
+        snapshots = read_snapshots()
+        rules = current_rules(snapshots)
+        empty = rules.isEmpty()
+        if empty and not has_valid_rules(snapshots):
+            raise ValueError("Topic mappings is empty")
+        write(resolve_topic_table(batch, rules, allow_empty=empty), batch_id)
 
     writer = events.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()

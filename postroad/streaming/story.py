@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from typing import Any
 
@@ -12,8 +13,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postroad import schema
 from postroad.functions.text import parse_headers
-from postroad.operators.delivery import committable_offsets, dead_letter_records, delivery_rounds
+from postroad.operators.delivery import PARTITION, committable_offsets, dead_letter_records, delivery_rounds
 from postroad.operators.filters import Transform, title_passes, transform_chain
+from postroad.operators.lookup import lookup_join
 from postroad.operators.parse import parse_kafka_messages, quarantine_messages
 from postroad.operators.replay import replay_window
 from postroad.streaming.deliver import RESULT_FIELDS, deliver, http_transport
@@ -40,40 +42,35 @@ def process_batch(
 ) -> None:
     """Deliver one batch of Kafka-shaped records and write its tables under ``out``.
 
-    Results are written first and everything else is derived from them, so that nothing
-    is sent twice by a recomputation. A batch whose results are complete is not sent
-    again. ``story`` has ``story_id``, ``sink`` and perhaps ``include``, ``exclude``,
-    ``concurrent``.
+    What transforms give is written before anything is sent, and every try writes its
+    results, so that user code runs once and nothing is sent twice by a recomputation. A
+    batch that is run again sends only the events without a final outcome. Everything else
+    is derived from the results; dead letters are handed on once the whole batch is settled.
+    ``story`` has ``story_id``, ``sink`` and perhaps ``include``, ``exclude``, ``concurrent``.
     """
     spark = records.sparkSession
+    key = [*PARTITION, "offset"]
     results_path = f"{out}/results/batch_id={batch_id}"
-
-    def settled() -> bool:
-        if not _is_written(spark, results_path):
-            return False
-        unknown = spark.read.parquet(results_path).where(F.col("status") == "UNKNOWN")
-        return unknown.isEmpty()
-
-    if not settled():
-        events = parse_kafka_messages(records)
-        include, exclude = story.get("include"), story.get("exclude")
-        passes = title_passes(F.col("title"), include, exclude) if include or exclude else F.lit(True)
-        if transforms:
-            kept = transform_chain(events.where(passes), transforms)
-            dropped = events.join(kept, ["topic", "partition", "offset"], "left_anti")
-            passes = F.col("_kept")
-            events = kept.withColumn("_kept", F.lit(True)).unionByName(
-                dropped.withColumn("_kept", F.lit(False)), allowMissingColumns=True
-            ).persist()  # user code runs once
-        # Filtered events take part in offset accounting; they are not sent.
-        rounds = delivery_rounds(events, passes, story.get("concurrent", 1))
-        sent = deliver(rounds, story["sink"], transport, **delivery)
-        sent.withColumn("story_id", F.lit(story["story_id"])).write.mode("overwrite").parquet(
-            results_path
+    tries = f"{out}/tries/batch_id={batch_id}"
+
+    events = parse_kafka_messages(records)
+    include, exclude = story.get("include"), story.get("exclude")
+    passes = title_passes(F.col("title"), include, exclude) if include or exclude else F.lit(True)
+    if transforms:
+        kept_path = f"{out}/transformed/batch_id={batch_id}"
+        if not _is_written(spark, kept_path):
+            transform_chain(events.where(passes), transforms).write.mode("overwrite").parquet(kept_path)
+        kept = spark.read.parquet(kept_path)
+        dropped = events.join(kept, key, "left_anti")
+        passes = F.col("_kept")
+        events = kept.withColumn("_kept", F.lit(True)).unionByName(
+            dropped.withColumn("_kept", F.lit(False)), allowMissingColumns=True
         )
-        if transforms:
-            events.unpersist()
-
+    # Filtered events take part in offset accounting; they are not sent.
+    rounds = delivery_rounds(events, passes, story.get("concurrent", 1))
+    finished = deliver_unsettled(
+        rounds, story["sink"], transport, tries, results_path, {"story_id": story["story_id"]}, **delivery
+    )
     results = spark.read.parquet(results_path)
 
     def save(table: DataFrame, name: str) -> None:
@@ -81,12 +78,49 @@ def process_batch(
 
     save(quarantine_messages(records), "quarantine")
     save(committable_offsets(results), "offsets")
-    dead = dead_letter_records(results)
-    save(dead, "dead_letters")
-    if write_dead_letters is not None:
-        write_dead_letters(dead, batch_id)
-    if not settled():
+    if not finished:
         raise DeliveryIncomplete(f"story {story['story_id']}, batch {batch_id}")
+    dead_path = f"{out}/dead_letters/batch_id={batch_id}"
+    if not _is_written(spark, dead_path):
+        save(dead_letter_records(results), "dead_letters")
+    if write_dead_letters is not None and not _is_written(spark, f"{tries}/handed"):
+        write_dead_letters(spark.read.parquet(dead_path), batch_id)
+        spark.range(0).write.mode("overwrite").parquet(f"{tries}/handed")
+
+
+def deliver_unsettled(
+    events: DataFrame,
+    sink: dict[str, Any],
+    transport: Any,
+    tries: str,
+    results_path: str,
+    more: dict[str, str] | None = None,
+    **delivery: Any,
+) -> bool:
+    """Send the events that no earlier try has settled, and write one result for each event.
+
+    Each try is a table under ``tries``; ``results_path`` is written from them all. Returns
+    whether every event is settled now.
+    """
+    spark = events.sparkSession
+    key = [*PARTITION, "offset"]
+    number = 0
+    settled: DataFrame | None = None
+    while _is_written(spark, f"{tries}/try={number}"):
+        done = spark.read.parquet(f"{tries}/try={number}")
+        done = done.where(F.coalesce("status", F.lit("DONE")) != "UNKNOWN")
+        settled = done if settled is None else settled.unionByName(done)
+        number += 1
+    todo = events if settled is None else events.join(settled.select(*key), key, "left_anti")
+    if settled is None or not todo.isEmpty():
+        sent = deliver(todo, sink, transport, **delivery).withColumns({k: F.lit(v) for k, v in (more or {}).items()})
+        sent.write.mode("overwrite").parquet(f"{tries}/try={number}")
+        sent = spark.read.parquet(f"{tries}/try={number}")
+        whole = sent if settled is None else settled.unionByName(sent)
+        whole.write.mode("overwrite").parquet(results_path)
+    elif not _is_written(spark, results_path):
+        settled.write.mode("overwrite").parquet(results_path)
+    return spark.read.parquet(results_path).where(F.col("status") == "UNKNOWN").isEmpty()
 
 
 def run_story(
@@ -134,13 +168,14 @@ def run_stories(
     trigger: dict[str, Any] | None = None,
     **options: Any,
 ) -> list[StreamingQuery]:
-    """Start one query per usable story, each with its own tables, checkpoint and pool.
+    """Start one query per usable story that is not disabled, each with its own tables, checkpoint and pool.
 
     ``open_stream`` gives the stream of a story's row: by its topics or its pattern.
     """
     context = stories.sparkSession.sparkContext
     running = []
-    for row in stories.where(F.col("error").isNull()).toLocalIterator():
+    usable = F.col("error").isNull() & (F.col("status") == "NORMAL")
+    for row in stories.where(usable).toLocalIterator():
         context.setLocalProperty("spark.scheduler.pool", f"story-{row.story_id}")
         running.append(run_story(
             open_stream(row), story_params(row), f"{out}/{row.story_id}",
@@ -163,10 +198,11 @@ def replay(
 ) -> DataFrame:
     """Send a time range of a log to a sink; returns the written results.
 
-    The range is first written under ``out`` in steps of ``step`` offsets, and the steps
-    are sent one after the other. So a task never holds more than ``step`` records of a
-    partition, and a replay that is started again goes on after its last full step.
-    Failures stay in the results and are not dead-lettered. Unparsable records go to a
+    The range is first written under ``out`` in steps of ``step`` offsets of each partition,
+    counted from the first one chosen there, and the steps are sent one after the other. So a
+    task never holds more than ``step`` records of a partition. A replay that is started again
+    sends only what has no final outcome; with other arguments on the same folder it is
+    refused. Failures stay in the results and are not dead-lettered. Unparsable records go to a
     quarantine table and the replay goes on. ``headers`` are ``k=v`` texts.
     """
     spark = log.sparkSession
@@ -176,19 +212,30 @@ def replay(
     sink: dict[str, Any] = {"url": url}
     if headers:
         sink["headers"] = parse_headers(headers)
+    asked = json.dumps([url, str(start), None if end is None else str(end), list(headers or []), step])
+    if _is_written(spark, f"{out}/asked"):
+        before = spark.read.parquet(f"{out}/asked").first().asked
+        if before != asked:
+            raise ValueError(f"{out} holds a replay of other arguments: {before}")
+    else:
+        spark.createDataFrame([(asked,)], "asked string").write.mode("overwrite").parquet(f"{out}/asked")
     chosen_path = f"{out}/chosen"
     if not _is_written(spark, chosen_path):
-        chosen = replay_window(log, start, end).withColumn("step", F.expr(f"`offset` div {step}"))
+        window = replay_window(log, start, end)
+        first = window.groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
+        numbered = lookup_join(window, first, PARTITION, "inner", ["offset"])
+        numbered = numbered.withColumn("step", F.expr(f"(`offset` - _first) div {step}"))
+        chosen = numbered.select(*chosen_schema.fieldNames()).repartition("step", *PARTITION)
         chosen.write.partitionBy("step").mode("overwrite").parquet(chosen_path)
     chosen = spark.read.schema(chosen_schema).parquet(chosen_path)
     quarantine_messages(chosen).write.mode("overwrite").parquet(f"{out}/quarantine")
     any_sent = False
     for (number,) in chosen.select("step").distinct().orderBy("step").toLocalIterator():
-        path = f"{out}/results/step={number}"
-        if not _is_written(spark, path):
-            events = parse_kafka_messages(chosen.where(F.col("step") == number).drop("step"))
-            deliver(events, sink, transport, **delivery).write.mode("overwrite").parquet(path)
+        events = parse_kafka_messages(chosen.where(F.col("step") == number).drop("step"))
+        paths = f"{out}/tries/step={number}", f"{out}/results/step={number}"
         any_sent = True
+        if not deliver_unsettled(events, sink, transport, *paths, **delivery):
+            break  # later records of a partition must not pass earlier ones
     if not any_sent:
         return spark.createDataFrame([], sent_schema)
     return spark.read.schema(sent_schema).parquet(f"{out}/results")

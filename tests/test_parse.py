@@ -1,6 +1,7 @@
 """Strict JSON and event parsing against Python's own JSON."""
 
 import json
+import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -60,34 +61,49 @@ def bodies(spark, *texts):
     return spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "request_id string, body string")
 
 
-GOOD = '{"id": "id1", "title": "test_event", "published": "anything"}'
+GOOD = '{"published": "week 7", "id": "no-4", "title": "Crate.packed"}'
+FAULTS = {
+    "NOT_JSON": ["{", "no json", None, GOOD + GOOD, "[" + GOOD],
+    "NOT_AN_EVENT": ["7", "false", '"text"', "null"],
+    "EMPTY_BODY": ["[]", " [ ] "],
+    "BAD_ELEMENT": [
+        *(json.dumps({k: v for k, v in json.loads(GOOD).items() if k != gone}) for gone in ("id", "title", "published")),
+        *(json.dumps({**json.loads(GOOD), k: v}) for k, v in (("id", 3), ("title", None), ("published", ["a"]))),
+        f"[{GOOD}, 8]", f"[[{GOOD}]]", '["text"]', "[null]",
+    ],
+}
 
 
 def test_bad_bodies(spark):
-    df = bodies(
-        spark, "abc", '{"id":"login"}', '{"verb":"login"}', '{"title":"user.login"}', "5", '"x"', "null", "[]", "[1]", "[null]",
-        f"[{GOOD}, 5]", '{"id":5,"title":"t","published":"p"}', '{"id":null,"title":"t","published":"p"}', None, "[[]]", '["abc"]',
-    )
+    cases = [(kind, text) for kind, texts in FAULTS.items() for text in texts]
+    df = bodies(spark, *(text for _, text in cases))
     assert parse.parse_request_bodies(df).count() == 0
-    kinds = [r.error_kind for r in parse.quarantine_bodies(df).orderBy(F.col("request_id").cast("int")).collect()]
-    assert kinds == ["NOT_JSON"] + ["BAD_ELEMENT"] * 3 + ["NOT_AN_EVENT"] * 3 + ["EMPTY_BODY"] + ["BAD_ELEMENT"] * 5 + [
-        "NOT_JSON", "BAD_ELEMENT", "BAD_ELEMENT",
-    ]
+    found = {int(r.request_id): r.error_kind for r in parse.quarantine_bodies(df).collect()}
+    assert [found[k] for k in range(len(cases))] == [kind for kind, _ in cases]
 
 
 def test_good_bodies(spark):
-    listed = f'[{GOOD}, {GOOD.replace("id1", "")}]'
-    nested = json.dumps({
-        "version": "1.0", "id": "e", "title": "message.send", "published": "2017-08-15T13:49:55Z",
-        "actor": {"id": "actorId", "attachments": [{"id": "x", "attachments": [{"id": "y"}]}]},
-        "object": {"id": "objectId"}, "target": {"id": None}, "provider": {"id": "p"},
-    })
-    rows = parse.parse_request_bodies(bodies(spark, GOOD, listed, nested)).orderBy("request_id", "pos").collect()
-    assert [(r.request_id, r.pos, r.id) for r in rows] == [("0", 0, "id1"), ("1", 0, "id1"), ("1", 1, ""), ("2", 0, "e")]
-    assert rows[0].published == "anything" and rows[0].extra is None
-    assert rows[3].extra == {"actor_id": "actorId", "object_id": "objectId", "target_id": None}
-    assert json.loads(rows[3].payload) == json.loads(nested)
-    assert json.loads(rows[1].payload) == json.loads(GOOD)
+    """Random events, alone and in lists: fields, places and extra columns are those of Python's parser."""
+    draw = random.Random(9)
+
+    def event(k):
+        body = {"id": draw.choice(["", f"no-{k}"]), "title": f"Crate.{k}", "published": draw.choice(["", "week 7"]), "load": [k, {"deep": [{"er": k}]}]}
+        for name in draw.sample(["actor", "object", "target", "provider"], draw.randint(0, 4)):
+            body[name] = draw.choice([{"id": f"{name} {k}"}, {"id": None, "x": 1}, {"x": {}}])
+        return body
+
+    sent = [event(0), *([event(10 * n + k) for k in range(n)] for n in (1, 2, 3))]
+    rows = parse.parse_request_bodies(bodies(spark, *map(json.dumps, sent))).collect()
+    found = {(int(r.request_id), r.pos): r for r in rows}
+    expected = {(k, pos): e for k, s in enumerate(sent) for pos, e in enumerate(s if isinstance(s, list) else [s])}
+    assert set(found) == set(expected)
+    for place, e in expected.items():
+        r = found[place]
+        assert (r.id, r.title, r.published) == (e["id"], e["title"], e["published"])
+        assert json.loads(r.payload) == e
+        for name in ("actor", "object", "target"):
+            held = (r.extra or {}).get(f"{name}_id")
+            assert held == (e.get(name) or {}).get("id")
 
 
 def test_exact_payload(spark):
@@ -110,7 +126,7 @@ def test_kafka_messages(spark):
     ])
     kept = parse.parse_kafka_messages(df).orderBy("offset").collect()
     assert [(r.offset, r.key) for r in kept] == [(0, "k"), (1, None), (8, "k")]
-    assert json.loads(kept[2].payload)["id"] == "id1"
+    assert json.loads(kept[2].payload)["id"] == "no-4"
     bad = parse.quarantine_messages(df).orderBy("offset").collect()
     assert [(r.offset, r.error_kind) for r in bad] == [
         (2, "BAD_KEY"), (3, "EMPTY_VALUE"), (4, "EMPTY_VALUE"), (5, "NOT_AN_EVENT"), (6, "NOT_JSON"), (7, "BAD_EVENT"),

@@ -2,6 +2,7 @@
 
 import json
 import os
+import random
 import sys
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from postroad import schema
-from postroad.operators import report
+from postroad.operators import delivery, report
 from postroad.plans.catalog import ScriptedSink, _no_sleep
 from postroad.sources import control, kafka, requests
 from postroad.streaming import deliver as delivering
@@ -36,53 +37,41 @@ def events(spark, payloads):
     return spark.createDataFrame(rows, "id string, payload string, topic string, partition int, offset bigint")
 
 
-class Mock:
-    """Answers by payload, as a mock server would."""
+REPLIES = [(200, "Ok"), (200, "RETRY"), (200, "Exponential_Backoff_Retry"), (200, "later"), (404, ""), "connection", "timeout", "response", "payload", "other"]
+RAISED = {"connection": ConnectionFailed, "timeout": TimeoutError, "response": delivering.ResponseFailed, "payload": PayloadFailed, "other": KeyError}
+
+
+class Script:
+    """Answers each attempt by the next line of a script drawn from the payload; in the end with ok."""
 
     def open(self):
         self.tries = {}
 
     def send(self, method, url, headers, body, timeout):
-        text = body.decode()
-        n = self.tries[text] = self.tries.get(text, 0) + 1
-        if text == "retry2":
-            return 200, "retry" if n < 3 else "ok"
-        if text == "timeout" and n < 3:
-            raise TimeoutError
-        if text == "connection" and n < 3:
-            raise ConnectionFailed("refused")
-        if text == "odd" and n < 2:
-            raise KeyError("odd")
-        if text == "payload":
-            raise PayloadFailed("cut off")
-        if text == "non-200":
-            return 500, "ok"
-        if text in ("retry", "exponential_backoff_retry"):
-            return 200, text
-        if text == "unexpected":
-            return 200, "something else"
-        return 200, "OK"
+        name = body.decode()
+        n = self.tries[name] = self.tries.get(name, 0) + 1
+        script = random.Random(name).choices(REPLIES, k=5)
+        reply = script[n - 1] if n <= len(script) else (200, "ok")
+        if isinstance(reply, str):
+            raise RAISED[reply]("said so")
+        return reply
 
 
 def test_outcomes(spark):
-    expected = {
-        "fine": ("DONE", None, 1),
-        "retry": ("DEAD_LETTER", "Maximum Retries", 4),
-        "exponential_backoff_retry": ("DEAD_LETTER", "Maximum Retries", 4),
-        "retry2": ("DONE", None, 3),
-        "unexpected": ("DEAD_LETTER", "Unexpected Response: something else", 1),
-        "timeout": ("DONE", None, 3),
-        "non-200": ("DEAD_LETTER", "Non-200 Status Code: 500", 1),
-        "connection": ("DONE", None, 3),
-        "odd": ("DONE", None, 2),
-        "payload": ("DEAD_LETTER", "cut off", 1),
-    }
+    """What delivery does with any script of replies is what the classifying operators say of its attempts."""
+    names = [f"script {k}" for k in range(60)]
     for ordered in (True, False):
-        rows = deliver(events(spark, expected), SINK, Mock(), ordered=ordered, sleep=_no_sleep).collect()
-        assert {r.payload: (r.status, r.error, r.attempts) for r in rows} == expected
-    delays = {r.payload: r.total_delay for r in rows}
-    assert delays["retry"] == 0.0 and delays["timeout"] == pytest.approx(0.3)
-    assert delays["exponential_backoff_retry"] == pytest.approx(0.7)
+        sent = deliver(events(spark, names), SINK, Script(), ordered=ordered, sleep=_no_sleep).cache()
+        attempts = sent.select("payload", F.explode("log").alias("a")).select("payload", "a.*")
+        outcomes = delivery.delivery_outcome(delivery.classify_attempt(attempts), key=["payload"])
+        expected = {r.payload: (r.status, r.error, r.attempts, pytest.approx(r.total_delay)) for r in outcomes.collect()}
+        found = {r.payload: (r.status, r.error, r.attempts, r.total_delay) for r in sent.collect()}
+        assert set(found) == set(names) and found == expected
+        assert {s for s, *_ in found.values()} == {"DONE", "DEAD_LETTER"}
+    for r in sent.collect():
+        script = random.Random(r.payload).choices(REPLIES, k=5) + [(200, "ok")]
+        for attempt, reply in zip(r.log, script, strict=False):
+            assert (attempt.error_kind if isinstance(reply, str) else (attempt.http_status, attempt.body)) == reply
 
 
 def test_no_end_is_unknown(spark):
@@ -94,6 +83,17 @@ def test_no_end_is_unknown(spark):
     assert row.log[0].error_kind == "connection"
 
 
+def test_a_partition_stops_at_an_unknown_event(spark):
+    def send(method, url, headers, body, timeout):
+        if body == b"4":
+            raise ConnectionFailed("refused")
+        return 200, "ok"
+
+    rows = deliver(events(spark, [str(k) for k in range(10)]), SINK, send, sleep=_no_sleep, deadline_s=3).collect()
+    found = {int(r.payload): (r.status, r.attempts > 0) for r in rows}
+    assert found == {k: ("DONE", True) if k % 2 or k < 4 else ("UNKNOWN", k == 4) for k in range(10)}
+
+
 def test_order_and_rounds(spark, tmp_path):
     rows = [("%d" % i, f"{p}:{i}", "t", p, i, i // 2 + 1, i % 5 != 0) for i in range(40) for p in range(3)]
     df = spark.createDataFrame(rows, "id string, payload string, topic string, partition int, offset bigint, round bigint, passes boolean")
@@ -177,6 +177,33 @@ def test_incomplete_batch_is_delivered_again(spark, tmp_path):
     assert os.path.getsize(count) == sends
 
 
+def test_a_rerun_sends_only_what_is_open(spark, tmp_path):
+    batch = log(spark, [record("t", k % 2, k) for k in range(10)])
+    out, flag, sent = str(tmp_path / "out"), str(tmp_path / "up"), str(tmp_path / "sent")
+    handed = []
+
+    def send(method, url, headers, body, timeout):
+        n = json.loads(body)["id"]
+        if n == "4" and not os.path.exists(flag):
+            raise ConnectionFailed("down")
+        with open(sent, "a") as f:
+            f.write(f"{n}\n")
+        return (500, "") if n == "3" else (200, "ok")
+
+    def process():
+        story.process_batch(batch, 0, {"story_id": "s", "sink": SINK}, out, send, write_dead_letters=lambda df, k: handed.append(df.count()), sleep=_no_sleep, deadline_s=3)
+
+    with pytest.raises(story.DeliveryIncomplete):
+        process()
+    assert handed == [] and spark.read.parquet(f"{out}/results").where("status = 'UNKNOWN'").count() == 3
+    open(flag, "w").close()
+    process()
+    process()
+    assert sorted(int(n) for n in open(sent)) == list(range(10))
+    assert handed == [1] and spark.read.parquet(f"{out}/results").count() == 10
+    assert {r.next_offset for r in spark.read.parquet(f"{out}/offsets").collect()} == {9, 10}
+
+
 class Halve:
     def init(self):
         pass
@@ -188,6 +215,24 @@ class Halve:
         pass
 
 
+class Counted(Halve):
+    def __init__(self, path):
+        self.path = path
+
+    def run(self, event):
+        with open(self.path, "a") as f:
+            f.write("x")
+        return super().run(event)
+
+
+def test_transforms_run_once(spark, tmp_path):
+    batch = log(spark, [record("t", 0, i) for i in range(20)])
+    calls = str(tmp_path / "calls")
+    for _ in range(2):
+        story.process_batch(batch, 0, {"story_id": "s", "sink": SINK}, str(tmp_path / "out"), lambda *_: (200, "ok"), transforms=[hooks.row_transform(lambda: Counted(calls))])
+    assert os.path.getsize(calls) == 20
+
+
 def test_row_transform_in_a_story(spark, tmp_path):
     batch = log(spark, [record("t", 0, i) for i in range(10)])
     out = str(tmp_path / "out")
@@ -241,6 +286,32 @@ def test_replay_goes_on_after_a_failure(spark, tmp_path):
     open(flag, "w").close()
     assert start().where("status = 'DONE'").count() == 12
     assert [int(n) for n in open(sent)] == [0, 1, 2, 3, 4, 5, 6, 4, 5, 6, 7, 8, 9, 10, 11]
+    with pytest.raises(ValueError, match="other arguments"):
+        story.replay(df, SINK["url"], F.timestamp_seconds(F.lit(5)), None, out, Fragile(), step=4)
+
+
+def test_replay_tries_unknown_events_again(spark, tmp_path):
+    rows = [record("t", 0, i) for i in range(8)] + [record("t", 1, 1000 + i) for i in range(8)]
+    df = log(spark, rows).withColumn("timestamp", F.timestamp_seconds(F.col("offset") % 100))
+    out, flag, sent = str(tmp_path / "out"), str(tmp_path / "up"), str(tmp_path / "sent")
+
+    def send(method, url, headers, body, timeout):
+        n = json.loads(body)["id"]
+        if n == "2" and not os.path.exists(flag):
+            raise ConnectionFailed("down")
+        with open(sent, "a") as f:
+            f.write(f"{n}\n")
+        return 200, "ok"
+
+    def start():
+        return story.replay(df, SINK["url"], F.timestamp_seconds(F.lit(0)), None, out, send, step=4, sleep=_no_sleep, deadline_s=3)
+
+    assert start().where("status = 'UNKNOWN'").count() == 2
+    assert spark.read.parquet(f"{out}/chosen").select("step").distinct().count() == 2
+    open(flag, "w").close()
+    assert start().where("status = 'DONE'").count() == 16
+    order = [int(n) for n in open(sent)]
+    assert sorted(order) == [*range(8), *range(1000, 1008)] and [n for n in order if n < 8] == list(range(8))
 
 
 def test_all_stories(spark, tmp_path):
@@ -252,8 +323,9 @@ def test_all_stories(spark, tmp_path):
         ("a", 'kafka#{"topics":["t0"]}', 'filter#{"event-name-white-list":["user"]}'),
         ("b", 'kafka#{"topic-pattern":"t"}', None),
         ("c", "file#{}", None),
+        ("d", 'kafka#{"topics":["t0"]}', None),
     ]
-    table = [(f"stories/{s}/{n}", d) for s, source, op in nodes for n, d in [("source", source), ("sink", sink), ("status", ""), ("operators", op)] if d is not None]
+    table = [(f"stories/{s}/{n}", d) for s, source, op in nodes for n, d in [("source", source), ("sink", sink), ("status", "DISABLED" if s == "d" else ""), ("operators", op)] if d is not None]
     stories = control.load_stories(spark.createDataFrame(table, "path string, data string"), "relay", "p", "test")
 
     def open_stream(row):
@@ -261,6 +333,7 @@ def test_all_stories(spark, tmp_path):
 
     out = str(tmp_path / "out")
     running = story.run_stories(stories, open_stream, out, f"{out}/checkpoints", lambda *_: (200, "ok"), {"availableNow": True})
+    assert len(running) == 2
     for query in running:
         query.awaitTermination()
     results = spark.read.parquet(f"{out}/a/results").union(spark.read.parquet(f"{out}/b/results")).where("passes")
@@ -288,6 +361,29 @@ def test_rules_change_while_running(spark, tmp_path):
     assert found[-1] == {"0": "a", "1": "a", "2": "b"}
 
 
+def test_no_rules_keep_the_offsets(spark, tmp_path):
+    """A batch without any valid rules document fails; with an empty one it passes without topics."""
+    path, written = str(tmp_path / "in"), []
+    spark.createDataFrame([("1", "user.x")], "id string, title string").write.parquet(path)
+    source = spark.readStream.schema("id string, title string").parquet(path)
+    for doc, topics in (("broken", None), ("[]", [None]), (None, None)):
+        def read(doc=doc):
+            return spark.createDataFrame([(0, doc)] if doc else [], "version int, data string")
+
+        def write(batch, batch_id):
+            written.append([r.topic for r in batch.collect()])
+
+        def start(doc=doc):
+            run(route.route_stream(source, read, write, f"{tmp_path}/checkpoint-{doc}", availableNow=True))
+
+        if topics is None:
+            with pytest.raises(Exception, match="Topic mappings is empty"):
+                start()
+        else:
+            start()
+    assert written == [[None]]
+
+
 def test_kafka_options():
     options = kafka.reader_options(["a", "b"], None, {"kafka.bootstrap.servers": "example.invalid:9092"})
     assert options == {
