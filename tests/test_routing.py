@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from postroad.operators import filters, lookup, routing
 
-PARTS = ["order", "cart", "Refund", "stock_low", "x1", ""]
+PARTS = ["order", "cart", "Refund", "stock_low", "x1", "pay"]
 
 
 def drawn_rules(draw, n):
