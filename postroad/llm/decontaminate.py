@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad.llm.arrays import ALPHANUMERIC, LOWER, Table, Words, chunks
+from postroad.llm.shared import checkpointed
 
 WINDOW = 10
 BLOCK_CHARS = 20_000_000
@@ -101,7 +102,7 @@ def find(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, text:
     current = documents.select(*(F.col(c).alias(f"keep_{k}") for k, c in enumerate(keep)), F.col(text).alias("the_text"), F.lit(0).cast("long").alias("n_words"), F.expr(f"cast(array() as {HITS})").alias("spans"), F.lit(None).cast(T.ArrayType(id_type)).alias("items"))
     schema = T.StructType([*current.schema.fields[: len(keep) + 1], *inner.fields])
     for k, block in enumerate(_blocks(benchmark, item, item_text, block_chars)):
-        current = (current.checkpoint() if k else current).mapInArrow(_finder(documents, Windows(block, window), len(keep)), schema)
+        current = (checkpointed(current) if k else current).mapInArrow(_finder(documents, Windows(block, window), len(keep)), schema)
     return current.select(*(F.col(f"keep_{k}").alias(c) for k, c in enumerate(keep)), *([F.col("the_text").alias(text)] if with_text else []), "n_words", "spans", "items")
 
 
@@ -148,11 +149,11 @@ def remove(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, tex
     for turn in range(1000):
         before, blocks = current, 0
         for block in _blocks(benchmark, item, item_text, block_chars):
-            current = (current.checkpoint() if turn or blocks else current).mapInArrow(_cutter(documents, Windows(block, window), names.index(text)), inner)
+            current = (checkpointed(current) if turn or blocks else current).mapInArrow(_cutter(documents, Windows(block, window), names.index(text)), inner)
             blocks += 1
         if blocks == 1:
             break  # the task itself has searched again
-        current = current.checkpoint()
+        current = checkpointed(current)
         if turn and current.agg(F.sum("cut")).first()[0] == before.agg(F.sum("cut")).first()[0]:
             break
     kept = current.where(F.col("cut") <= F.lit(drop_share) * F.col("of"))

@@ -31,6 +31,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """A checkpoint in the shared folder."""
+    folder(df.sparkSession, "checkpoint")  # sees to it that there is one
+    return df.checkpoint()
+
+
 def is_small(table: DataFrame, limit: int = SMALL_BYTES) -> bool:
     """Whether the rows, strings at full length, hold fewer bytes than `limit`. One aggregate."""
     texts = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in table.dtypes if kind in ("string", "binary")]

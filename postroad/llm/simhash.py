@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad.llm.arrays import LOWER, NOT_SPACE, Words, chunks, mixed
-from postroad.llm.shared import written
+from postroad.llm.shared import checkpointed, written
 
 SHINGLE = 4
 DISTANCE = 4
@@ -205,7 +205,8 @@ def components(edges_: DataFrame) -> DataFrame:
     Large-star hangs a node's larger neighbours under its smallest one, small-star its smaller ones; the two in
     turn end in stars. The smallest neighbour is an aggregate, joined back, so no node's neighbours are gathered.
     """
-    current = edges_.select("low", "high").where("low <> high").distinct().checkpoint()
+    current = edges_.select("low", "high").where("low <> high").distinct()
+    current = checkpointed(current)
     while True:
         both = current.union(current.select(F.col("high"), F.col("low"))).toDF("u", "v")
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -213,7 +214,7 @@ def components(edges_: DataFrame) -> DataFrame:
         least = large.groupBy("high").agg(F.min("low").alias("m"))
         small = large.join(least, "high")
         small = small.select(F.col("m").alias("low"), "high").union(small.where("low <> m").select(F.col("m").alias("low"), F.col("low").alias("high"))).distinct()
-        following = small.checkpoint()
+        following = checkpointed(small)
         # Stars: no node stands on both sides, and each hangs under one. Then nothing changes any more.
         n, m = current.count(), following.count()
         if n == m and not following.exceptAll(current).limit(1).count():
@@ -224,7 +225,7 @@ def components(edges_: DataFrame) -> DataFrame:
 
 def duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, distance: int = DISTANCE, parts: int | None = None) -> DataFrame:
     """Each row's `key`, its fingerprint `bits`, and `component`, the smallest key that links reach."""
-    prints = fingerprints(df, text, (key,), shingle).toDF("key", "bits").checkpoint()
+    prints = checkpointed(fingerprints(df, text, (key,), shingle).toDF("key", "bits"))
     nodes = prints.groupBy("bits").agg(F.min("key").alias("least"))
     roots = components(edges(nodes, distance, parts))
     placed = nodes.join(roots, nodes["bits"] == roots["node"], "left").select("bits", "least", F.coalesce("root", "bits").alias("root"))
