@@ -40,7 +40,6 @@ DEPTH = 5
 COMMON = 1 << 20
 #: N-grams in a group of contexts, about.
 GROUP = 200_000
-_LGAMMA = np.frompyfunc(math.lgamma, 1, 1)
 _HALF = math.log(0.5)
 
 
@@ -50,7 +49,7 @@ def held_out(key: Column, parts: int = 7, part: int = 2) -> Column:
 
 def _estimate(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     """The log of the Krichevsky-Trofimov probability of n0 zeros and n1 ones."""
-    log = lambda x: _LGAMMA(x).astype(np.float64) if len(x) else np.zeros(0)
+    log = lambda x: np.fromiter(map(math.lgamma, x.tolist()), np.float64, len(x))
     return log(n0 + 0.5) + log(n1 + 0.5) - math.log(math.pi) - log(n0 + n1 + 1.0)
 
 
