@@ -7,8 +7,12 @@ of those that fit, the longest (host and path together, then the greater text) w
 For the others, three scores spread over the links between hosts. Each host starts with mass one, in the shares of its
 pages that rules allow (trust), block (distrust) and leave open (neutral). Trust and neutral mass are personalised
 PageRanks along the links; distrust is one against the links, since who links to blocked hosts is suspect. A
-host is blocked if distrust makes up more than `limit` of its three scores, so a host with a few blocked pages is not
-lost as a whole. A linked host without pages has only what reaches it.
+distrusted host hands one share to each of its linkers, so these three rank hosts and judge none: the more linkers, the less each.
+
+The verdict comes from a fourth score, suspicion, from 0 to 1: the share of a host's pages that rules block, and for
+the share left open `damping` times the mean suspicion of the hosts that it links to, weighted by linking pages. It does not
+depend on how many others link there. A host is blocked beyond `limit`, so a host with a few blocked pages, or few links
+to blocked hosts among others, is not lost as a whole. A linked host without pages has only what reaches it.
 
 Scale: pages are brought down to hosts and to host pairs before any join, with partial sums, so a hot host is one row.
 Each step of the propagation is one join on hosts and one sum, written to the shared folder. Pages meet their
@@ -60,22 +64,27 @@ def edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS, enough: float = ENOUGH) -> DataFrame:
-    """(kind, host, score): PageRanks from `seeds` (kind, host, mass), along the links, or against them for distrust.
+    """(kind, host, score): PageRanks from `seeds` (kind, host, mass), along the links, or against them for distrust; and suspicion.
 
     It ends after `steps` steps, or when the scores of a step differ by less than `enough` in all.
     """
     share = lambda end: links.groupBy(end).agg(F.sum("n").alias("of"))
     along = links.join(share("src"), "src").select(F.explode(F.array(F.lit("trust"), F.lit("neutral"))).alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("of")).alias("share"))
     against = links.join(share("dst"), "dst").select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("n") / F.col("of")).alias("share"))
-    ways = written(along.union(against), "ways")
+    # Each linker has the mean of its targets, for its pages that are left open.
+    left_open = seeds.where("kind = 'neutral'").select(F.col("host").alias("src"), F.col("mass").alias("open"))
+    suspect = links.join(share("src"), "src").join(left_open, "src").select(F.lit("suspicion").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), (F.col("open") * F.col("n") / F.col("of")).alias("share"))
+    ways = written(along.union(against).union(suspect), "ways")
     total = seeds.agg(F.sum("mass").alias("all"))  # one row
-    start = written(seeds.crossJoin(F.broadcast(total)).where("all > 0").select("kind", "host", (F.col("mass") / F.col("all")).alias("score")), "seeds")
+    ranked = seeds.crossJoin(F.broadcast(total)).where("all > 0").select("kind", "host", (F.col("mass") / F.col("all")).alias("score"), ((1 - damping) * F.col("mass") / F.col("all")).alias("given"))
+    blocked = seeds.where("kind = 'distrust'").select(F.lit("suspicion").alias("kind"), "host", F.col("mass").cast("double").alias("score"), F.col("mass").cast("double").alias("given"))
+    start = written(ranked.union(blocked), "seeds")
+    state = start.select("kind", "host", "score")
     if ways.isEmpty():
-        return start
-    state = start
+        return state
     for _ in range(steps):
         moved = ways.join(state, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("share") * F.col("score")).alias("score"), F.lit(0.0).alias("old"))
-        given = start.select("kind", "host", ((1 - damping) * F.col("score")).alias("score"), F.lit(0.0).alias("old"))
+        given = start.select("kind", "host", F.col("given").alias("score"), F.lit(0.0).alias("old"))
         before = state.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("old"))
         state = written(moved.union(given).union(before).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("old").alias("old")), "ranks")
         change = state.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
@@ -86,7 +95,7 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id",), damping: float = DAMPING, steps: int = STEPS, limit: float = LIMIT) -> DataFrame:
-    """The kept columns, host, path, rule (or null), verdict, and the host's trust, neutral and distrust."""
+    """The kept columns, host, path, rule (or null), verdict, and the host's trust, neutral, distrust and suspicion."""
     host, path = url_parts(F.col(url))
     parts = pages.select(F.struct(*keep).alias("kept"), host.alias("host"), path.alias("path"))
     by_host = parts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
@@ -100,11 +109,10 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", html: str = "htm
     links = written(edges(pages.select(host.alias("host"), F.col(html).alias("html"))), "links")
     ranks = propagate(links, seeds, damping, steps)
     of = lambda kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col("score"))), F.lit(0.0)).alias(kind)
-    hosts = ranks.groupBy("host").agg(of("trust"), of("neutral"), of("distrust"))
+    hosts = ranks.groupBy("host").agg(of("trust"), of("neutral"), of("distrust"), of("suspicion"))
     table = written(hosts.join(known, "host", "full"), "hosts")
     rows = lookup(parts, table, ["host"]).withColumn("best", best)
-    trust, neutral, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "neutral", "distrust"))
     # Rounded, as sums of doubles depend on their order in the last digits.
-    spread = F.when(distrust > 0, F.round(distrust / (trust + neutral + distrust), 9)).otherwise(F.lit(0.0))
-    own = F.when(spread > limit, F.lit("block")).otherwise(F.lit("allow"))
-    return rows.select("kept.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", own).alias("verdict"), trust.alias("trust"), neutral.alias("neutral"), distrust.alias("distrust"))
+    trust, neutral, distrust, suspicion = (F.coalesce(F.round(c, 9) if c == "suspicion" else F.col(c), F.lit(0.0)) for c in ("trust", "neutral", "distrust", "suspicion"))
+    own = F.when(suspicion > limit, F.lit("block")).otherwise(F.lit("allow"))
+    return rows.select("kept.*", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", own).alias("verdict"), trust.alias("trust"), neutral.alias("neutral"), distrust.alias("distrust"), suspicion.alias("suspicion"))
