@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from postroad.llm.shared import lookup, written
 
 DAMPING = 0.85
-STEPS = 20
+#: Only a guard: propagation that has not settled by then is an error.
+STEPS = 1000
 ENOUGH = 1e-4
 LIMIT = 0.5
 UPPER, LOWER = (("".join(map(chr, range(a, a + 26)))) for a in (65, 97))
@@ -66,7 +67,8 @@ def edges(pages: DataFrame) -> DataFrame:
 def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, steps: int = STEPS, enough: float = ENOUGH) -> DataFrame:
     """(kind, host, score): PageRanks from `seeds` (kind, host, mass), along the links, or against them for distrust; and suspicion.
 
-    It ends after `steps` steps, or when the scores of a step differ by less than `enough` in all.
+    It ends when a step's change, summed up over all steps to come at this damping, is for no host more than `enough` of its score,
+    or of what a host of mass one keeps of it if that is more (for suspicion, of 1). If `steps` steps are not enough, it is an error.
     """
     share = lambda end: links.groupBy(end).agg(F.sum("n").alias("of"))
     along = links.join(share("src"), "src").select(F.explode(F.array(F.lit("trust"), F.lit("neutral"))).alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), (F.col("n") / F.col("of")).alias("share"))
@@ -82,16 +84,18 @@ def propagate(links: DataFrame, seeds: DataFrame, damping: float = DAMPING, step
     state = start.select("kind", "host", "score")
     if ways.isEmpty():
         return state
+    own = (1 - damping) / (total.first()[0] or 1)
     for _ in range(steps):
         moved = ways.join(state, ["kind", "host"]).select("kind", F.col("to").alias("host"), (damping * F.col("share") * F.col("score")).alias("score"), F.lit(0.0).alias("old"))
         given = start.select("kind", "host", F.col("given").alias("score"), F.lit(0.0).alias("old"))
         before = state.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("old"))
         state = written(moved.union(given).union(before).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("old").alias("old")), "ranks")
-        change = state.agg(F.sum(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
+        floor = F.when(F.col("kind") == "suspicion", F.lit(1.0)).otherwise(F.lit(own))
+        most = state.agg(F.max(F.abs(F.col("score") - F.col("old")) / F.greatest("score", floor))).first()[0] or 0.0
         state = state.select("kind", "host", "score")
-        if change < enough:
-            break
-    return state
+        if most * damping <= enough * (1 - damping):
+            return state
+    raise RuntimeError(f"link scores have not settled after {steps} steps")
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", html: str = "html", keep: tuple[str, ...] = ("page_id",), damping: float = DAMPING, steps: int = STEPS, limit: float = LIMIT) -> DataFrame:

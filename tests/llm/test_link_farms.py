@@ -19,3 +19,15 @@ def test_a_farm_of_any_size_is_blocked(spark, members):
     assert {h for h, r in found.items() if r.verdict == "allow"} == set(clean)
     assert found["farm0.org"].suspicion == pytest.approx(0.85) and found["second.org"].suspicion == pytest.approx(0.85**2)
     assert found["hub.org"].suspicion == pytest.approx(0.85 / 21)
+
+
+def test_scores_are_moved_on_until_they_settle(spark):
+    """A chain of 40 hosts before a blocked one: distrust reaches the first of them."""
+    links = spark.createDataFrame([(f"h{k}", f"h{k + 1}", 1) for k in range(40)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("distrust", "h40", 1.0), *(("neutral", f"h{k}", 1.0) for k in range(40))], "kind string, host string, mass double")
+    found = {(r.kind, r.host): r.score for r in url_filter.propagate(links, seeds).collect()}
+    for k in (0, 10, 30, 39):
+        assert found["suspicion", f"h{k}"] == pytest.approx(0.85 ** (40 - k), abs=1e-4)
+        assert found["distrust", f"h{k}"] == pytest.approx(0.15 * 0.85 ** (40 - k) / 41, abs=1e-6)
+    with pytest.raises(RuntimeError):
+        url_filter.propagate(links, seeds, steps=20)
