@@ -7,7 +7,9 @@ sketches are merged by adding counts. A group with fewer than `min_rows` rows ta
 language, a language with fewer those of the whole table.
 
 From each sketch come the quartiles, and from these the fence: `reach` times the distance between the quartiles
-above the upper one (and below the lower one for word lengths). A fence is never tighter than its allowance, so
+above the upper one (and below the lower one for word lengths). Of symbols, repeated lines and repeated windows, a
+group allows no more than the fence of its language and that of the whole table (each of at least `min_rows` rows), since a source
+that is a quarter junk or more would fence in its junk. A fence is never tighter than its allowance, so
 groups of very even texts do not lose sound ones. A document outside any fence goes, and so does one that fails the base rules.
 
 Three-word windows are compared by 64-bit hashes of their words within a text.
@@ -29,6 +31,8 @@ MIN_ROWS = 200
 REACH = 3
 #: metric -> (allowance above, allowance below): per 1,000 words, lines or words, and hundredths of characters a word.
 ALLOWANCE = {"symbols": (100, None), "dup_lines": (500, None), "repeats": (300, None), "word_length": (1000, 300)}
+#: Metrics whose upper fences are bounded by those of larger groups. Word lengths differ by kind of text, and keep their own.
+SHARES = ("symbols", "dup_lines", "repeats")
 BLANK = "[\\x20\\x09-\\x0D]+"
 
 
@@ -105,12 +109,16 @@ def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_r
     c = quartiles(everything, []).select("metric", F.col("q1").alias("q1_c"), F.col("q3").alias("q3_c"))
     joined = a.join(b, ["lang_", "metric"]).join(F.broadcast(c), "metric")  # c has one row for each metric
     pick = lambda q: F.when(F.col("rows") >= min_rows, F.col(q)).when(F.col("rows_b") >= min_rows, F.col(f"{q}_b")).otherwise(F.col(f"{q}_c"))
-    chosen = joined.select("lang_", "source_", "metric", pick("q1").alias("q1"), pick("q3").alias("q3"))
+    upper = lambda q1, q3: F.col(q3) + reach * (F.col(q3) - F.col(q1))
+    # What a quarter of a group is junk of, its own quartiles allow; so shares are held to the language's fence and the table's.
+    by_all = F.least(F.when(F.col("rows") >= min_rows, upper("q1", "q3")), F.when(F.col("rows_b") >= min_rows, upper("q1_b", "q3_b")), upper("q1_c", "q3_c"))
+    chosen = joined.select("lang_", "source_", "metric", pick("q1").alias("q1"), pick("q3").alias("q3"), by_all.alias("bound"))
     spread = reach * (F.col("q3") - F.col("q1"))
     columns = []
     for metric, (above, below) in ALLOWANCE.items():
         mine = F.col("metric") == metric
-        columns.append(F.max(F.when(mine, F.greatest(F.col("q3") + spread, F.lit(above)))).alias(f"above_{metric}"))
+        top = F.col("bound") if metric in SHARES else F.col("q3") + spread
+        columns.append(F.max(F.when(mine, F.greatest(top, F.lit(above)))).alias(f"above_{metric}"))
         if below is not None:
             columns.append(F.min(F.when(mine, F.least(F.col("q1") - spread, F.lit(below)))).alias(f"below_{metric}"))
     return chosen.groupBy("lang_", "source_").agg(*columns)
