@@ -112,8 +112,86 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 from judged
 """
 
+COLLOCATIONS = r"""
+with pieces as (
+  select doc_id, row_number() over () as row, coalesce(lang, 'und') as lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents
+), words as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), places as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from words
+), phrases as (
+  select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+  from places, (values (1), (2), (3)) as lengths(k) where i + k - 1 <= len(w)
+), f as (
+  select lang, k, phrase, string_split(phrase, ' ') as ws, count(*)::hugeint as n from phrases group by lang, k, phrase having count(*) >= 10
+), cuts as (
+  select c.lang, c.k, c.phrase, c.ws, c.n as a, x.k as cut, x.n as l, y.n as r, (1000000::hugeint * c.n * c.n) // (x.n * y.n) as score
+  from f c join f x on x.lang = c.lang and x.k < c.k and x.phrase = array_to_string(c.ws[1 : x.k], ' ')
+           join f y on y.lang = c.lang and y.k = c.k - x.k and y.phrase = array_to_string(c.ws[x.k + 1 : c.k], ' ')
+  where c.k >= 2
+), lowest as (
+  select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), longest as (
+  select lang, phrase, max(n) as n from (
+    select lang, array_to_string(ws[1:2], ' ') as phrase, n from f where k = 3
+    union all
+    select lang, array_to_string(ws[2:3], ' '), n from f where k = 3
+  ) group by lang, phrase
+), ranked as (
+  select lowest.*, row_number() over (partition by lowest.lang order by score desc, a desc, lowest.phrase) as rank
+  from lowest left join longest on longest.lang = lowest.lang and longest.phrase = lowest.phrase
+  where longest.n is null or 100 * longest.n < 50 * a
+), totals as (
+  select lang, sum(len(w))::bigint as n from words group by lang
+)
+select lang, rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, totals.n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""
+
+PREFIX_TRIE = r"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+         row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place
+  from conversations where conv_id is not null
+), convs as (
+  select conv_id, conv_id - conv_id % 20 as base,
+         xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(conv_id::varchar, ''), lambda x: ord(x)::bigint)),
+             lambda c, b: list_reduce(list_concat([xor(c, b)], [0::bigint, 0, 0, 0, 0, 0, 0, 0]), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 4 as h
+  from turns group by conv_id
+), rebuilt as (
+  select c.conv_id, 0 as own, t.place, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.place <= c.h
+  union all
+  select c.conv_id, 1, t.place, t.role, t.text from convs c join turns t on t.conv_id = c.conv_id and t.place > c.h
+), paths as (
+  select c.conv_id, coalesce(list({'role': role, 'text': text} order by own, place) filter (role is not null), []) as path
+  from convs c left join rebuilt using (conv_id) group by c.conv_id
+), members as (
+  select conv_id, d as depth, path[1:d] as node, path[1:d - 1] as parent, len(path) = d as ends
+  from (select *, unnest(range(0, len(path) + 1)) as d from paths)
+), nodes as (
+  select node, depth, any_value(case when depth > 0 then parent end) as parent, min(conv_id) as conv_id, count(*) as n_convs,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256,
+         (count(*) - 1) * case when depth > 0 then len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) else 0 end as saved
+  from members group by node, depth
+), kids as (
+  select parent as node, count(*) as n from nodes where depth > 0 group by parent
+), below as (
+  select x.node, x.depth, sum(y.saved)::bigint as saved_tokens, count(*) filter (kids.n is null) as n_leaves
+  from nodes x join nodes y on y.depth >= x.depth and y.node[1:x.depth] = x.node left join kids on kids.node = y.node
+  group by x.node, x.depth
+)
+select nodes.conv_id, nodes.depth, p.conv_id as parent_conv_id, nodes.n_convs, coalesce(kids.n, 0) as n_children,
+       below.n_leaves, below.saved_tokens, nodes.ends_sha256
+from nodes left join nodes p on p.node = nodes.parent and p.depth = nodes.depth - 1
+     left join kids on kids.node = nodes.node join below on below.node = nodes.node and below.depth = nodes.depth
+"""
+
 ORACLES: dict[str, str] = {
     "op2_perspectives": PERSPECTIVES,
     "op3_decontaminate": DECONTAMINATE,
     "op4_quality_rules": QUALITY,
+    "op12_collocations": COLLOCATIONS,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

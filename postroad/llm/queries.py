@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.llm import context_tree, decontaminate, licenses, perplexity, perspectives, piece_tokens, quality_rules, simhash, url_filter, warc
+from postroad.llm import collocations, context_tree, decontaminate, languages, licenses, perplexity, perspectives, piece_tokens, prefix_trie, quality_rules, simhash, url_filter, warc
 
 
 def ready(spark: SparkSession) -> None:
@@ -76,6 +76,18 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perplexity.judge(documents, read(spark, sf_dir, "labels"))
 
 
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.identify(read(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(prefix_trie.trie(prefix_trie.rebuilt(read(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {
     "op1_licenses": op1_licenses,
     "op2_perspectives": op2_perspectives,
@@ -87,4 +99,7 @@ QUERIES = {
     "op8_context_tree": op8_context_tree,
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_languages": op11_languages,
+    "op12_collocations": op12_collocations,
+    "op13_prefix_trie": op13_prefix_trie,
 }

@@ -318,5 +318,5 @@ def test_registered(spark):
     import __spark_entry__ as entry
 
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     assert os.path.exists(MODEL) and grams.SENT > 0
