@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from postroad.llm.arrays import LOWER, Words, chunks, counted, mixed, powers
+from postroad.llm.arrays import LOWER, Words, chunks, counted, distinct, mixed, powers
 from postroad.llm.shared import lookup, written
 
 MIN_COUNT = 10
@@ -47,9 +47,9 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
 
 #: Occurrences in a row of a relation.
-SEGMENT = 1 << 16
+SEGMENT = 256
 #: Sums that a task gathers before it hands them on.
-GATHER = 1 << 21
+GATHER = 1 << 20
 #: Bits of the semi-joins' map: 16 MB.
 BITS = 27
 SALTS = 64
@@ -189,15 +189,24 @@ def _in_map(table: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return (table[(low >> np.uint64(6)).astype(np.int64)] >> (low & np.uint64(63))) & np.uint64(1) == 1
 
 
-def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    ends = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else [], kind))
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    lang, piece, place, word, own, at = zip(*rows, strict=True)
-    columns = [pa.array(lang, pa.string()), _lists(list(piece), pa.int32()), _lists(list(place), pa.int32()), _lists([w.view(np.int64) for w in word], pa.int64()), pa.array(own, pa.int32()), _lists(list(at), pa.int32())]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", "piece", "place", "word", "own", "at"])
+def _relation(lang: pa.Array, ends: np.ndarray, piece: np.ndarray, place: np.ndarray, word: np.ndarray, own: np.ndarray, at_ends: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    lists = [_cut(piece.astype(np.int32), ends), _cut(place.astype(np.int32), ends), _cut(word.view(np.int64), ends)]
+    return pa.RecordBatch.from_arrays([lang, *lists, pa.array(own.astype(np.int32)), _cut(at.astype(np.int32), at_ends)], names=["lang", "piece", "place", "word", "own", "at"])
+
+
+def _lang_bits(names: list[str]) -> np.ndarray:
+    bits = {name: xxhash.xxh64_intdigest(name) for name in set(names)}
+    return np.array([bits[name] for name in names], np.uint64)
+
+
+def _spread(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each begin to its end, one range after another, and where each range begins."""
+    ends = np.concatenate([[0], np.cumsum(end - begin)])
+    return np.arange(int(ends[-1])) + np.repeat(begin - ends[:-1], end - begin), ends
 
 
 def occurrences(df: DataFrame, frequent: np.ndarray, text: str = "text", lang: str = "lang", seed: int = 0, max_words: int = MAX_WORDS, segment: int = SEGMENT) -> DataFrame:
@@ -211,48 +220,63 @@ def occurrences(df: DataFrame, frequent: np.ndarray, text: str = "text", lang: s
         for batch in batches:
             for part, data, offsets in chunks(batch, 1):
                 words, codes, pieces = _words(data, offsets, seed)
-                rows, names = [], part.column(0).to_pylist()
-                for k, name in enumerate(names):
-                    a, b = int(words.first[k]), int(words.first[k + 1])
-                    if a == b:
-                        continue
-                    piece = pieces[a:b] - pieces[a]
-                    starts = np.concatenate([[0], np.flatnonzero(piece[1:] != piece[:-1]) + 1])
-                    place = np.arange(b - a) - np.repeat(starts, np.diff(np.append(starts, b - a)))
-                    keep = np.flatnonzero(_in_map(shared.value, _of_lang(codes[a:b], name)))
-                    for first in range(0, len(keep), segment):
-                        some = keep[first : first + segment + max_words - 1]
-                        own = min(segment, len(some))
-                        rows.append((name, piece[some].astype(np.int32), place[some].astype(np.int32), codes[a:b][some], own, np.arange(own, dtype=np.int32)))
-                if rows:
-                    yield _batch(rows)
+                bits = _lang_bits(part.column(0).to_pylist())
+                new = np.ones(len(words), bool)
+                new[1:] = (pieces[1:] != pieces[:-1]) | (words.row[1:] != words.row[:-1])
+                starts = np.flatnonzero(new)
+                place = np.arange(len(words)) - np.repeat(starts, np.diff(np.append(starts, len(words))))
+                keep = np.flatnonzero(_in_map(shared.value, mixed(codes ^ bits[words.row])))
+                if not len(keep):
+                    continue
+                # Each row's kept words, in segments; a segment goes on with the next words of its row.
+                first = np.searchsorted(keep, words.first)
+                sizes = np.diff(first)
+                parts = -(-sizes // segment)
+                row = np.repeat(np.arange(len(sizes)), parts)
+                number = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
+                begin = first[row] + number * segment
+                last = np.minimum(begin + segment, first[row + 1])
+                index, ends = _spread(begin, np.minimum(last + max_words - 1, first[row + 1]))
+                some = keep[index]
+                at, at_ends = _spread(np.zeros_like(begin), last - begin)
+                yield _relation(part.column(0).take(pa.array(row)), ends, pieces[some] - np.repeat(pieces[words.first[row]], np.diff(ends)), place[some], codes[some], last - begin, at_ends, at)
 
     return df.select(_lang(lang).alias("lang"), F.col(f"`{text}`").alias("text")).mapInArrow(run, RELATION)
 
 
-def _joined(piece: np.ndarray, place: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    """Merge join of phrases of k words that begin `at`, with R1, by piece and place + k. Both sides are sorted; gives the places in `at`."""
-    keys = piece.astype(np.int64) << 32 | place
-    wanted = keys[at] + k
-    found = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.flatnonzero(keys[found] == wanted)
+class _Rows:
+    """A batch of a relation: its lists one after another, and `at` counted through the batch."""
 
+    def __init__(self, batch: pa.RecordBatch):
+        self.lang = batch.column(0)
+        self.ends, self.at_ends = (batch.column(k).offsets.to_numpy().astype(np.int64) for k in (3, 5))
+        first, first_at = self.ends[0], self.at_ends[0]
+        self.piece, self.place, word = (batch.column(k).values.to_numpy()[first : self.ends[-1]] for k in (1, 2, 3))
+        self.word = word.view(np.uint64)
+        self.ends, self.at_ends = self.ends - first, self.at_ends - first_at
+        self.own = batch.column(4).to_numpy()
+        self.row = np.repeat(np.arange(batch.num_rows), np.diff(self.at_ends))
+        self.at = batch.column(5).values.to_numpy()[first_at : first_at + self.at_ends[-1]] + self.ends[self.row]
+        self.bits = _lang_bits(self.lang.to_pylist())
 
-def _phrase(word: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-    codes = word[at]
-    for j in range(1, k):
-        codes = _longer(codes, word[at + j])
-    return codes
+    def join(self, k: int) -> None:
+        """Merge join of R(k) and R1 by piece and place + k: `at` keeps the phrases that go on.
 
+        Both are sorted, and the words of a phrase stand side by side in R1; so the row that matches can only be the next one.
+        """
+        after = np.minimum(self.at + k, len(self.word) - 1)
+        goes_on = (self.at + k < self.ends[self.row + 1]) & (self.piece[after] == self.piece[self.at]) & (self.place[after] == self.place[self.at] + k)
+        self.keep(goes_on)
 
-def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of a relation, each as (lang, piece, place, word, own, at)."""
-    for batch in batches:
-        columns = [(c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(j) for j in (1, 2, 3, 5))]
-        langs, owns = batch.column(0).to_pylist(), batch.column(4).to_pylist()
-        for i in range(batch.num_rows):
-            piece, place, word, at = (values[ends[i] : ends[i + 1]] for ends, values in columns)
-            yield langs[i], piece, place, word.view(np.uint64), owns[i], at
+    def keep(self, which: np.ndarray) -> None:
+        self.at, self.row = self.at[which], self.row[which]
+
+    def codes(self, k: int) -> np.ndarray:
+        """The bits of each phrase of `k` words, with its language."""
+        codes = self.word[self.at]
+        for j in range(1, k):
+            codes = _longer(codes, self.word[self.at + j])
+        return mixed(codes ^ self.bits[self.row])
 
 
 def phrase_sums(relation: DataFrame, k: int) -> DataFrame:
@@ -260,10 +284,10 @@ def phrase_sums(relation: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = _Sums()
-        for lang, piece, place, word, _, at in _segments(batches):
-            at = at[_joined(piece, place, at, k - 1)]
-            codes = _of_lang(_phrase(word, at, k), lang)
-            sums.add(codes, np.ones(len(codes), np.int64))
+        for batch in batches:
+            rows = _Rows(batch)
+            rows.join(k - 1)
+            sums.add(*distinct(rows.codes(k)))
             if sums.full():
                 yield sums.drain()
         yield sums.drain()
@@ -272,29 +296,32 @@ def phrase_sums(relation: DataFrame, k: int) -> DataFrame:
 
 
 def extended(relation: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:
-    """R(k): the join of R(k-1) and R1, of phrases in the map; of R1 what such a phrase holds."""
+    """R(k): the join of R(k-1) and R1, of phrases in the map; of R1 what such a phrase holds, and what follows the last one."""
     shared = relation.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
-        for lang, piece, place, word, own, at in _segments(batches):
-            at = at[_joined(piece, place, at, k - 1)]
-            at = at[_in_map(shared.value, _of_lang(_phrase(word, at, k), lang))]
-            if not len(at):
+        for batch in batches:
+            rows = _Rows(batch)
+            rows.join(k - 1)
+            rows.keep(_in_map(shared.value, rows.codes(k)))
+            if not len(rows.at):
                 continue
-            used = np.zeros(len(word) + k, bool)
+            used = np.zeros(len(rows.word), bool)
             for j in range(k):
-                used[at + j] = True
-            used = used[: len(word)]
-            used[own:] = True  # what follows may go on with the last phrase
-            moved = np.cumsum(used) - 1
-            rows.append((lang, piece[used], place[used], word[used], int(used[:own].sum()), moved[at].astype(np.int32)))
-            size += len(at)
-            if size > GATHER // 4:
-                yield _batch(rows)
-                rows, size = [], 0
-        if rows:
-            yield _batch(rows)
+                used[rows.at + j] = True
+            held = np.bincount(rows.row, minlength=batch.num_rows)
+            index, _ = _spread(rows.ends[:-1] + rows.own, rows.ends[1:])
+            used[index] = True
+            kept_rows = np.flatnonzero(held)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(rows.ends))
+            used &= held[of] > 0
+            moved = np.concatenate([[0], np.cumsum(used)])
+            begins = moved[rows.ends]
+            own = moved[(rows.ends[:-1] + rows.own)[kept_rows]] - begins[:-1][kept_rows]
+            yield _relation(
+                rows.lang.take(pa.array(kept_rows)), np.concatenate([[0], begins[1:][kept_rows]]), rows.piece[used], rows.place[used], rows.word[used], own,
+                np.concatenate([[0], np.cumsum(held[kept_rows])]), moved[rows.at] - begins[rows.row],
+            )
 
     return relation.mapInArrow(run, RELATION)
 
@@ -303,38 +330,32 @@ def groups(relation: DataFrame, k: int) -> DataFrame:
     """(lang, w1 .. wk, n): how often each phrase of R(k) occurs, by its words."""
     names = [f"w{j + 1}" for j in range(k)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[list, list]] = {}
-        size = 0
+    def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+        order = np.lexsort(columns)
+        columns, n = [c[order] for c in columns], n[order]
+        heads = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
+        return [c[heads] for c in columns], np.add.reduceat(n, heads)
 
-        def merged(lang: str) -> tuple[list[np.ndarray], np.ndarray]:
-            columns = [np.concatenate(c) for c in zip(*held[lang][0], strict=True)]
-            n = np.concatenate(held[lang][1])
-            order = np.lexsort(columns)
-            columns, n = [c[order] for c in columns], n[order]
-            heads = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
-            return [c[heads] for c in columns], np.add.reduceat(n, heads)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, tuple[list[np.ndarray], np.ndarray]] = {}
 
         def drain() -> Iterator[pa.RecordBatch]:
-            for lang in held:
-                columns, n = merged(lang)
+            for lang, (columns, n) in held.items():
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(n)], names=["lang", *names, "n"])
             held.clear()
 
-        for lang, _, _, word, _, at in _segments(batches):
-            if len(at):
-                parts, ns = held.setdefault(lang, ([], []))
-                parts.append([word[at + j] for j in range(k)])
-                ns.append(np.ones(len(at), np.int64))
-                size += len(at)
-            if size > GATHER:
-                for name in held:
-                    columns, n = merged(name)
-                    held[name] = ([columns], [n])
-                size = sum(len(n) for _, ns in held.values() for n in ns)
-                if size > GATHER // 2:
-                    yield from drain()
-                    size = 0
+        for batch in batches:
+            rows = _Rows(batch)
+            langs = rows.lang.to_pylist()
+            for lang in set(langs):
+                at = rows.at[np.array([x == lang for x in langs])[rows.row]]
+                if len(at):
+                    columns, n = summed([rows.word[at + j] for j in range(k)], np.ones(len(at), np.int64))
+                    if lang in held:
+                        columns, n = summed([np.concatenate(c) for c in zip(held[lang][0], columns, strict=True)], np.concatenate([held[lang][1], n]))
+                    held[lang] = columns, n
+            if sum(len(n) for _, n in held.values()) > GATHER // 2:
+                yield from drain()
         yield from drain()
 
     schema = ", ".join(["lang string", *(f"{c} long" for c in names), "n long"])
