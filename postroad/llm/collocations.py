@@ -7,18 +7,17 @@ Rounds. R1 holds (piece, place, word) of every occurrence of a frequent word, so
 of at most `SEGMENT` occurrences and the few that follow them. Round k
 
 1. merge-joins R(k-1) with R1 by piece and place + k - 1,
-2. counts the groups of equal phrases: tasks add up as they go, Spark adds up the sums,
+2. counts the groups of equal phrases, by their words: tasks add up as they go, Spark adds up the sums,
 3. semi-joins the joined rows with the frequent groups and writes them as R(k), sorted as they were,
 
-so no phrase is extended that is not frequent itself, and no occurrence is shuffled, only sums. The semi-joins within tasks go
-through a bit map of `1 << BITS` bits, whatever the table's size. It keeps every frequent group and may let others through; so groups
-are counted once more by their words, after it, and only that exact count decides.
+so no phrase is extended that is not frequent itself, and no occurrence is shuffled, only sums. The semi-joins go through a bit map of
+`1 << BITS` bits, whatever the table's size. It keeps every frequent group and may let others through, which the next count drops.
 
-Exactness. A word is held as 64 bits. Two words of equal bits in a language would be told apart by 64 other bits; if there are any, the table is
-built anew under another seed. Counts are longs and scores decimals of 38 digits: a and l * r may reach 10**16 and 10**38.
+Exactness. A word is held as 64 bits, of which the table of all words shows that no two words of a language share them; if they do, others
+are taken. Counts are longs and scores decimals of 38 digits: a and l * r may reach 10**16 and 10**38.
 
-Skew. A hot language, word or phrase is one row of sums per task. Ranks are taken in two steps: within `SALTS` parts of a language, and
-then among each part's first rows.
+Skew. A hot language, word or phrase is one row of sums per task. Before a language's phrases are ranked, a count by grains of the
+score leaves little more than the best ones.
 
 Defined results: null and empty texts have no words. Repeated rows count as often as they stand. Very long texts are cut into segments,
 and no phrase is lost at a cut. Other columns are not read, whatever their names. An empty table gives no rows. Scores of equal value are ordered by a, then by the phrase's
@@ -28,6 +27,7 @@ UTF-8 bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from postroad.llm.arrays import LOWER, Words, chunks, counted, distinct, mixed, powers
-from postroad.llm.shared import lookup, written
+from postroad.llm.arrays import LOWER, Words, chunks, mixed, powers
+from postroad.llm.shared import is_small, written
 
 MIN_COUNT = 10
 MAX_WORDS = 3
@@ -52,7 +52,8 @@ SEGMENT = 256
 GATHER = 1 << 20
 #: Bits of the semi-joins' map: 16 MB.
 BITS = 27
-SALTS = 64
+#: Steps of the logarithm by which scores are told apart before they are ranked.
+GRAIN = 50
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 _LONG_WORD = 256
 
@@ -83,11 +84,6 @@ def _longer(codes: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mixed(codes * _PRIME + word + np.uint64(1))
 
 
-def _of_lang(codes: np.ndarray, lang: str) -> np.ndarray:
-    """The bits of a phrase in a language."""
-    return mixed(codes ^ np.uint64(xxhash.xxh64_intdigest(lang)))
-
-
 def _words(data: np.ndarray, offsets: np.ndarray, seed: int) -> tuple[Words, np.ndarray, np.ndarray]:
     """The words, their bits, and the piece each stands in, counted through the chunk."""
     words = Words(LOWER[data], offsets, _INSIDE)
@@ -95,83 +91,67 @@ def _words(data: np.ndarray, offsets: np.ndarray, seed: int) -> tuple[Words, np.
     return words, _codes(words, seed), ends[words.start] if len(words) else np.zeros(0, np.int64)
 
 
-class _Sums:
-    """Sums by key that a task gathers, handed on when there are many."""
-
-    def __init__(self) -> None:
-        self.held: list[tuple[np.ndarray, np.ndarray]] = []
-        self.size = 0
-
-    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
-        self.held.append((keys, n))
-        self.size += len(keys)
-        if self.size > GATHER:
-            self.merge()
-
-    def merge(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, (n,) = counted(np.concatenate([k for k, _ in self.held]), [np.concatenate([m for _, m in self.held])]) if self.held else (np.zeros(0, np.uint64), [np.zeros(0, np.int64)])
-        self.held, self.size = [(keys, n)], len(keys)
-        return keys, n
-
-    def full(self) -> bool:
-        return self.size > GATHER // 2 and len(self.held) == 1
-
-    def drain(self) -> pa.RecordBatch:
-        keys, n = self.merge()
-        self.held, self.size = [], 0
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], names=["code", "n"])
-
-
 def word_counts(df: DataFrame, text: str = "text", lang: str = "lang", seed: int = 0) -> DataFrame:
-    """(lang, code, word, n, low, high): all words, with the least and greatest of 64 other bits among the words of a code."""
+    """(lang, word, n): all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[int, list]] = {}
+        held: dict[str, dict[tuple[int, int], list]] = {}
         size = 0
 
         def drain() -> Iterator[pa.RecordBatch]:
             for name, found in held.items():
-                texts, *numbers = zip(*found.values(), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(np.fromiter(found, np.uint64, len(found)).view(np.int64)), pa.array(texts, pa.binary()).cast(pa.string()), *(pa.array(x, pa.int64()) for x in numbers)], names=["lang", "code", "word", "n", "low", "high"])
+                texts, n = zip(*found.values(), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "word", "n"])
             held.clear()
 
         for batch in batches:
             for part, data, offsets in chunks(batch, 1):
                 words, codes, _ = _words(data, offsets, seed)
-                names, others = part.column(0).to_pylist(), words.hashes().view(np.int64)
+                names, others = part.column(0).to_pylist(), words.hashes()
                 for name in set(names):
                     mine = np.flatnonzero(np.array([n == name for n in names])[words.row])
                     if not len(mine):
                         continue
                     mine = mine[np.argsort(codes[mine], kind="stable")]
-                    heads = np.flatnonzero(np.concatenate([[True], codes[mine[1:]] != codes[mine[:-1]]]))
+                    # Words of equal bits are told apart by 64 other bits; here they may make two rows of one word, which Spark adds up.
+                    new = (codes[mine[1:]] != codes[mine[:-1]]) | (others[mine[1:]] != others[mine[:-1]])
+                    heads = np.flatnonzero(np.concatenate([[True], new]))
                     first, n = mine[heads], np.diff(np.append(heads, len(mine)))
-                    low, high = (f.reduceat(others[mine], heads) for f in (np.minimum, np.maximum))
                     found = held.setdefault(name, {})
-                    for code, at, count, a, b in zip(codes[first].tolist(), first.tolist(), n.tolist(), low.tolist(), high.tolist(), strict=True):
-                        if (row := found.get(code)) is None:
-                            found[code] = [words.text(at), count, a, b]
+                    for code, other, at, count in zip(codes[first].tolist(), others[first].tolist(), first.tolist(), n.tolist(), strict=True):
+                        if (row := found.get((code, other))) is None:
+                            found[code, other] = [words.text(at), count]
                             size += 1
                         else:
                             row[1] += count
-                            if a < row[2] or b > row[3]:
-                                row[2], row[3] = min(a, row[2]), max(b, row[3])
                 if size > GATHER // 4:
                     yield from drain()
                     size = 0
         yield from drain()
 
-    parts = df.select(_lang(lang).alias("lang"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "lang string, code long, word string, n long, low long, high long")
-    return parts.groupBy("lang", "code", "word").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    parts = df.select(_lang(lang).alias("lang"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "lang string, word string, n long")
+    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _coded(words: DataFrame, seed: int) -> DataFrame:
+    """(lang, code, word, n): words with the bits that stand for them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, data, offsets in chunks(batch, 1):
+                codes = _codes(Words(data, offsets, np.ones(256, bool)), seed)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(codes.view(np.int64)), part.column(1), part.column(2)], names=["lang", "code", "word", "n"])
+
+    return words.mapInArrow(run, "lang string, code long, word string, n long")
 
 
 def word_table(df: DataFrame, text: str = "text", lang: str = "lang", seeds: int = 8) -> tuple[DataFrame, int]:
-    """`word_counts` with bits that no two words share, and the seed that gives them."""
+    """`word_counts` with bits that no two words of a language share, and the seed that gives them."""
+    counted_ = written(word_counts(df, text, lang), "words")
     for seed in range(seeds):
-        table = written(word_counts(df, text, lang, seed), "words")
-        shared = table.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("words"), F.min("low").alias("low"), F.max("high").alias("high"))
-        if not shared.where("words > 1 or low < high").limit(1).count():
-            return table.select("lang", "code", "word", "n"), seed
+        table = _coded(counted_, seed)
+        if not table.groupBy("lang", "code").agg(F.count(F.lit(1)).alias("words")).where("words > 1").limit(1).count():
+            return table, seed
     raise ValueError("words share their bits under every seed")
 
 
@@ -279,20 +259,50 @@ class _Rows:
         return mixed(codes ^ self.bits[self.row])
 
 
-def phrase_sums(relation: DataFrame, k: int) -> DataFrame:
-    """(code, n): groups of the phrases of `k` words that R(k-1) and R1 join to, by 64 bits that stand for phrase and language."""
+def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
+    """(lang, w1 .. wk, n): groups of the phrases of `k` words that R(k-1) and R1 join to."""
+    names = [f"w{j + 1}" for j in range(k)]
+
+    def summed(parts: list[tuple[list[np.ndarray], np.ndarray]]) -> tuple[list[np.ndarray], np.ndarray]:
+        columns, n = [np.concatenate(c) for c in zip(*(c for c, _ in parts), strict=True)], np.concatenate([n for _, n in parts])
+        codes = columns[0]
+        for c in columns[1:]:
+            codes = _longer(codes, c)
+        order = np.argsort(codes, kind="stable")
+        columns = [c[order] for c in columns]
+        # Phrases of equal bits may make two rows of one phrase, which Spark adds up.
+        heads = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
+        return [c[heads] for c in columns], np.add.reduceat(n[order], heads)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums()
+        held: dict[str, list[tuple[list[np.ndarray], np.ndarray]]] = {}
+
+        def size() -> int:
+            return sum(len(n) for parts in held.values() for _, n in parts)
+
+        def drain() -> Iterator[pa.RecordBatch]:
+            for lang, parts in held.items():
+                columns, n = summed(parts)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(n)], names=["lang", *names, "n"])
+            held.clear()
+
         for batch in batches:
             rows = _Rows(batch)
             rows.join(k - 1)
-            sums.add(*distinct(rows.codes(k)))
-            if sums.full():
-                yield sums.drain()
-        yield sums.drain()
+            langs = rows.lang.to_pylist()
+            for lang in set(langs):
+                at = rows.at[np.array([x == lang for x in langs])[rows.row]]
+                if len(at):
+                    held.setdefault(lang, []).append(summed([([rows.word[at + j] for j in range(k)], np.ones(len(at), np.int64))]))
+            if size() > GATHER:
+                for lang in held:
+                    held[lang] = [summed(held[lang])]
+                if size() > GATHER // 2:
+                    yield from drain()
+        yield from drain()
 
-    return relation.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    schema = ", ".join(["lang string", *(f"{c} long" for c in names), "n long"])
+    return relation.mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def extended(relation: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:
@@ -326,65 +336,37 @@ def extended(relation: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:
     return relation.mapInArrow(run, RELATION)
 
 
-def groups(relation: DataFrame, k: int) -> DataFrame:
-    """(lang, w1 .. wk, n): how often each phrase of R(k) occurs, by its words."""
-    names = [f"w{j + 1}" for j in range(k)]
-
-    def summed(columns: list[np.ndarray], n: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-        order = np.lexsort(columns)
-        columns, n = [c[order] for c in columns], n[order]
-        heads = np.flatnonzero(np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in columns])]))
-        return [c[heads] for c in columns], np.add.reduceat(n, heads)
+def _bits(phrases: DataFrame, k: int) -> DataFrame:
+    """(code): what stands for phrase and language in the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[list[np.ndarray], np.ndarray]] = {}
-
-        def drain() -> Iterator[pa.RecordBatch]:
-            for lang, (columns, n) in held.items():
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(n)], names=["lang", *names, "n"])
-            held.clear()
-
         for batch in batches:
-            rows = _Rows(batch)
-            langs = rows.lang.to_pylist()
-            for lang in set(langs):
-                at = rows.at[np.array([x == lang for x in langs])[rows.row]]
-                if len(at):
-                    columns, n = summed([rows.word[at + j] for j in range(k)], np.ones(len(at), np.int64))
-                    if lang in held:
-                        columns, n = summed([np.concatenate(c) for c in zip(held[lang][0], columns, strict=True)], np.concatenate([held[lang][1], n]))
-                    held[lang] = columns, n
-            if sum(len(n) for _, n in held.values()) > GATHER // 2:
-                yield from drain()
-        yield from drain()
+            columns = [batch.column(j + 1).to_numpy().view(np.uint64) for j in range(k)]
+            codes = columns[0]
+            for c in columns[1:]:
+                codes = _longer(codes, c)
+            codes = mixed(codes ^ _lang_bits(batch.column(0).to_pylist()))
+            yield pa.RecordBatch.from_arrays([pa.array(codes.view(np.int64))], names=["code"])
 
-    schema = ", ".join(["lang string", *(f"{c} long" for c in names), "n long"])
-    return relation.mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    return phrases.select("lang", *(f"w{j + 1}" for j in range(k))).mapInArrow(run, "code long")
 
 
 def mined(df: DataFrame, text: str = "text", lang: str = "lang", min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, segment: int = SEGMENT, bits: int = BITS) -> tuple[DataFrame, dict[int, DataFrame]]:
     """The word table (lang, code, word, n), and by length k the frequent phrases (lang, w1 .. wk, n), each a written table."""
     often = F.col("n") >= min_count
     words, seed = word_table(df, text, lang)
-    # The same bits of word and language as in the tasks.
-    coded = words.where(often).select("lang", "code").mapInArrow(_with_lang, "code long")
-    frequent = {1: words.where(often).select("lang", F.col("code").alias("w1"), "n")}
-    relation = written(occurrences(df, bit_map(coded, bits), text, lang, seed, max_words, segment), "r1")
+    frequent = {1: written(words.where(often).select("lang", F.col("code").alias("w1"), "n"), "phrases1")}
+    relation = written(occurrences(df, bit_map(_bits(frequent[1], 1), bits), text, lang, seed, max_words, segment), "r1")
     for k in range(2, max_words + 1):
-        table = bit_map(phrase_sums(relation, k).where(often), bits)
-        relation = written(extended(relation, k, table), f"r{k}")
-        frequent[k] = written(groups(relation, k).where(often), f"phrases{k}")
+        frequent[k] = written(phrase_counts(relation, k).where(often), f"phrases{k}")
+        if k < max_words:
+            relation = written(extended(relation, k, bit_map(_bits(frequent[k], k), bits)), f"r{k}")
     return words, frequent
 
 
-def _with_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        codes, langs = batch.column(1).to_numpy().view(np.uint64), np.array(batch.column(0).to_pylist(), object)
-        out = np.zeros(len(codes), np.uint64)
-        for lang in set(langs.tolist()):
-            mine = langs == lang
-            out[mine] = _of_lang(codes[mine], lang)
-        yield pa.RecordBatch.from_arrays([pa.array(out.view(np.int64))], names=["code"])
+def _with(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join with a table of one row for each key. Rows are distinct phrases here; adaptive execution splits a key that many of them share."""
+    return rows.join(F.broadcast(table) if is_small(table) else table, keys, "left")
 
 
 def _scored(frequent: dict[int, DataFrame], k: int) -> DataFrame:
@@ -397,17 +379,17 @@ def _scored(frequent: dict[int, DataFrame], k: int) -> DataFrame:
         right = [f"w{j + 1}" for j in range(cut, k)]
         first = frequent[cut].withColumnRenamed("n", f"l{cut}")
         rest = frequent[k - cut].select("lang", *(F.col(f"w{j + 1}").alias(c) for j, c in enumerate(right)), F.col("n").alias(f"r{cut}"))
-        rows = lookup(lookup(rows, first, ["lang", *left]), rest, ["lang", *right])
+        rows = _with(_with(rows, first, ["lang", *left]), rest, ["lang", *right])
         a, product = F.col("a").cast("decimal(19,0)"), F.col(f"l{cut}").cast("decimal(19,0)") * F.col(f"r{cut}").cast("decimal(19,0)")
         squared = (a * a).cast(wide) * F.lit(1_000_000).cast("decimal(7,0)")
         score = F.call_function("div", squared.cast(wide), product.cast(wide))
         cuts.append(F.struct(score.alias("score"), F.lit(cut).alias("cut"), F.col(f"l{cut}").alias("l"), F.col(f"r{cut}").alias("r")))
     least = F.array_min(F.array(*cuts))
     names = [f"w{j + 1}" for j in range(k)]
-    return rows.withColumn("least", least).select("lang", *names, "a", "least.l", "least.r", "least.score")
+    return rows.withColumn("least", least).select("lang", *names, "a", "least.l", "least.r", F.col("least.score").cast("long").alias("score"))
 
 
-def _absorbed(frequent: dict[int, DataFrame], k: int, share: int) -> DataFrame | None:
+def _absorbed(frequent: dict[int, DataFrame], k: int) -> DataFrame | None:
     """(lang, w1 .. wk, longest): the greatest count of a longer phrase that holds these words."""
     held = None
     for longer, table in frequent.items():
@@ -424,22 +406,26 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", min_coun
     A phrase goes if a longer frequent one that holds it occurs at least `share` percent as often.
     """
     words, frequent = mined(df, text, lang, min_count, max_words, segment, bits)
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    spelled = words.where(F.col("n") >= min_count).select("lang", "code", "word")
+    totals = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     tables = []
     for k in range(2, max_words + 1):
         names = [f"w{j + 1}" for j in range(k)]
-        rows, absorbed = _scored(frequent, k), _absorbed(frequent, k, share)
+        rows, absorbed = _scored(frequent, k), _absorbed(frequent, k)
         if absorbed is not None:
-            rows = lookup(rows, absorbed, ["lang", *names]).where(F.col("longest").isNull() | (100 * F.col("longest") < share * F.col("a"))).drop("longest")
-        for c in names:
-            rows = lookup(rows, spelled.select("lang", F.col("code").alias(c), F.col("word").alias(f"text_{c}")), ["lang", c])
-        tables.append(rows.select("lang", F.concat_ws(" ", *(f"text_{c}" for c in names)).alias("phrase"), "a", "l", "r", "score"))
-    found = tables[0]
-    for t in tables[1:]:
-        found = found.union(t)
-    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    found = found.withColumn("part", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))).where(F.col("rank") <= top)
-    found = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")).where(F.col("rank") <= top)
-    return lookup(found, totals, ["lang"]).select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
+            rows = _with(rows, written(absorbed, "absorbed"), ["lang", *names]).where(F.col("longest").isNull() | (100 * F.col("longest") < share * F.col("a"))).drop("longest")
+        missing = [F.lit(None).cast("long").alias(f"w{j + 1}") for j in range(k, max_words)]
+        tables.append(rows.select("lang", *names, *missing, "a", "l", "r", "score", F.floor(F.log1p("score") * GRAIN).alias("grain")))
+    found = written(reduce(DataFrame.union, tables), "candidates")
+    # Of each language, the grains of score that hold its best phrases; so few phrases are spelled and ranked.
+    upto = F.sum("count").over(Window.partitionBy("lang").orderBy(F.desc("grain")))
+    grains = found.groupBy("lang", "grain").count().withColumn("above", upto - F.col("count")).where(F.col("above") < top).select("lang", "grain")
+    best = written(found.join(F.broadcast(grains), ["lang", "grain"], "left_semi"), "best")
+    spelled = words.where(F.col("n") >= min_count).select("lang", "code", "word")
+    used = reduce(DataFrame.union, [best.select("lang", F.col(f"w{j + 1}").alias("code")) for j in range(max_words)]).where("code is not null").distinct()
+    spelled = written(spelled.join(used, ["lang", "code"], "left_semi"), "spelled")
+    for j in range(max_words):
+        best = _with(best, spelled.select("lang", F.col("code").alias(f"w{j + 1}"), F.col("word").alias(f"text{j}")), ["lang", f"w{j + 1}"])
+    best = best.withColumn("phrase", F.concat_ws(" ", *(f"text{j}" for j in range(max_words))))
+    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    ranked = best.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    return _with(ranked, totals, ["lang"]).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

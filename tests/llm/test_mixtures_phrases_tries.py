@@ -206,6 +206,7 @@ def test_words_of_equal_bits_are_found(spark, monkeypatch):
     whole = collocations._codes
     monkeypatch.setattr(collocations, "_codes", lambda words, seed: whole(words, seed) * collocations.np.uint64(seed > 1))
     df = spark.createDataFrame([("a b c", "en")], "text string, lang string")
+    assert {(r.word, r.n) for r in collocations.word_counts(df).collect()} == {("a", 1), ("b", 1), ("c", 1)}
     table, seed = collocations.word_table(df)
     assert seed == 2 and table.select("code").distinct().count() == 3
     with pytest.raises(ValueError):
