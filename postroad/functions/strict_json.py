@@ -21,8 +21,8 @@ def evaluate_once(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(row)))
 
 
-def with_wrapped(df: DataFrame, text: Column) -> DataFrame:
-    """Add ``_wrapped``, the parsed pair of a text and its mark; null if it is not one
+def with_wrapped(df: DataFrame, text: Column, out: str = "_wrapped") -> DataFrame:
+    """Add ``out``, the parsed pair of a text and its mark; null if it is not one
     complete JSON value. The value itself is at ``$[0]``.
     """
     mark = F.hex(F.xxhash64(text))
@@ -31,7 +31,7 @@ def with_wrapped(df: DataFrame, text: Column) -> DataFrame:
     complete = (field(F.col("_parsed"), "$[1]", "string") == F.col("_mark")) & field(
         F.col("_parsed"), "$[2]"
     ).isNull()
-    return parsed.withColumn("_wrapped", F.when(complete, F.col("_parsed"))).drop("_parsed", "_mark")
+    return parsed.withColumn(out, F.when(complete, F.col("_parsed"))).drop("_parsed", "_mark")
 
 
 def with_variant(df: DataFrame, text: Column, out: str) -> DataFrame:

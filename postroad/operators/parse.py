@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad import schema
+from postroad.functions import json_scan
 from postroad.functions.strict_json import (
     evaluate_once,
     field,
     is_json_string,
     root_kind,
     utf8_text,
-    with_variant,
     with_wrapped,
 )
 
@@ -117,15 +117,30 @@ def _envelope(value: Column, payload: Column) -> dict[str, Column]:
     }
 
 
+def _with_parsed(df: DataFrame, text: str, slices: bool = False) -> DataFrame:
+    """Add ``_wrapped`` (`with_wrapped`), for texts of any depth and numbers of any length.
+
+    The native parser refuses outsize texts; of these a scanner makes a small text with the same envelope. Only texts
+    that were refused and are long enough reach it. ``slices`` adds ``_texts``, the received text of each element of a list.
+    """
+    outsize = F.col("_wrapped").isNull() & (F.octet_length(text) > json_scan.NATIVE_LIMIT)
+    scanned = {"_small": json_scan.envelope_of(F.when(outsize, F.col(text)), tuple(REQUIRED), tuple(RELATED))}
+    if slices:
+        scanned["_texts"] = json_scan.elements_of(F.when(root_kind(F.col(text)) == "[", F.col(text)))
+    staged = with_wrapped(df, F.col(text)).withColumns(scanned)
+    both = with_wrapped(staged, F.col("_small"), "_wrapped_small")
+    return both.withColumn("_wrapped", F.coalesce("_wrapped", "_wrapped_small")).drop("_small", "_wrapped_small")
+
+
 def _examined_bodies(df: DataFrame, body: str) -> DataFrame:
-    """Add ``_elements``, ``_kind`` and ``error_kind`` of each body, without a shuffle."""
+    """Add ``_elements``, ``_texts``, ``_kind`` and ``error_kind`` of each body, without a shuffle."""
     wrapped = F.col("_wrapped")
     kind = root_kind(F.col(body))
     elements = F.when(kind == "[", field(wrapped, "$[0]", "array<variant>")).when(
         kind == "{", F.array(field(wrapped, "$[0]"))
     )
     staged = evaluate_once(
-        with_wrapped(df, F.col(body)), _elements=F.when(wrapped.isNotNull(), elements), _kind=kind
+        _with_parsed(df, body, slices=True), _elements=F.when(wrapped.isNotNull(), elements), _kind=kind
     )
     error_kind = (
         F.when(wrapped.isNull(), "NOT_JSON")
@@ -142,45 +157,56 @@ def parse_request_bodies(
     """One row per event, with its place ``pos`` in the body.
 
     An object is one event, a list is its elements in order. Any fault rejects the
-    whole body (see `quarantine_bodies`). The payload is the body's own text for an
-    object, and compact JSON with sorted keys for an element of a list;
-    ``exact_payload``: see `payload_text`.
+    whole body (see `quarantine_bodies`). The payload is the received text: the body of
+    an object, an element's part of a list. ``exact_payload``: see `payload_text`.
     """
     keep = [c for c in df.columns if c != body]
     good = _examined_bodies(df, body).where(F.col("error_kind").isNull())
-    if exact_payload:
-        texts = good.withColumn("_texts", _python_dumps_each(F.col(body)))
-        pairs = texts.select(
-            *keep, F.posexplode(F.arrays_zip("_elements", "_texts")).alias("pos", "_pair")
-        )
-        events = pairs.select("*", F.col("_pair._elements").alias("_event"))
-        payload = F.col("_pair._texts")
-    else:
-        own = good.withColumn("_text", F.when(F.col("_kind") == "{", F.col(body)))
-        events = own.select(*keep, "_text", F.posexplode("_elements").alias("pos", "_event"))
-        payload = F.coalesce("_text", F.col("_event").cast("string"))
-    columns = _envelope(F.col("_event"), payload)
+    received = F.when(F.col("_kind") == "{", F.array(F.col(body))).otherwise(F.col("_texts"))
+    texts = good.withColumn("_texts", _python_dumps_each(F.col(body)) if exact_payload else received)
+    pairs = texts.select(*keep, F.posexplode(F.arrays_zip("_elements", "_texts")).alias("pos", "_pair"))
+    events = pairs.select("*", F.col("_pair._elements").alias("_event"))
+    columns = _envelope(F.col("_event"), F.col("_pair._texts"))
     return events.select(*keep, "pos", *[c.alias(n) for n, c in columns.items()])
 
 
-def quarantine_bodies(df: DataFrame, body: str = "body") -> DataFrame:
-    """The bodies that `parse_request_bodies` rejects, with ``error_kind, error``."""
+def examine_bodies(df: DataFrame, body: str = "body") -> DataFrame:
+    """`parse_request_bodies` and `quarantine_bodies` in one table and one parse: one row per event, or per rejected body.
+
+    A rejected body has ``error_kind`` and ``error``, and null in the event's columns. Write it once and take both sides from it.
+    """
+    keep = [c for c in df.columns if c != body]
+    examined = evaluate_once(_examined_bodies(df, body), error=F.when(F.col("error_kind").isNotNull(), _body_error()))
+    received = F.when(F.col("_kind") == "{", F.array(F.col(body))).otherwise(F.col("_texts"))
+    good = F.when(F.col("error_kind").isNull(), F.arrays_zip("_elements", received.alias("_texts")))
+    rows = examined.select(*keep, "error_kind", "error", good.alias("_pairs"))
+    rows = rows.select(*keep, "error_kind", "error", F.posexplode_outer("_pairs").alias("pos", "_pair"))
+    columns = _envelope(F.col("_pair._elements"), F.col("_pair._texts"))
+    return rows.select(*keep, "pos", *[c.alias(n) for n, c in columns.items()], "error_kind", "error")
+
+
+def _body_error() -> Column:
+    """The text of a rejected body's error."""
     faults = F.filter(
         F.transform("_elements", lambda v, i: F.struct(i.alias("pos"), bad_fields(v).alias("bad"))),
         lambda e: e["bad"] != "",
     )
     first = F.get(faults, F.lit(0))
     kind = F.col("error_kind")
-    error = (
+    return (
         F.when(kind == "NOT_JSON", schema.NOT_JSON)
         .when(kind == "NOT_AN_EVENT", schema.NOT_AN_EVENT)
         .when(kind == "EMPTY_BODY", schema.EMPTY_BODY)
         .otherwise(F.format_string("element %d: not a string: %s", first["pos"], first["bad"]))
     )
+
+
+def quarantine_bodies(df: DataFrame, body: str = "body") -> DataFrame:
+    """The bodies that `parse_request_bodies` rejects, with ``error_kind, error``."""
     return (
         _examined_bodies(df, body)
-        .where(kind.isNotNull())
-        .select(*df.columns, "error_kind", error.alias("error"))
+        .where(F.col("error_kind").isNotNull())
+        .select(*df.columns, "error_kind", _body_error().alias("error"))
     )
 
 
@@ -189,7 +215,7 @@ def _examined_messages(df: DataFrame) -> DataFrame:
     staged = evaluate_once(
         df, _text=utf8_text(F.col("value")), _key=utf8_text(F.col("key"))
     )
-    parsed = with_variant(staged, F.col("_text"), "_value")
+    parsed = _with_parsed(staged, "_text").withColumn("_value", field(F.col("_wrapped"), "$[0]")).drop("_wrapped")
     error_kind = (
         F.when(F.coalesce(F.octet_length("value"), F.lit(0)) == 0, "EMPTY_VALUE")
         .when(F.col("_value").isNull(), "NOT_JSON")

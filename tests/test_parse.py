@@ -3,10 +3,12 @@
 import json
 import random
 
+import pyarrow as pa
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from postroad.functions import json_scan
 from postroad.functions.strict_json import with_variant
 from postroad.operators import parse
 from postroad import schema
@@ -134,10 +136,80 @@ def test_kafka_messages(spark):
 
 
 def test_text_is_parsed_once(spark):
-    """The filter on the fault must not bring a second parse into the plan."""
+    """The filter on the fault must not bring a second parse of the received text, or of an outsize one's envelope, into the plan."""
     df = messages(spark, [(b"k", GOOD.encode())])
     plan = parse.parse_kafka_messages(df)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("parseJson") == 1
+    assert plan.count("parseJson") == 2 and plan.count("envelope_of") <= 1
+
+
+OUTSIZE = [
+    '"load":1e400', '"load":' + "7" * 50, '"load":' + "8" * 3000, '"load":' + "[" * 2000 + "]" * 2000, '"load":' + '{"a":' * 30_000 + "0" + "}" * 30_000,
+    '"load":-0.0,"b":1.50,"a":1E+2', '"actor":{"id":' + "9" * 1500 + "}", '"object":{"x":' + "[" * 1200 + "]" * 1200 + ',"id":{"k":[1, 2]}}', '"load":"' + "[\\\"" * 600 + '"',
+]
+
+
+def test_outsize_texts_come_through_as_received(spark):
+    """Long numbers and deep nesting, alone, in lists and as messages; the payload is the received text."""
+    event = lambda more, k: f'{{"id" :"e{k}",{more} , "title":"T", "published":"p"}}'
+    alone = [event(more, k) for k, more in enumerate(OUTSIZE)]
+    listed = [f" [ {e}, {GOOD}\n,{e}]" for e in alone]
+    rows = parse.parse_request_bodies(bodies(spark, *alone, *listed)).collect()
+    found = {(int(r.request_id), r.pos): r for r in rows}
+    n = len(alone)
+    assert set(found) == {(k, 0) for k in range(n)} | {(n + k, pos) for k in range(n) for pos in range(3)}
+    for k, text in enumerate(alone):
+        for r in (found[k, 0], found[n + k, 0], found[n + k, 2]):
+            assert (r.id, r.title, r.published, r.payload) == (f"e{k}", "T", "p", text)
+        assert found[n + k, 1].payload == GOOD
+    assert found[6, 0].extra == {"actor_id": "9" * 1500} and found[7, 0].extra == {"object_id": '{"k":[1, 2]}'}
+    kept = parse.parse_kafka_messages(messages(spark, [(b"k", t.encode()) for t in alone])).orderBy("offset").collect()
+    assert [r.payload for r in kept] == alone
+    whole = parse.examine_bodies(bodies(spark, *alone, *listed)).collect()
+    assert {(int(r.request_id), r.pos): r.payload for r in whole} == {k: r.payload for k, r in found.items()}
+
+
+def test_outsize_faults_are_refused(spark):
+    """Texts that are long and faulty, in ways that only a whole parse finds."""
+    deep = "[" * 1500
+    faults = [
+        (f'{{"id":"a","title":"t","published":"p","x":{deep}{"]" * 1499}}}', "NOT_JSON"), (f'{{"id":"a","title":"t","published":"p","x":{deep}{"]" * 1500}}} 1', "NOT_JSON"),
+        (f'{{"id":"a","title":"t","published":"p","x":{"7" * 1200}x}}', "NOT_JSON"), (f'{{"id":"a","title":"t","published":"p","x":0{"7" * 1200}}}', "NOT_JSON"),
+        (f'{{"id":{"7" * 1200},"title":"t","published":"p"}}', "BAD_ELEMENT"), (f'{{"id":"a","title":"t","x":{deep}{"]" * 1500}}}', "BAD_ELEMENT"),
+        (f'{deep}{"]" * 1500}', "BAD_ELEMENT"), ("7" * 1200, "NOT_AN_EVENT"), (f'[{GOOD},{"7" * 1200}]', "BAD_ELEMENT"), ("x" * 2000, "NOT_JSON"),
+        (f'{{"id":"a","title":"t","published":"p","published":{"7" * 1200}}}', "BAD_ELEMENT"),
+    ]
+    df = bodies(spark, *(text for text, _ in faults))
+    assert parse.parse_request_bodies(df).count() == 0
+    found = {int(r.request_id): r.error_kind for r in parse.quarantine_bodies(df).collect()}
+    assert [found[k] for k in range(len(faults))] == [kind for _, kind in faults]
+    both = {int(r.request_id): (r.error_kind, r.error, r.id) for r in parse.examine_bodies(df).collect()}
+    said = {int(r.request_id): (r.error_kind, r.error, None) for r in parse.quarantine_bodies(df).collect()}
+    assert both == said
+
+
+def test_slices_are_what_stands_between_commas(spark):
+    draw = random.Random(4)
+
+    def value(depth):
+        kind = draw.randrange(8 if depth < 4 else 4)
+        if kind == 0:
+            return draw.choice([1, -2.5, 10**40, True, None])
+        if kind < 4:
+            return "".join(draw.choice('a"\\[]{},:é😀 \n') for _ in range(draw.randrange(6)))
+        if kind < 6:
+            return [value(depth + 1) for _ in range(draw.randrange(4))]
+        return {draw.choice('abc"\\,') + str(k): value(depth + 1) for k in range(draw.randrange(4))}
+
+    texts, expected = [None, "", "x[", "{}", '{"a":[1]}', "]", "[", '"[1]"'], [None] * 8
+    for _ in range(400):
+        parts = [json.dumps(value(0), ensure_ascii=draw.random() < 0.5, indent=draw.choice([None, 1])) for _ in range(draw.randrange(5))]
+        texts.append(draw.choice(["", " ", "\n"]) + "[" + draw.choice([" , ", ","]).join(draw.choice(["", "\t"]) + p for p in parts) + draw.choice(["", " "]) + "]")
+        expected.append(parts)
+    for size in (len(texts), 7):
+        found = []
+        for k in range(0, len(texts), size):
+            found += json_scan.list_elements(pa.array(texts, pa.string()).slice(k, size)).to_pylist()
+        assert found == expected
 
 
 def test_summary_and_records(spark):
