@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postroad.functions.arrays import present
-from postroad.functions.match import title_matches, title_matches_any, title_matches_column
-from postroad.functions.strict_json import evaluate_once
-from postroad.operators.lookup import rows_within
+from postroad.functions.match import title_matches_any
+from postroad.functions.pattern_index import all_matches, blocks
 
 Transform = Callable[[DataFrame], DataFrame]
 
+# Patterns of one index in a task: so many, and so many characters of them.
+BLOCK_RULES = 100_000
+BLOCK_LETTERS = 8_000_000
+
 
 def title_passes(
     title: Column, include: Sequence[str] | None, exclude: Sequence[str] | None
@@ -49,44 +51,44 @@ def transform_chain(df: DataFrame, transforms: Iterable[Transform]) -> DataFrame
     return df
 
 
-def _story_patterns(stories: DataFrame, max_patterns: int) -> list[str] | None:
-    """Different patterns of all stories, or None if there are too many for literals."""
-    empty = F.array().cast("array<string>")
-    lists = F.concat(F.coalesce("include", empty), F.coalesce("exclude", empty))
-    rows = rows_within(stories.select(F.explode(lists).alias("pattern")).distinct(), max_patterns)
-    return rows and sorted(r.pattern for r in rows)
+def indexed_passes(
+    spark: SparkSession, title: Column, include: Sequence[str] | None, exclude: Sequence[str] | None
+) -> Column:
+    """`title_passes` by an index of all patterns, for long lists and for patterns that only Python compiles."""
+    if not include and not exclude:
+        raise ValueError("Empty filter params")
+    patterns = [*(include or ()), *(exclude or ())]
+    sides = ["in"] * len(include or ()) + ["out"] * len(exclude or ())
+    hits = all_matches(spark, title, patterns, sides)
+    included = F.array_contains(hits, "in") if include else F.lit(True)
+    return included & ~F.array_contains(hits, "out")
 
 
-def with_title_hits(
-    events: DataFrame, stories: DataFrame, max_patterns: int = 400
-) -> tuple[DataFrame, list[str] | None]:
+def with_title_hits(events: DataFrame, stories: DataFrame, block: int = BLOCK_RULES) -> DataFrame:
     """Add ``_hits``, the patterns of any story that match the title.
 
-    Each pattern is tested once per event, as a literal, however many stories share it.
-    With more than ``max_patterns`` patterns the events stay as they are, and None is
-    given in place of the patterns.
+    Titles are looked up in an index of all different patterns, a block of ``block`` patterns at a time, however many
+    stories share them.
     """
-    patterns = _story_patterns(stories, max_patterns)
-    if patterns is None:
-        return events, None
-    names = [(title_matches(F.col("title"), p), F.lit(p)) for p in patterns]
-    hits = present(names) if names else F.array()
-    return evaluate_once(events, _hits=hits.cast("array<string>")), patterns
-
+    empty = F.array().cast("array<string>")
+    lists = F.concat(F.coalesce("include", empty), F.coalesce("exclude", empty))
+    patterns = stories.select(F.explode(lists).alias("pattern")).where("pattern is not null").distinct().orderBy("pattern")
+    found: list[str] = []
+    for n, rows in enumerate(blocks(patterns.toLocalIterator(), block, BLOCK_LETTERS)):
+        texts = [r.pattern for r in rows]
+        found.append(f"_hits{n}")
+        events = events.withColumn(found[-1], all_matches(events.sparkSession, F.col("title"), texts, texts))
+    hits = F.concat(*found) if found else empty
+    return events.withColumn("_hits", F.coalesce(hits, empty)).drop(*found)
 
-def story_filter(fanned: DataFrame, patterns: list[str] | None) -> DataFrame:
-    """Per-story include and exclude lists, on events that carry their story's lists.
 
-    Takes ``_hits`` and ``patterns`` from `with_title_hits`. Without them the patterns
-    are taken from the row, which is slower and gives the same rows.
-    """
+def story_filter(fanned: DataFrame) -> DataFrame:
+    """Per-story include and exclude lists, on events that carry their story's lists and ``_hits`` (`with_title_hits`)."""
 
     def is_set(listed: str) -> Column:
         return F.coalesce(F.size(listed), F.lit(0)) > 0
 
     def any_match(listed: str) -> Column:
-        if patterns is None:
-            return F.exists(listed, lambda p: title_matches_column(F.col("title"), p))
         return F.arrays_overlap(F.col(listed), F.col("_hits"))
 
     kept = fanned.where(

@@ -18,7 +18,7 @@ from postroad.operators import delivery, filters, parse, replay, report, routing
 from postroad.plans import views
 from postroad.session import prepare, shared_dir
 from postroad.sources import control, kafka, requests
-from postroad.streaming import hooks, route, story
+from postroad.streaming import hooks, producer, route, sinks, story
 from postroad.streaming.deliver import ConnectionFailed, PayloadFailed, deliver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -240,6 +240,19 @@ def payload_text_exact(spark, events):
     return parsed.select("request_id", "pos", "payload")
 
 
+@query("events")
+def payload_text(spark, events):
+    """The received text of each event, alone or as a part of a list."""
+    return parse.parse_request_bodies(views.request_bodies(events)).select("request_id", "pos", "payload")
+
+
+@query("events")
+def examine_bodies(spark, events):
+    """Events and rejected bodies by one parse."""
+    examined = parse.examine_bodies(views.request_bodies(events))
+    return examined.select("request_id", "pos", "id", "title", "error_kind", "error")
+
+
 @query("events")
 def event_summary(spark, events):
     log = parse.event_summary(_log(events).withColumn("key", F.lit(None).cast("string")))
@@ -296,9 +309,9 @@ def story_filter(spark, events):
 
 @query("events")
 def story_filter_large(spark, events):
-    """The way for pattern lists beyond the limit: patterns taken from the row."""
-    fanned = routing.story_fanout(_log(events), views.stories_table(spark))
-    return filters.story_filter(fanned, None).select("story_id", "id", "title")
+    """Pattern lists of more than one index: two patterns in each."""
+    chosen = routing.story_events(_log(events), views.stories_table(spark), block=2)
+    return chosen.select("story_id", "id", "title")
 
 
 # --- routing ---------------------------------------------------------------------
@@ -324,10 +337,10 @@ def resolve_distinct_titles(spark, events):
 
 @query("events")
 def resolve_distinct_titles_large(spark, events):
-    """The ways for tables beyond the limits: rules joined, titles looked up by shuffle."""
+    """Rules of more than one index, and titles looked up by shuffle."""
     log = _log(events).drop("topic")
     routed = routing.resolve_distinct_titles(
-        log, views.rules_table(spark), max_rules=2, spread_by=["id"], max_titles=2
+        log, views.rules_table(spark), block=2, spread_by=["id"], max_titles=2
     )
     return routed.select("id", "title", "topic")
 
@@ -718,6 +731,58 @@ def run_story(spark, events):
     return dead.select("topic", F.col("key").cast("string").alias("key"))
 
 
+class RequestSink(ScriptedSink):
+    """The same script for events of requests, whose ids are ``<event>-<place>``."""
+
+    def send(self, method, url, headers, body, timeout):
+        import json
+
+        event, place = json.loads(body)["id"].split("-")
+        return super().send(method, url, headers, json.dumps({"id": int(event) + int(place)}).encode(), timeout)
+
+
+def _dispatched(spark: SparkSession, events: DataFrame) -> DataFrame:
+    """Events for the sinks that their requests name; a sink's number is its retry limit."""
+    limit = F.substring("sink_id", 5, 1).cast("int")
+    known = views.sinks_table(spark).withColumn("max_retry_times", limit)
+    return routing.dispatch_to_sink(parse.parse_request_bodies(views.request_bodies(events)), known)
+
+
+@query("events")
+def sink_lanes(spark, events):
+    """Rows and lanes of each sink: as many lanes as its rows ask for, within its limit."""
+    laned = sinks.sink_lanes(_dispatched(spark, events), limit=F.substring("sink_id", 5, 1).cast("int") * 3, lane_rows=50)
+    return laned.groupBy("sink_id").agg(
+        F.count("*").alias("n"), F.countDistinct("lane").alias("lanes"), F.max("at_once").alias("at_once")
+    )
+
+
+@query("events")
+def deliver_requests(spark, events):
+    out = shared_dir(spark, "requests")
+    sinks.send_requests(_dispatched(spark, events), out, RequestSink(), sleep=_no_sleep, lane_rows=200)
+    return spark.read.parquet(f"{out}/results").select(
+        "request_id", "pos", "id", "sink_id", "url", "status", "error_kind", "error", "attempts",
+        F.round("total_delay", 6).alias("total_delay"),
+    )
+
+
+@query("events")
+def handle_requests(spark, events):
+    """The whole producer: answers to all requests."""
+    out = shared_dir(spark, "producer")
+    bodies = views.request_bodies(events).select("request_id", "body", "sink_id")
+
+    def publish_records(routed: DataFrame) -> None:
+        kafka.publish(routed, {"path": f"{out}/records"}, format="parquet")
+
+    answers = producer.handle_requests(
+        bodies, views.rules_table(spark), views.sinks_table(spark), out, publish_records, RequestSink(), sleep=_no_sleep
+    )
+    pairs = F.transform(F.map_entries("details"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return answers.withColumn("details", F.array_join(pairs, ";"))
+
+
 @query("events")
 def replay_events(spark, events):
     out = shared_dir(spark, "replayed")

@@ -299,6 +299,56 @@ faults as (
 
 _STREAMED_ATTEMPTS = f"""{_classified(count="200")}, {_OUTCOME}"""
 
+
+
+def _sent_requests(limit: str) -> str:
+    """What becomes of events for sinks: tries go by the scripted replies until one ends the delivery."""
+    return f"""asked as (
+  select *, cast(right(sink_id, 1) as int) as s from parsed where sink_id is not null),
+tries as (
+  select *, n, ((event_id + pos) * 7 + n * 3) % 10 as k from asked, unnest(range(1, 12)) t(n) where s < 5),
+ending as (
+  select *, k in (2, 3, 4, 9) or (k between 5 and 8 and n > {limit}) as ends,
+    case when k in (5, 6) then 0.0 else least(pow(2.0::double, n - 1) * 0.1, 60.0::double) end as wait
+  from tries),
+sent as (
+  select request_id, sink_id, pos, id, s, title, arg_min(k, n) filter (ends) as k, min(n) filter (ends) as attempts,
+    coalesce(list_sum(list(wait order by n)[1 : min(n) filter (ends) - 1]), 0.0) as total_delay
+  from ending group by all),
+sent_results as (
+  select request_id, pos, id, sink_id, concat('http://example.invalid/s', s) as url,
+    case when k = 4 then 'DONE' else 'DEAD_LETTER' end as status,
+    case when k = 4 then null when k = 2 then 'PayloadFailed' else 'Exception' end as error_kind,
+    case k when 4 then null when 2 then 'payload' when 3 then 'Non-200 Status Code: 500'
+      when 9 then 'Unexpected Response: something else' else 'Maximum Retries' end as error,
+    attempts, round(total_delay, 6) as total_delay
+  from sent
+  union all
+  select request_id, pos, 'root', sink_id, null, null, 'InvalidArgumentError', concat('Sink ''', sink_id, ''' not found.'), null, null
+  from asked where s >= 5 and pos = 0)"""
+
+
+def _answers(everything: str) -> str:
+    return f"""everything as ({everything}),
+        failures as (
+          select request_id, id, min(pos) as pos,
+            arg_max(concat('<', error_kind, '> ', coalesce(error, '')), pos) as detail
+          from everything where error_kind is not null group by request_id, id),
+        told as (
+          select request_id, string_agg(concat(id, '=', detail), ';' order by pos) as details,
+            string_agg(concat(id, ': ', detail), chr(10) order by pos) as lines
+          from failures group by request_id),
+        counted as (select request_id, count(*) as total, count(*) filter (error_kind is null) as succeeded
+          from everything group by request_id)
+        select c.request_id,
+          case when succeeded = total then 'all_succ' when succeeded > 0 then 'part_succ' else 'all_fail' end as status,
+          cast(case when succeeded = total then 200 else 400 end as int) as http_code,
+          coalesce(details, '') as details,
+          case when succeeded = total then 'ok' when succeeded > 0 then concat('part_ok', chr(10), lines)
+            else concat('fail', chr(10), lines) end as plain
+        from counted c left join told t on c.request_id = t.request_id"""
+
+
 ORACLES: dict[str, str] = {
     "kafka_topics_source": f"""with {_LOG}
         select id, title, topic, "partition", "offset", id as key from log where topic = 'event-v2-t1'""",
@@ -417,26 +467,9 @@ ORACLES: dict[str, str] = {
     "dead_letter_records": f"""with {_RESULTS}
         select regexp_replace(topic, '^(event-v[0-9]-)?', '\\1dead-letter-') as topic, id as key, payload as value
         from results where status = 'DEAD_LETTER'""",
-    "batch_ack": f"""with {_PUBLISHED}, everything as (
+    "batch_ack": f"""with {_PUBLISHED}, {_answers("""
           select request_id, pos, id, error_kind, error from published
-          union all select request_id, 0, 'root', 'EventValidationError', error from rejected),
-        failures as (
-          select request_id, id, min(pos) as pos,
-            arg_max(concat('<', error_kind, '> ', coalesce(error, '')), pos) as detail
-          from everything where error_kind is not null group by request_id, id),
-        told as (
-          select request_id, string_agg(concat(id, '=', detail), ';' order by pos) as details,
-            string_agg(concat(id, ': ', detail), chr(10) order by pos) as lines
-          from failures group by request_id),
-        counted as (select request_id, count(*) as total, count(*) filter (error_kind is null) as succeeded
-          from everything group by request_id)
-        select c.request_id,
-          case when succeeded = total then 'all_succ' when succeeded > 0 then 'part_succ' else 'all_fail' end as status,
-          cast(case when succeeded = total then 200 else 400 end as int) as http_code,
-          coalesce(details, '') as details,
-          case when succeeded = total then 'ok' when succeeded > 0 then concat('part_ok', chr(10), lines)
-            else concat('fail', chr(10), lines) end as plain
-        from counted c left join told t on c.request_id = t.request_id""",
+          union all select request_id, 0, 'root', 'EventValidationError', error from rejected""")}""",
     "ack_status": f"""with {_PUBLISHED}, counted as (
           select request_id, count(*) as total, count(*) filter (error_kind is null) as succeeded
           from published group by request_id)
@@ -504,6 +537,22 @@ ORACLES: dict[str, str] = {
     "run_story": f"""with {_LOG}, {_STREAMED_ATTEMPTS}
         select regexp_replace(topic, '^(event-v[0-9]-)?', '\\1dead-letter-') as topic, id as key
         from log join outcome o on log.event_id = o.event_id where {_PASSES} and status = 'DEAD_LETTER'""",
+    "payload_text": f"""with {_BODIES} select c.request_id, c.pos, case when c.event_id % 4 = 0 then concat(' ', el) else el end as payload
+        from parsed c join pieces p on p.event_id = c.event_id and p.j = c.pos""",
+    "examine_bodies": f"""with {_BODIES} select request_id, pos, id, title, null as error_kind, null as error from parsed
+        union all select request_id, null, null, null, error_kind, error from rejected""",
+    "sink_lanes": f"""with {_BODIES}, sized as (
+          select sink_id, count(*) filter (cast(right(sink_id, 1) as int) < 5 or pos = 0) as n,
+            greatest(cast(right(sink_id, 1) as int) * 3, 1) as most
+          from parsed where sink_id is not null group by sink_id),
+        laned as (select *, least(cast(ceil(n / 50) as int), most) as lanes from sized)
+        select sink_id, n, lanes::bigint as lanes, cast(most // lanes as int) as at_once from laned""",
+    "deliver_requests": f"""with {_BODIES}, {_sent_requests("s")} select * from sent_results""",
+    "handle_requests": f"""with {_BODIES}, {_sent_requests("3")}, {_answers(f"""
+          select request_id, pos, id, case when {_topic("title")} is null then 'NoMatchedKafkaTopicError' end as error_kind,
+            '' as error from parsed where sink_id is null
+          union all select request_id, pos, id, error_kind, error from sent_results
+          union all select request_id, 0, 'root', 'EventValidationError', error from rejected""")}""",
     "replay_events": f"""with {_REPLAYED}, {_STREAMED_ATTEMPTS}
         select count(*) as total, count(*) filter (status = 'DONE') as done,
           count(*) filter (status = 'DEAD_LETTER') as dead_letter,

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postroad import schema
-from postroad.functions.match import is_valid_pattern
+from postroad.functions.pattern_index import compile_all, compiles
 from postroad.functions.strict_json import evaluate_once, field, is_json_string, with_variant
 from postroad.functions.text import group_id
 from postroad.operators.lookup import lookup_join
@@ -38,8 +38,8 @@ def _examined_rules(df: DataFrame, data: str) -> DataFrame:
     )
     staged = evaluate_once(with_variant(df, F.col(data), "_value"), _entries=entries)
     complete = F.forall("_entries", lambda e: e["topic"].isNotNull() & e["patterns"].isNotNull())
-    compiles = F.forall("_entries", lambda e: F.forall(e["patterns"], is_valid_pattern))
-    return staged.withColumn("_valid", F.coalesce(complete & compiles, F.lit(False))).drop("_value")
+    usable = compile_all(F.flatten(F.transform("_entries", lambda e: e["patterns"])))
+    return staged.withColumn("_valid", F.coalesce(complete & usable, F.lit(False))).drop("_value")
 
 
 def _ranked_rules(examined: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -122,7 +122,7 @@ def _wrong_strings(value: Column, path: str) -> Column:
 
 
 def _wrong_patterns(patterns: Column) -> Column:
-    return ~F.coalesce(F.forall(patterns, is_valid_pattern), F.lit(True))
+    return ~F.coalesce(compile_all(patterns), F.lit(True))
 
 
 def _sink_columns(
@@ -242,7 +242,7 @@ def load_stories(
         .when(source.isNull(), "source parameters are not JSON")
         .when(_wrong_strings(source, "$.topics"), "topics are not a list of strings")
         .when(topics.isNull() & topic_pattern.isNull(), "topics or topic-pattern must be set")
-        .when(topic_pattern.isNotNull() & ~is_valid_pattern(topic_pattern), "topic-pattern does not compile")
+        .when(topic_pattern.isNotNull() & ~compiles(topic_pattern), "topic-pattern does not compile")
         .when(F.col("sink").isNull(), "missing sink")
         .when(sink_error.isNotNull(), sink_error)
         .when(

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from postroad import schema
 from postroad.functions.text import parse_headers
 from postroad.operators.delivery import PARTITION, committable_offsets, dead_letter_records, delivery_rounds
-from postroad.operators.filters import Transform, title_passes, transform_chain
+from postroad.operators.filters import Transform, indexed_passes, transform_chain
 from postroad.operators.lookup import lookup_join
 from postroad.operators.parse import parse_kafka_messages, quarantine_messages
 from postroad.operators.replay import replay_window
@@ -55,7 +55,7 @@ def process_batch(
 
     events = parse_kafka_messages(records)
     include, exclude = story.get("include"), story.get("exclude")
-    passes = title_passes(F.col("title"), include, exclude) if include or exclude else F.lit(True)
+    passes = indexed_passes(spark, F.col("title"), include, exclude) if include or exclude else F.lit(True)
     if transforms:
         kept_path = f"{out}/transformed/batch_id={batch_id}"
         if not _is_written(spark, kept_path):
@@ -96,6 +96,21 @@ def deliver_unsettled(
     results_path: str,
     more: dict[str, str] | None = None,
     **delivery: Any,
+) -> bool:
+    """`settle` for the events of one sink, with the columns ``more`` in the results."""
+
+    def send(todo: DataFrame) -> DataFrame:
+        return deliver(todo, sink, transport, **delivery).withColumns({k: F.lit(v) for k, v in (more or {}).items()})
+
+    return settle(events, [*PARTITION, "offset"], send, tries, results_path)
+
+
+def settle(
+    events: DataFrame,
+    key: Sequence[str],
+    send: Callable[[DataFrame], DataFrame],
+    tries: str,
+    results_path: str,
 ) -> bool:
     """Send the events that no earlier try has settled, and write one result for each event.
 
@@ -103,7 +118,7 @@ def deliver_unsettled(
     whether every event is settled now.
     """
     spark = events.sparkSession
-    key = [*PARTITION, "offset"]
+    key = list(key)
     number = 0
     settled: DataFrame | None = None
     while _is_written(spark, f"{tries}/try={number}"):
@@ -113,8 +128,7 @@ def deliver_unsettled(
         number += 1
     todo = events if settled is None else events.join(settled.select(*key), key, "left_anti")
     if settled is None or not todo.isEmpty():
-        sent = deliver(todo, sink, transport, **delivery).withColumns({k: F.lit(v) for k, v in (more or {}).items()})
-        sent.write.mode("overwrite").parquet(f"{tries}/try={number}")
+        send(todo).write.mode("overwrite").parquet(f"{tries}/try={number}")
         sent = spark.read.parquet(f"{tries}/try={number}")
         whole = sent if settled is None else settled.unionByName(sent)
         whole.write.mode("overwrite").parquet(results_path)

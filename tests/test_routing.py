@@ -58,7 +58,7 @@ def test_first_match(spark, case):
     assert topics(routing.resolve_topic_table(df, table(spark, rules))) == expected
 
 
-@pytest.mark.parametrize("limits", [{}, {"max_rules": 2}, {"max_titles": 1}, {"max_rules": 1, "max_titles": 1}])
+@pytest.mark.parametrize("limits", [{}, {"block": 2}, {"max_titles": 1}, {"block": 1, "max_titles": 1}])
 def test_distinct_titles(spark, limits):
     df = titled(spark, list(EXPECTED) * 3).withColumn("id", F.monotonically_increasing_id())
     found = routing.resolve_distinct_titles(df, table(spark, RULES), spread_by=["id"], **limits)
@@ -125,17 +125,14 @@ STORIES = [
 ]
 
 
-@pytest.mark.parametrize("literal", [True, False])
-def test_stories_against_a_loop(spark, literal):
+@pytest.mark.parametrize("block", [1, 1000])
+def test_stories_against_a_loop(spark, block):
     stories = spark.createDataFrame(
         STORIES, "story_id string, topics array<string>, topic_pattern string, include array<string>, exclude array<string>"
     )
     rows = [(f"{i}", f"t{i % 3 + 1}", ["user.a", "user.x", "msg.x", "Msg"][i % 4]) for i in range(24)]
     events = spark.createDataFrame(rows, "id string, topic string, title string")
-    if literal:
-        found = routing.story_events(events, stories)
-    else:
-        found = filters.story_filter(routing.story_fanout(events, stories), None)
+    found = routing.story_events(events, stories, block=block)
 
     def matches(patterns, title):
         return any(re.match(p, title, re.I) for p in patterns)
