@@ -48,6 +48,8 @@ BLANKS = b"\x20\x09"
 
 #: Occurrences in a row of a relation.
 SEGMENT = 256
+#: Rows of a relation that a task looks at together.
+SLICE = 1 << 10
 #: Sums that a task gathers before it hands them on.
 GATHER = 1 << 20
 #: Bits of the semi-joins' map: 16 MB.
@@ -224,6 +226,13 @@ def occurrences(df: DataFrame, frequent: np.ndarray, text: str = "text", lang: s
     return df.select(_lang(lang).alias("lang"), F.col(f"`{text}`").alias("text")).mapInArrow(run, RELATION)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most `SLICE` rows, so that what a task works out for one stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, SLICE):
+            yield batch.slice(first, SLICE)
+
+
 class _Rows:
     """A batch of a relation: its lists one after another, and `at` counted through the batch."""
 
@@ -286,7 +295,7 @@ def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(n), pa.string()), *(pa.array(c.view(np.int64)) for c in columns), pa.array(n)], names=["lang", *names, "n"])
             held.clear()
 
-        for batch in batches:
+        for batch in _slices(batches):
             rows = _Rows(batch)
             rows.join(k - 1)
             langs = rows.lang.to_pylist()
@@ -310,7 +319,7 @@ def extended(relation: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:
     shared = relation.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             rows = _Rows(batch)
             rows.join(k - 1)
             rows.keep(_in_map(shared.value, rows.codes(k)))
