@@ -6,6 +6,7 @@ run a stream or deliver events write a table in the shared folder and read it ba
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +18,8 @@ from postroad.functions.text import backoff_delay, dead_letter_topic, header_map
 from postroad.operators import delivery, filters, parse, replay, report, routing
 from postroad.plans import views
 from postroad.session import prepare, shared_dir
-from postroad.sources import control, kafka, requests
-from postroad.streaming import hooks, producer, route, sinks, story
+from postroad.sources import control, kafka, log_index, requests
+from postroad.streaming import control_state, hooks, producer, route, sinks, story
 from postroad.streaming.deliver import ConnectionFailed, PayloadFailed, deliver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,29 @@ def seek_offsets(spark, events):
     return replay.seek_offsets(_log(events), start, end)
 
 
+def _landed_in_parts(spark: SparkSession, events: DataFrame) -> str:
+    """The log landed in four runs by record time, each indexed as it lands."""
+    path = shared_dir(spark, "log")
+    log = _kafka_log(events).withColumn("run", F.pmod(F.dayofyear("timestamp"), F.lit(4)))
+    for run in range(4):
+        log_index.land_indexed(log.where(F.col("run") == run).drop("run"), path)
+    return path
+
+
+@query("events")
+def replay_landed(spark, events):
+    """`replay_window` over a landed log, by the time index of its files."""
+    start, end = [F.lit(t).cast("timestamp") for t in (views.REPLAY_START, views.REPLAY_END)]
+    found = log_index.replay_landed(spark, _landed_in_parts(spark, events), start, end)
+    return found.select("topic", "partition", "offset", F.col("key").cast("string").alias("id"))
+
+
+@query("events")
+def seek_landed(spark, events):
+    start, end = [F.lit(t).cast("timestamp") for t in (views.REPLAY_START, views.REPLAY_END)]
+    return log_index.seek_landed(spark, _landed_in_parts(spark, events), start, end).bounds
+
+
 @query("orders")
 def load_topic_rules(spark, orders):
     return control.load_topic_rules(views.rule_snapshots(orders))
@@ -632,6 +656,30 @@ def route_stream(spark, events):
     return spark.read.parquet(f"{out}/data").select("id", "title", "topic")
 
 
+@query("events")
+def route_by_state(spark, events):
+    """Three batches; between them come a document with other rules, a faulty one and the rules again."""
+    path, documents, out = (shared_dir(spark, name) for name in ("log", "documents", "routed"))
+
+    def tell(version: int, patterns: list[tuple[str, str]]) -> None:
+        data = json.dumps([{"topic": t, "patterns": [p]} for t, p in patterns])
+        spark.createDataFrame([(version, data)], "version long, data string").write.mode("append").parquet(documents)
+
+    def newer(session: SparkSession, version: int | None) -> DataFrame:
+        return control_state.newer_than(session.read.schema("version long, data string").parquet(documents), version)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.select("id", "title", "topic").write.mode("overwrite").parquet(f"{out}/data/batch_id={batch_id}")
+
+    state = control_state.rules_state(f"{out}/rules", newer)
+    for run, rules in enumerate([views.RULES, views.RULES[::-1], [("t", "(")]]):
+        tell(run, rules)
+        kafka.land_log(_kafka_log(events).where(F.col("offset") % 3 == run), path)
+        stream = parse.parse_kafka_messages(kafka.landed_log(spark, path, topic_pattern="event")).drop("topic")
+        route.route_by_state(stream, state, write, f"{out}/checkpoint", availableNow=True).awaitTermination()
+    return spark.read.parquet(f"{out}/data").select("id", "title", "topic")
+
+
 @query("events")
 def publish(spark, events):
     path, out = shared_dir(spark, "log"), shared_dir(spark, "published")

@@ -17,8 +17,8 @@ def _any(column: str, patterns: list[str]) -> str:
     return "(" + " or ".join(_match(column, p) for p in patterns) + ")"
 
 
-def _topic(column: str) -> str:
-    cases = " ".join(f"when {_match(column, p)} then {_quote(t)}" for t, p in views.RULES)
+def _topic(column: str, rules: list[tuple[str, str]] = views.RULES) -> str:
+    cases = " ".join(f"when {_match(column, p)} then {_quote(t)}" for t, p in rules)
     return f"case {cases} end"
 
 
@@ -528,6 +528,8 @@ ORACLES: dict[str, str] = {
     "windowed_counts_stream": f"""with {_LOG}
         select strftime(time_bucket(interval 6 hours, ts, timestamp '1970-01-01'), '%Y-%m-%d %H:%M:%S') as window_start,
           topic, count(*) as n from log group by 1, 2""",
+    "route_by_state": f"""with {_LOG} select id, title,
+        case when event_id % 3 = 0 then {_topic('title')} else {_topic('title', views.RULES[::-1])} end as topic from log""",
     "publish": f"""with {_LOG}, routed as (select *, {_topic('title')} as target from log)
         select target as topic, id as key, concat('{{"id":"', id, '","title":"', title, '","published":"', published,
           '","user":', user_id, '}}') as value from routed where target is not null""",
@@ -560,6 +562,7 @@ ORACLES: dict[str, str] = {
         from replayed r join outcome o on r.event_id = o.event_id""",
     "row_transform": f"""with {_LOG} select id, upper(title) as title from log where event_id % 2 = 0""",
 }
+ORACLES["replay_landed"], ORACLES["seek_landed"] = ORACLES["replay_window"], ORACLES["seek_offsets"]
 ORACLES["story_filter_large"] = ORACLES["story_filter"]
 for _same in ("resolve_topic_table", "resolve_distinct_titles", "resolve_distinct_titles_large", "route_stream"):
     ORACLES[_same] = ORACLES["resolve_topic"]

@@ -2,7 +2,7 @@
 
 A transport is a callable ``(method, url, headers, body, timeout) -> (status, text)``,
 or an object with that method as ``send`` and optional ``open`` and ``close``, which
-run once per task. It reports failures by the exceptions below.
+run once per task, and ``update_params``, which is given the sink's parameters after ``open``. It reports failures by the exceptions below.
 """
 
 from __future__ import annotations
@@ -200,6 +200,8 @@ def deliver(
 
         if hasattr(transport, "open"):
             transport.open()
+        if hasattr(transport, "update_params"):
+            transport.update_params(params)
         send = getattr(transport, "send", transport)
 
         deadline = time.monotonic() + deadline_s

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postroad.operators.routing import resolve_topic_table
 from postroad.sources.control import current_rules, has_valid_rules
+from postroad.streaming.control_state import ControlState
 
 
 def route_stream(
@@ -35,3 +36,25 @@ def route_stream(
 
     writer = events.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
     return (writer.trigger(**trigger) if trigger else writer).start()
+
+
+def route_by_state(
+    events: DataFrame,
+    rules: ControlState,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    **trigger,
+) -> StreamingQuery:
+    """`route_stream` with rules kept as state (`rules_state`): a batch reads only documents that no batch has read before.
+
+    A batch that is run again gets the rules that it had.
+    """
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        current = rules.at(batch.sparkSession, batch_id)
+        if current is None:
+            raise ValueError("Topic mappings is empty")
+        write(resolve_topic_table(batch, current, allow_empty=True), batch_id)
+
+    writer = events.writeStream.foreachBatch(route).option("checkpointLocation", checkpoint)
+    return (writer.trigger(**trigger) if trigger else writer).start()

@@ -144,18 +144,22 @@ def run_story(
     checkpoint: str,
     transport: Any = http_transport,
     trigger: dict[str, Any] | None = None,
+    sink_of: Callable[[SparkSession, int], dict[str, Any]] | None = None,
     **options: Any,
 ) -> StreamingQuery:
     """Start a story on a stream with the Kafka source columns; see `process_batch`.
 
     An incomplete batch fails the query before its offsets are committed; the next start
-    delivers the batch again.
+    delivers the batch again. ``sink_of`` gives the sink's parameters for each batch (`sink_at`), in place of the story's own:
+    a change takes effect at the next batch, and a batch that is run again has the parameters that it had. A transport
+    with ``update_params`` is told of them in each task before it sends.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
         batch.persist()  # several tables are written from one read of the source
         try:
-            process_batch(batch, batch_id, story, out, transport, **options)
+            fixed = {**story, "sink": sink_of(batch.sparkSession, batch_id)} if sink_of else story
+            process_batch(batch, batch_id, fixed, out, transport, **options)
         finally:
             batch.unpersist()
 
@@ -208,6 +212,7 @@ def replay(
     transport: Any = http_transport,
     headers: Sequence[str] | None = None,
     step: int = 100_000,
+    window: Callable[[], DataFrame] | None = None,
     **delivery: Any,
 ) -> DataFrame:
     """Send a time range of a log to a sink; returns the written results.
@@ -217,7 +222,8 @@ def replay(
     task never holds more than ``step`` records of a partition. A replay that is started again
     sends only what has no final outcome; with other arguments on the same folder it is
     refused. Failures stay in the results and are not dead-lettered. Unparsable records go to a
-    quarantine table and the replay goes on. ``headers`` are ``k=v`` texts.
+    quarantine table and the replay goes on. ``headers`` are ``k=v`` texts. ``window`` gives the range's records
+    by a shorter way than `replay_window`, such as `replay_landed`.
     """
     spark = log.sparkSession
     by_step = T.StructField("step", T.LongType())
@@ -235,9 +241,9 @@ def replay(
         spark.createDataFrame([(asked,)], "asked string").write.mode("overwrite").parquet(f"{out}/asked")
     chosen_path = f"{out}/chosen"
     if not _is_written(spark, chosen_path):
-        window = replay_window(log, start, end)
-        first = window.groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
-        numbered = lookup_join(window, first, PARTITION, "inner", ["offset"])
+        chosen_records = window() if window else replay_window(log, start, end)
+        first = chosen_records.groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
+        numbered = lookup_join(chosen_records, first, PARTITION, "inner", ["offset"])
         numbered = numbered.withColumn("step", F.expr(f"(`offset` - _first) div {step}"))
         chosen = numbered.select(*chosen_schema.fieldNames()).repartition("step", *PARTITION)
         chosen.write.partitionBy("step").mode("overwrite").parquet(chosen_path)
