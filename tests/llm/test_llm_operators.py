@@ -1,5 +1,7 @@
 """Every operator on odd rows, on an empty table, and on the small tables, against brute force."""
 
+import base64
+import gzip
 import hashlib
 import os
 import random
@@ -154,7 +156,7 @@ def test_archives(spark, tmp_path):
     big = "é" * 5000
     rows = [(1, "http://a/\r\nx", "one"), (2, None, "one"), (3, "u", None), (4, "u", ""), (5, "u", big), (5, "u", big), (7, "v", big), (None, "n", "alone"), (None, "n", "one"), (9, "u", "WARC/1.1\r\n\r\nfalse")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("d")).withColumn("offset", F.lit(1))
-    index = warc.write(pages, str(tmp_path / "w"), archive_bytes=20_000)
+    index = warc.write(pages, str(tmp_path / "w"), archive_bytes=5_000)
     assert index.select("file").distinct().count() > 1
     back = warc.read(index, gap=10, most=9_000).collect()
     assert all(r.sound for r in back) and len(back) == len(rows)
@@ -167,6 +169,32 @@ def test_archives(spark, tmp_path):
     assert warc.round_trip(pages.where("false")).count() == 0
 
 
+def test_archives_of_given_pages(spark, tmp_path):
+    """All records of the given pages, and of very long, repeated and odd ones, against plain loops."""
+    given = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html").collect()]
+    more = [(10_000 + k, f"http://x.invalid/{k}", ["same ü", "", None, "x" * 3_000_000][k % 4]) for k in range(12)] + [(20_000, "u\r\nv", "WARC/1.1\r\n\r\n")] * 3 + [(None, None, "only here")] * 2
+    rows = given + more
+    pages = spark.createDataFrame([(*r, 1, "x") for r in rows], "page_id long, url string, html string, size long, digest string").repartition(4)
+    first = {}
+    for page, _, html in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        first.setdefault((html or "").encode(), page)
+    expected, seen = [], set()
+    for page, _, html in rows:
+        raw = (html or "").encode()
+        response = first[raw] == page and raw not in seen
+        seen |= {raw} if response else set()
+        expected.append((page, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if response else "revisit", None if response else first[raw]))
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, warc.round_trip(pages).collect()), key=key) == sorted(expected, key=key)
+    index = warc.write(pages, str(tmp_path / "w"), archive_bytes=50_000)
+    assert index.count() == len(rows) and index.select("file").distinct().count() > 1
+    told = warc.read(index.where("page_id = 10003")).first()
+    assert told.payload == "x" * 3_000_000 and told.sound
+    # Each member is a gzip file of its own, and the archive one of them all.
+    name = index.first().file.removeprefix("file:")
+    assert gzip.decompress(open(name, "rb").read()).count(b"WARC/1.1\r\nWARC-Type") == index.where(F.col("file") == index.first().file).count()
+
+
 def test_fingerprints_and_components(odd, none):
     expected = pairs(odd)
     prints = [(i, brute.fingerprint(t)) for i, t in expected]
