@@ -238,6 +238,25 @@ def replay_count(results: DataFrame) -> DataFrame:
     )
 
 
+def lifecycle_log(results: DataFrame, ts: str = "sent_at") -> DataFrame:
+    """The stages that delivered events went through, from their results: ``(id, status, step, ts)`` and the story if there is one.
+
+    An event that was read is FROM_KAFKA, and TO_SINK once it is sent; each attempt that is to be followed by another is
+    RETRY_TO_SINK, also if none followed; the end is IN_SINK or TO_DEAD_LETTER. All stages of a try have its time; ``step`` orders them.
+    """
+    tried = F.coalesce("attempts", F.lit(0)) > 0
+    retries = F.col("attempts") - F.when(F.col("status") == "UNKNOWN", 0).otherwise(1)
+    end = F.when(F.col("status") == "DONE", "IN_SINK").when(F.col("status") == "DEAD_LETTER", "TO_DEAD_LETTER")
+    stages = F.concat(
+        F.array(F.lit("FROM_KAFKA")),
+        F.when(tried, F.array(F.lit("TO_SINK"))).otherwise(F.array().cast("array<string>")),
+        F.when(tried, F.array_repeat(F.lit("RETRY_TO_SINK"), retries.cast("int"))).otherwise(F.array().cast("array<string>")),
+        F.array_compact(F.array(end)),
+    )
+    keep = [c for c in ("story_id",) if c in results.columns]
+    return results.select(*keep, "id", F.col(ts).alias("ts"), F.posexplode(stages).alias("step", "status"))
+
+
 def lifecycle_counts(log: DataFrame) -> DataFrame:
     return log.groupBy("status").agg(F.count("*").alias("n"))
 

@@ -19,7 +19,7 @@ from postroad.operators import delivery, filters, parse, replay, report, routing
 from postroad.plans import views
 from postroad.session import prepare, shared_dir
 from postroad.sources import control, kafka, log_index, requests
-from postroad.streaming import control_state, hooks, producer, route, sinks, story
+from postroad.streaming import control_state, fanout, hooks, producer, route, sinks, story
 from postroad.streaming.deliver import ConnectionFailed, PayloadFailed, deliver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -831,6 +831,46 @@ def handle_requests(spark, events):
     return answers.withColumn("details", F.array_join(pairs, ";"))
 
 
+class StorySink(ScriptedSink):
+    """The same script for each sink on its own."""
+
+    def send(self, method, url, headers, body, timeout):
+        import json
+
+        event_id = int(json.loads(body)["id"])
+        n = self.tries[url, event_id] = self.tries.get((url, event_id), 0) + 1
+        # The script counts by itself; it is told which attempt this is.
+        self.tries[event_id] = n - 1
+        return super().send(method, url, headers, body, timeout)
+
+
+def _shared_stories(spark: SparkSession, events: DataFrame) -> fanout.SharedStories:
+    """All stories on one read of the landed log."""
+    path, out = shared_dir(spark, "log"), shared_dir(spark, "shared")
+    kafka.land_log(_kafka_log(events), path)
+    stories = views.stories_table(spark).withColumn("url", F.concat(F.lit("http://example.invalid/"), "story_id"))
+    running = fanout.run_shared(
+        kafka.landed_log(spark, path, topic_pattern="event"), lambda s, k: stories, out, f"{out}/checkpoint", StorySink(),
+        {"availableNow": True}, sleep=_no_sleep, max_parallel=1,
+    )
+    running.awaitTermination()
+    return fanout.SharedStories(spark, out)
+
+
+@query("events")
+def run_shared(spark, events):
+    """Outcomes of all stories from one query."""
+    results = _shared_stories(spark, events).results()
+    return results.select("story_id", "id", "status", "error", "attempts")
+
+
+@query("events")
+def lifecycle_log(spark, events):
+    """Stages of all stories' events, counted, as their results give them."""
+    results = _shared_stories(spark, events).results()
+    return report.lifecycle_log(results).groupBy("story_id", "status").agg(F.count("*").alias("n"))
+
+
 @query("events")
 def replay_events(spark, events):
     out = shared_dir(spark, "replayed")

@@ -555,6 +555,16 @@ ORACLES: dict[str, str] = {
             '' as error from parsed where sink_id is null
           union all select request_id, pos, id, error_kind, error from sent_results
           union all select request_id, 0, 'root', 'EventValidationError', error from rejected""")}""",
+    "run_shared": f"""with {_LOG}, {_FANNED}, {_STREAMED_ATTEMPTS}
+        select story_id, id, status, error, attempts from fanned join outcome o on fanned.event_id = o.event_id
+        where {_story_verdicts()}""",
+    "lifecycle_log": f"""with {_LOG}, {_FANNED}, {_STREAMED_ATTEMPTS}, sent as (
+          select story_id, status, attempts from fanned join outcome o on fanned.event_id = o.event_id where {_story_verdicts()})
+        select story_id, 'FROM_KAFKA' as status, count(*) as n from sent group by 1
+        union all select story_id, 'TO_SINK', count(*) from sent group by 1
+        union all select story_id, 'RETRY_TO_SINK', cast(sum(attempts - 1) as bigint) from sent group by 1 having sum(attempts - 1) > 0
+        union all select story_id, 'IN_SINK', count(*) from sent where status = 'DONE' group by 1
+        union all select story_id, 'TO_DEAD_LETTER', count(*) from sent where status = 'DEAD_LETTER' group by 1""",
     "replay_events": f"""with {_REPLAYED}, {_STREAMED_ATTEMPTS}
         select count(*) as total, count(*) filter (status = 'DONE') as done,
           count(*) filter (status = 'DEAD_LETTER') as dead_letter,
