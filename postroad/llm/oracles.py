@@ -77,36 +77,42 @@ with base as (
          1000 * n_repeat_words // greatest(n_words, 1) as repeats, 100 * word_chars // greatest(n_words, 1) as word_length
   from counted
 ), long as (
-  unpivot (select lang, source, symbols, dup_lines, repeats, word_length from rates where n_words > 0)
+  unpivot (select lang, source, symbols, dup_lines, repeats, word_length from rates where n_words >= 50 and 100 * n_repeat_words <= 50 * n_words)
   on symbols, dup_lines, repeats, word_length into name metric value value
 ), cut as (
   select lang, source, metric, value >> greatest(length(bin(value)) - 7, 0) << greatest(length(bin(value)) - 7, 0) as value from long
 ), own as (select lang, source, metric, value, count(*) as n from cut group by all),
-by_lang as (select lang, metric, value, sum(n) as n from own group by all),
-every as (select metric, value, sum(n) as n from own group by all),
-own_run as (select *, sum(n) over (partition by lang, source, metric order by value) as upto, sum(n) over (partition by lang, source, metric) as rows from own),
-lang_run as (select *, sum(n) over (partition by lang, metric order by value) as upto, sum(n) over (partition by lang, metric) as rows from by_lang),
-every_run as (select *, sum(n) over (partition by metric order by value) as upto, sum(n) over (partition by metric) as rows from every),
-a as (select lang, source, metric, any_value(rows) as rows, min(value) filter (4 * upto >= rows) as q1, min(value) filter (4 * upto >= 3 * rows) as q3 from own_run group by all),
-b as (select lang, metric, any_value(rows) as rows, min(value) filter (4 * upto >= rows) as q1, min(value) filter (4 * upto >= 3 * rows) as q3 from lang_run group by all),
-c as (select metric, min(value) filter (4 * upto >= rows) as q1, min(value) filter (4 * upto >= 3 * rows) as q3 from every_run group by all),
-q as (
-  select a.lang, a.source, metric,
-         case when a.rows >= 200 then a.q1 when b.rows >= 200 then b.q1 else c.q1 end as q1,
-         case when a.rows >= 200 then a.q3 when b.rows >= 200 then b.q3 else c.q3 end as q3
-  from a join b using (lang, metric) join c using (metric)
+levels as (
+  select 1 as level, lang, source, metric, value, n from own
+  union all select 2, lang, null, metric, value, sum(n) from own group by all
+  union all select 3, null, null, metric, value, sum(n) from own group by all
+), run as (
+  select *, sum(n) over (partition by level, lang, source, metric order by value) as upto, sum(n) over (partition by level, lang, source, metric) as rows from levels
+), q as (
+  select level, lang, source, metric, any_value(rows) as rows, min(value) filter (100 * upto >= 25 * rows) as q25, min(value) filter (100 * upto >= 50 * rows) as q50,
+         min(value) filter (100 * upto >= 75 * rows) as q75, min(value) filter (100 * upto >= 90 * rows) as q90
+  from run group by level, lang, source, metric
+), f as (
+  select level, lang, source, metric, rows, q90 + 10 * (q90 - q50) as share, q75 + 6 * greatest(q75 - q25, q75 // 64) as high, q25 - 6 * greatest(q75 - q25, q75 // 64) as low from q
+), chosen as (
+  select a.lang, a.source, a.metric,
+         least(case when a.rows >= 200 then a.share end, case when b.rows >= 200 then b.share end, c.share) as share,
+         coalesce(greatest(case when a.rows >= 200 then a.high end, case when b.rows >= 200 then b.high end), c.high) as high,
+         coalesce(least(case when a.rows >= 200 then a.low end, case when b.rows >= 200 then b.low end), c.low) as low
+  from f a join f b on b.level = 2 and b.lang = a.lang and b.metric = a.metric join f c on c.level = 3 and c.metric = a.metric where a.level = 1
 ), fences as (
-  select lang, source,
-         max(greatest(q3 + 3 * (q3 - q1), 100)) filter (metric = 'symbols') as s,
-         max(greatest(q3 + 3 * (q3 - q1), 500)) filter (metric = 'dup_lines') as d,
-         max(greatest(q3 + 3 * (q3 - q1), 300)) filter (metric = 'repeats') as r,
-         max(greatest(q3 + 3 * (q3 - q1), 1000)) filter (metric = 'word_length') as l,
-         min(least(q1 - 3 * (q3 - q1), 300)) filter (metric = 'word_length') as m
-  from q group by all
+  select lang, source, max(share) filter (metric = 'symbols') as s, max(share) filter (metric = 'dup_lines') as d, max(share) filter (metric = 'repeats') as r,
+         max(high) filter (metric = 'word_length') as l, min(low) filter (metric = 'word_length') as m
+  from chosen group by all
+), beyond as (
+  select *, (s * n_words::double) as es, (d * n_lines::double) as ed, (r * n_words::double) as er,
+         1000 * n_symbols::double - es as bs, 1000 * n_dup_lines::double - ed as bd, 1000 * n_repeat_words::double - er as br
+  from rates left join fences using (lang, source)
 ), judged as (
   select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed,
-         coalesce(symbols > s or dup_lines > d or repeats > r or word_length > l or word_length < m, false) as outside
-  from rates left join fences using (lang, source)
+         coalesce(bs > 0 and bs * bs > 9000.0 * (es + 1000) or bd > 0 and bd * bd > 9000.0 * (ed + 1000) or br > 0 and br * br > 9000.0 * (er + 1000)
+                  or word_length > l or word_length < m, false) as outside
+  from beyond
 )
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not outside as kept
 from judged

@@ -6,11 +6,16 @@ cut to their seven highest bits, so it is off by less than 1/64 of a value, has
 sketches are merged by adding counts. A group with fewer than `min_rows` rows takes the merged sketches of its
 language, a language with fewer those of the whole table.
 
-From each sketch come the quartiles, and from these the fence: `reach` times the distance between the quartiles
-above the upper one (and below the lower one for word lengths). Of symbols, repeated lines and repeated windows, a
-group allows no more than the fence of its language and that of the whole table (each of at least `min_rows` rows), since a source
-that is a quarter junk or more would fence in its junk. A fence is never tighter than its allowance, so
-groups of very even texts do not lose sound ones. A document outside any fence goes, and so does one that fails the base rules.
+Only documents that pass the base rules are sketched. From a sketch come quantiles, and from these the fences; no threshold is fixed.
+
+- Symbols, repeated lines and repeated windows: `reach` times the distance from the median to the 90th percentile, above the
+  latter. The least of the fences of the group, its language and the whole table holds (each of at least `min_rows` rows but the last),
+  since a source that is full of junk would fence in its junk. A fence is a rate; a document is outside if its count is more than the fence lets
+  expect by over `NOISE` standard deviations of a count, so a short text does not go for one symbol.
+- Word lengths: `WIDE` times the distance of the quartiles (or of two neighbouring values of the sketch, if that is more) above the upper and
+  below the lower one, by the wider of the fences of group and language.
+
+A document outside any fence goes, and so does one that fails the base rules.
 
 Three-word windows are compared by 64-bit hashes of their words within a text.
 
@@ -28,10 +33,11 @@ from postroad.llm.shared import lookup, written
 
 MIN_WORDS = 50
 MIN_ROWS = 200
-REACH = 3
-#: metric -> (allowance above, allowance below): per 1,000 words, lines or words, and hundredths of characters a word.
-ALLOWANCE = {"symbols": (100, None), "dup_lines": (500, None), "repeats": (300, None), "word_length": (1000, 300)}
-#: Metrics whose upper fences are bounded by those of larger groups. Word lengths differ by kind of text, and keep their own.
+REACH = 10
+WIDE = 6
+NOISE = 3.0
+#: metric -> its count, what it is counted among, and the unit of the rate: per 1,000 lines or words, and hundredths of characters a word.
+METRICS = {"symbols": ("n_symbols", "n_words", 1000), "dup_lines": ("n_dup_lines", "n_lines", 1000), "repeats": ("n_repeat_words", "n_words", 1000), "word_length": ("word_chars", "n_words", 100)}
 SHARES = ("symbols", "dup_lines", "repeats")
 BLANK = "[\\x20\\x09-\\x0D]+"
 
@@ -70,15 +76,15 @@ def base_failed(min_words: int = MIN_WORDS) -> Column:
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def _rates() -> Column:
-    rate = lambda n, of, unit: F.floor(unit * F.col(n) / F.greatest(F.col(of), F.lit(1))).cast("long")
-    of = {"symbols": rate("n_symbols", "n_words", 1000), "dup_lines": rate("n_dup_lines", "n_lines", 1000), "repeats": rate("n_repeat_words", "n_words", 1000), "word_length": rate("word_chars", "n_words", 100)}
-    return F.array(*(F.struct(F.lit(name).alias("metric"), of[name].alias("value")) for name in ALLOWANCE))
+def _rate(metric: str) -> Column:
+    n, of, unit = METRICS[metric]
+    return F.floor(unit * F.col(n) / F.greatest(F.col(of), F.lit(1))).cast("long")
 
 
-def sketches(counted: DataFrame, keys: list[str]) -> DataFrame:
+def sketches(counted: DataFrame, keys: list[str], min_words: int = MIN_WORDS) -> DataFrame:
     """(keys, metric, value, n): the sketch of each group and metric; n rows have this value once it is cut."""
-    rows = counted.where(F.col("n_words") > 0).select(*keys, F.explode(_rates()).alias("x"))
+    rates = F.array(*(F.struct(F.lit(metric).alias("metric"), _rate(metric).alias("value")) for metric in METRICS))
+    rows = counted.where(~base_failed(min_words)).select(*keys, F.explode(rates).alias("x"))
     drop = "greatest(length(bin(x.value)) - 7, 0)"  # bits beyond the seven highest
     cut = F.expr(f"shiftleft(shiftright(x.value, {drop}), {drop})")
     return rows.select(*keys, "x.metric", cut.alias("value")).groupBy(*keys, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
@@ -89,39 +95,37 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
     return sketch.groupBy(*keys, "metric", "value").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, metric, rows, q1, q3). Entries of a group are few, so one task can have all of them."""
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, metric, rows, q25, q50, q75, q90). Entries of a group are few, so one task can have all of them."""
     by = [*keys, "metric"]
     ordered = Window.partitionBy(*by).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     run = sketch.select(*by, "value", F.sum("n").over(ordered).alias("upto"), F.sum("n").over(Window.partitionBy(*by)).alias("rows"))
-    quartile = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("rows"), F.col("value")))
-    return run.groupBy(*by).agg(F.first("rows").alias("rows"), quartile(1).alias("q1"), quartile(3).alias("q3"))
+    quantile = lambda k: F.min(F.when(100 * F.col("upto") >= k * F.col("rows"), F.col("value"))).alias(f"q{k}")
+    return run.groupBy(*by).agg(F.first("rows").alias("rows"), *(quantile(k) for k in (25, 50, 75, 90)))
+
+
+def _fences(sketch: DataFrame, keys: list[str], suffix: str, reach: int, wide: int) -> DataFrame:
+    """(keys, metric, rows, share, low, high), the last four with the suffix: a rate's upper fence, and a length's two."""
+    spread = wide * F.greatest(F.col("q75") - F.col("q25"), F.expr("q75 div 64"))
+    named = {"rows": F.col("rows"), "share": F.col("q90") + reach * (F.col("q90") - F.col("q50")), "low": F.col("q25") - spread, "high": F.col("q75") + spread}
+    return quantiles(sketch, keys).select(*keys, "metric", *(c.alias(f"{name}{suffix}") for name, c in named.items()))
 
 
-def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS, reach: int = REACH) -> DataFrame:
-    """One row for each language and source (null as empty text, told apart by `of`): above_* and below_* of every metric."""
+def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS, reach: int = REACH, wide: int = WIDE) -> DataFrame:
+    """One row for each language and source (null as empty text, told apart by a mark): above_* of every metric and below_word_length."""
     own = sketches(counted.select(_name(lang).alias("lang_"), _name(source).alias("source_"), "n_words", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words", "word_chars"), ["lang_", "source_"])
     own = written(own, "sketches")  # a few hundred entries for each group
-    by_lang = merged(own, ["lang_"])
-    everything = merged(own, [])
-    a = quartiles(own, ["lang_", "source_"])
-    b = quartiles(by_lang, ["lang_"]).select("lang_", "metric", F.col("rows").alias("rows_b"), F.col("q1").alias("q1_b"), F.col("q3").alias("q3_b"))
-    c = quartiles(everything, []).select("metric", F.col("q1").alias("q1_c"), F.col("q3").alias("q3_c"))
+    a = _fences(own, ["lang_", "source_"], "", reach, wide)
+    b = _fences(merged(own, ["lang_"]), ["lang_"], "_b", reach, wide)
+    c = _fences(merged(own, []), [], "_c", reach, wide)
     joined = a.join(b, ["lang_", "metric"]).join(F.broadcast(c), "metric")  # c has one row for each metric
-    pick = lambda q: F.when(F.col("rows") >= min_rows, F.col(q)).when(F.col("rows_b") >= min_rows, F.col(f"{q}_b")).otherwise(F.col(f"{q}_c"))
-    upper = lambda q1, q3: F.col(q3) + reach * (F.col(q3) - F.col(q1))
-    # What a quarter of a group is junk of, its own quartiles allow; so shares are held to the language's fence and the table's.
-    by_all = F.least(F.when(F.col("rows") >= min_rows, upper("q1", "q3")), F.when(F.col("rows_b") >= min_rows, upper("q1_b", "q3_b")), upper("q1_c", "q3_c"))
-    chosen = joined.select("lang_", "source_", "metric", pick("q1").alias("q1"), pick("q3").alias("q3"), by_all.alias("bound"))
-    spread = reach * (F.col("q3") - F.col("q1"))
-    columns = []
-    for metric, (above, below) in ALLOWANCE.items():
-        mine = F.col("metric") == metric
-        top = F.col("bound") if metric in SHARES else F.col("q3") + spread
-        columns.append(F.max(F.when(mine, F.greatest(top, F.lit(above)))).alias(f"above_{metric}"))
-        if below is not None:
-            columns.append(F.min(F.when(mine, F.least(F.col("q1") - spread, F.lit(below)))).alias(f"below_{metric}"))
-    return chosen.groupBy("lang_", "source_").agg(*columns)
+    of_group, of_lang = F.col("rows") >= min_rows, F.col("rows_b") >= min_rows
+    share = F.least(F.when(of_group, F.col("share")), F.when(of_lang, F.col("share_b")), F.col("share_c"))
+    within = lambda pick, name: F.coalesce(pick(F.when(of_group, F.col(name)), F.when(of_lang, F.col(f"{name}_b"))), F.col(f"{name}_c"))
+    of = lambda metric, value: F.max(F.when(F.col("metric") == metric, value))
+    columns = [of(metric, share).alias(f"above_{metric}") for metric in SHARES]
+    columns += [of("word_length", within(F.greatest, "high")).alias("above_word_length"), of("word_length", within(F.least, "low")).alias("below_word_length")]
+    return joined.groupBy("lang_", "source_").agg(*columns)
 
 
 def _name(column: str) -> Column:
@@ -129,17 +133,15 @@ def _name(column: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
 
 
-def judged(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source", min_words: int = MIN_WORDS) -> DataFrame:
+def judged(counted: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source", min_words: int = MIN_WORDS, noise: float = NOISE) -> DataFrame:
     """`counted` with base_failed and kept; `limits` are what `fences` gave."""
     rows = lookup(counted.withColumn("lang_", _name(lang)).withColumn("source_", _name(source)), limits, ["lang_", "source_"])
-    values = {x: f"_rates[{k}]" for k, x in enumerate(ALLOWANCE)}
-    rows = rows.withColumn("_rates", F.transform(_rates(), lambda x: x["value"]))
-    outside = F.lit(False)
-    for metric, (_, below) in ALLOWANCE.items():
-        value = F.expr(values[metric])
-        outside = outside | (value > F.col(f"above_{metric}"))
-        if below is not None:
-            outside = outside | (value < F.col(f"below_{metric}"))
+    outside = (_rate("word_length") > F.col("above_word_length")) | (_rate("word_length") < F.col("below_word_length"))
+    for metric in SHARES:
+        n, of, unit = METRICS[metric]
+        expected = F.col(f"above_{metric}") * F.col(of).cast("double")  # both sides in units of the rate
+        beyond = unit * F.col(n).cast("double") - expected
+        outside = outside | ((beyond > 0) & (beyond * beyond > noise * noise * unit * (expected + unit)))
     failed = base_failed(min_words)
     return rows.select(*counted.columns, failed.alias("base_failed"), (~failed & ~F.coalesce(outside, F.lit(False))).alias("kept"))
 

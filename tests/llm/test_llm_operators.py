@@ -114,13 +114,42 @@ def test_quality_counts(odd, none):
 
 
 def test_sketches_are_merged_by_adding(spark):
-    df = spark.range(3000).select(F.lit("en").alias("lang"), (F.col("id") % 3).cast("string").alias("source"), *(F.lit(0).alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")), F.lit(1).alias("n_words"), (F.col("id") * F.col("id") % 7919).alias("word_chars"))
+    df = spark.range(3000).select(F.lit("en").alias("lang"), (F.col("id") % 3).cast("string").alias("source"), *(F.lit(0).alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")), F.lit(100).alias("n_words"), (F.col("id") * F.col("id") % 7919).alias("word_chars"))
     parts = quality_rules.merged(quality_rules.sketches(df, ["lang", "source"]), ["lang"])
     whole = quality_rules.sketches(df, ["lang"])
     assert sorted(map(tuple, parts.select(*whole.columns).collect())) == sorted(map(tuple, whole.collect()))
-    q = quality_rules.quartiles(whole, ["lang"]).where("metric = 'word_length'").first()
-    values = sorted(100 * (k * k % 7919) for k in range(3000))
-    assert abs(q.q1 - values[749]) <= values[749] / 64 and abs(q.q3 - values[2249]) <= values[2249] / 64
+    q = quality_rules.quantiles(whole, ["lang"]).where("metric = 'word_length'").first()
+    values = sorted(k * k % 7919 for k in range(3000))
+    for k in (25, 50, 75, 90):
+        exact = values[30 * k - 1]
+        assert abs(q[f"q{k}"] - exact) <= exact / 64
+
+
+def test_fences_follow_the_group(spark):
+    """On the given table they differ between groups, decide otherwise than the fixed cutoffs did, and keep what is labelled sound."""
+    folder = "/root/testdata/sf0.1"
+    documents, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    counted = quality_rules.written(quality_rules.counts(documents.select("doc_id", "lang", "source", "text")).drop("text"), "counts")
+    limits = quality_rules.fences(counted)
+    for column in ("above_repeats", "above_word_length", "below_word_length"):
+        assert limits.select(column).distinct().count() > 2
+    judged = quality_rules.judged(counted, limits)
+    fixed = F.expr("1000 * n_symbols > 100 * n_words or 1000 * n_dup_lines > 500 * n_lines or 1000 * n_repeat_words > 300 * n_words or 100 * word_chars > 1000 * n_words or 100 * word_chars < 300 * n_words")
+    assert judged.where("not base_failed").where(F.col("kept") == fixed).count() > 0
+    of = {r.quality: r for r in judged.where("not base_failed").join(labels, "doc_id").groupBy("quality").agg(F.count("*").alias("n"), F.count_if("kept").alias("kept")).collect()}
+    assert of[1].kept >= 0.995 * of[1].n and of[0].kept <= 0.02 * of[0].n
+
+
+def test_one_symbol_is_no_reason(spark):
+    """Texts of a table without symbols: a few do not matter, many do, and more are allowed where they are common."""
+    text = lambda symbols, lang: (" ".join(["word" + chr(97 + k % 26) * (k % 3) + str(k) for k in range(120)]) + " #" * symbols, lang)
+    rows = [text(0, "en") for _ in range(700)] + [text(n, "en") for n in (1, 3, 30, 60)] + [text(12 + k % 3, "xx") for k in range(60)] + [text(30, "xx")]
+    df = spark.createDataFrame([(k, t, x, "s") for k, (t, x) in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(df).collect()}
+    assert [kept[k] for k in range(700, 704)] == [True, True, False, False] and all(kept[k] for k in range(700))
+    common = df.where("lang = 'xx' or doc_id < 100")
+    kept = {r.doc_id: r.kept for r in quality_rules.judge(common).collect()}
+    assert all(kept.values())
 
 
 @pytest.fixture(scope="module")
