@@ -2,27 +2,28 @@
 
 PERSPECTIVES = r"""
 with turns as (
-  select conv_id, turn, floor(turn / 64)::bigint as part, coalesce(role, 'unknown') as who,
-         replace(coalesce(text, ''), '<|im_', '< |im_') as said
-  from conversations
+  select conv_id, turn, coalesce(role, 'unknown') as who, replace(coalesce(text, ''), '<|im_', '< |im_') as said from conversations
+), ranked as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, who, md5(said)) - 1 as rank from turns
 ), views as (
-  select distinct conv_id, part, who as speaker from turns where who <> 'system'
+  select distinct conv_id, who as speaker from turns where who <> 'system'
 ), lines as (
-  select v.conv_id, v.part, v.speaker, t.turn, t.who, t.said, t.who = v.speaker as own,
+  select v.conv_id, v.speaker, t.rank, t.rank // 64 as part, t.who = v.speaker as own,
          '<|im_start|>' || case when t.who = v.speaker then 'assistant' when t.who = 'system' then 'system'
                                 else 'user name=' || t.who end || chr(10) as head,
          t.said || '<|im_end|>' as body
-  from views v join turns t on t.conv_id = v.conv_id and t.part = v.part
+  from views v join ranked t on t.conv_id is not distinct from v.conv_id
 ), placed as (
   select *, coalesce(sum(length(head) + length(body) + 1) over (
-              partition by conv_id, part, speaker order by turn, who, said
-              rows between unbounded preceding and 1 preceding), 0) + length(head) as first
+              partition by conv_id, speaker order by rank rows between unbounded preceding and 1 preceding), 0) as place
   from lines
+), begun as (
+  select *, min(place) over (partition by conv_id, speaker, part) as first from placed
 )
-select conv_id, part, speaker, count(*)::bigint as n_turns, sum(own::int)::bigint as n_own,
-       string_agg(head || body || chr(10), '' order by turn, who, said) as rendered,
-       string_agg(first::bigint || '-' || (first + length(body))::bigint, ',' order by turn, who, said) filter (own) as mask
-from placed group by conv_id, part, speaker
+select conv_id, part, speaker, min(first)::bigint as "offset", count(*)::bigint as n_turns, sum(own::int)::bigint as n_own,
+       string_agg(head || body || chr(10), '' order by rank) as rendered,
+       string_agg((place - first + length(head))::bigint || '-' || (place - first + length(head) + length(body))::bigint, ',' order by rank) filter (own) as mask
+from begun group by conv_id, part, speaker
 """
 
 DECONTAMINATE = r"""

@@ -73,10 +73,48 @@ def test_perspectives_of_odd_turns(spark):
     assert perspectives.rotate(df.where("false")).count() == 0
 
 
-def test_long_conversations_are_cut(spark):
-    df = spark.range(200).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") < 150, "a").otherwise("b").alias("role"), F.col("id").cast("string").alias("text"))
-    views = perspectives.rotate(df).collect()
-    assert sorted((v.part, v.speaker, v.n_turns) for v in views) == [(0, "a", 64), (1, "a", 64), (2, "a", 64), (2, "b", 64), (3, "b", 8)]
+def dialogue(rows, speaker):
+    """The whole view by a loop, and the spans to learn from."""
+    text, spans = "", []
+    for _, who, said in rows:
+        head = "<|im_start|>" + ("assistant" if who == speaker else who if who == "system" else f"user name={who}") + "\n"
+        if who == speaker:
+            spans.append((len(text) + len(head), len(text) + len(head) + len(said) + len("<|im_end|>")))
+        text += head + said + "<|im_end|>\n"
+    return text, spans
+
+
+@pytest.mark.parametrize("part_turns", [64, 7])
+def test_parts_make_the_whole_dialogue(spark, part_turns):
+    """Long conversations, silent speakers, null and repeated turn numbers: the parts of a view concatenate to it."""
+    draw, rows = random.Random(8), []
+    for conv, n in [(1, 200), (2, 64), (3, 65), (4, 7), (5, 8), (None, 70)]:
+        for t in range(n):
+            turn = draw.choice([None, t, t, t // 3])
+            rows.append((conv, turn, "late" if t == n - 1 else draw.choice(["ann", "bob", "system"]), draw.choice(["", "é😀", f"turn {t}", "same"])))
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, part int, key string").repartition(6)
+    views = {}
+    for r in perspectives.rotate(df, part_turns=part_turns).collect():
+        views.setdefault((r.conv_id, r.speaker), {})[r.part] = r
+    for conv in (1, 2, 3, 4, 5, None):
+        mine = sorted(((t is not None, t or 0, who, hashlib.md5(said.encode()).hexdigest(), said) for c, t, who, said in rows if c == conv))
+        mine = [(t, who, said) for _, t, who, _, said in mine]
+        speakers = {who for _, who, _ in mine} - {"system"}
+        assert {s for c, s in views if c == conv} == speakers
+        for speaker in speakers:
+            parts = views[conv, speaker]
+            assert sorted(parts) == list(range(-(-len(mine) // part_turns))) and all(p.n_turns <= part_turns for p in parts.values())
+            text, spans = dialogue(mine, speaker)
+            assert "".join(parts[k].rendered for k in sorted(parts)) == text
+            assert [(s.first + parts[k].offset, s.last + parts[k].offset) for k in sorted(parts) for s in parts[k].mask] == spans
+
+
+def test_many_turns_without_a_number(spark):
+    df = spark.range(10_000).select(F.lit(9).cast("long").alias("conv_id"), F.lit(None).cast("long").alias("turn"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("role"), F.lit("same").alias("text"))
+    views = perspectives.rotate(df)
+    assert views.where("n_turns > 64").count() == 0
+    sums = {r.speaker: (r.n, r.turns, r.own) for r in views.groupBy("speaker").agg(F.count("*").alias("n"), F.sum("n_turns").alias("turns"), F.sum("n_own").alias("own")).collect()}
+    assert sums == {"a": (157, 10_000, 5000), "b": (157, 10_000, 5000)}
 
 
 ITEMS = [(1, "every small bird sings again about water and bread the of a river"), (2, None), (3, ""), (4, "Green Light"), (4, "green-light"), (5, "x" * 50_000)]
