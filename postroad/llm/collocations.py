@@ -51,7 +51,9 @@ SEGMENT = 256
 #: Rows of a relation that a task looks at together.
 SLICE = 1 << 10
 #: Sums that a task gathers before it hands them on.
-GATHER = 1 << 20
+GATHER = 1 << 19
+#: Words that a task gathers before it hands their sums on.
+GATHER_WORDS = 1 << 18
 #: Bits of the semi-joins' map: 16 MB.
 BITS = 27
 #: Steps of the logarithm by which scores are told apart before they are ranked.
@@ -126,13 +128,13 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang", seed: int
                             size += 1
                         else:
                             row[1] += count
-                if size > GATHER // 4:
+                if size > GATHER_WORDS:
                     yield from drain()
                     size = 0
         yield from drain()
 
     parts = df.select(_lang(lang).alias("lang"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "lang string, word string, n long")
-    return parts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return parts.repartition("lang", "word").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _coded(words: DataFrame, seed: int) -> DataFrame:
@@ -311,7 +313,8 @@ def phrase_counts(relation: DataFrame, k: int) -> DataFrame:
         yield from drain()
 
     schema = ", ".join(["lang string", *(f"{c} long" for c in names), "n long"])
-    return relation.mapInArrow(run, schema).groupBy("lang", *names).agg(F.sum("n").alias("n"))
+    # The tasks have added up what they hold; dealt out first, the sums are added once and not also where they come from.
+    return relation.mapInArrow(run, schema).repartition("lang", *names).groupBy("lang", *names).agg(F.sum("n").alias("n"))
 
 
 def extended(relation: DataFrame, k: int, frequent: np.ndarray) -> DataFrame:

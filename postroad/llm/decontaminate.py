@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -146,7 +147,7 @@ def remove(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, tex
         raise ValueError("the documents' column names must differ")
     inner = T.StructType([T.StructField(f"c{k}", f.dataType) for k, f in enumerate(schema.fields)] + [T.StructField("of", T.LongType()), T.StructField("cut", T.LongType())])
     current = documents.select(*(documents[f"`{n}`"].alias(f"c{k}") for k, n in enumerate(names)), F.lit(None).cast("long").alias("of"), F.lit(0).cast("long").alias("cut"))
-    for turn in range(1000):
+    for turn in count():  # each turn that goes on has cut a word, so there is a last one
         before, blocks = current, 0
         for block in _blocks(benchmark, item, item_text, block_chars):
             current = (checkpointed(current) if turn or blocks else current).mapInArrow(_cutter(documents, Windows(block, window), names.index(text)), inner)
