@@ -170,6 +170,19 @@ def committable_offsets(
     return settled.groupBy(*by).agg((F.max("offset") + 1).alias("next_offset"))
 
 
+def offset_ledger(results: DataFrame, before: DataFrame | None = None, by: Sequence[str] = PARTITION) -> DataFrame:
+    """Per partition ``next_offset``, to resume from, and ``seen``, one beyond the last record: carried from batch to batch.
+
+    ``results`` is one batch as for `committable_offsets`, ``before`` the ledger of the batches so far. A trailing run of filtered
+    events, which its own batch does not settle, lies below the next offset of the first batch that sends again. The difference
+    of the two columns is what is open; ``next_offset`` is null as long as nothing was settled.
+    """
+    seen = results.groupBy(*by).agg((F.max("offset") + 1).alias("seen"))
+    now = seen.join(committable_offsets(results, by), list(by), "left").select(*by, "next_offset", "seen")
+    both = now if before is None else now.unionByName(before.select(*by, "next_offset", "seen"))
+    return both.groupBy(*by).agg(F.max("next_offset").alias("next_offset"), F.max("seen").alias("seen"))
+
+
 def dead_letter_records(results: DataFrame) -> DataFrame:
     """Dead-lettered results of a story as ``(topic, key, value)``."""
     return results.where(F.col("status") == "DEAD_LETTER").select(

@@ -19,7 +19,7 @@ from postroad.operators import delivery, filters, parse, replay, report, routing
 from postroad.plans import views
 from postroad.session import prepare, shared_dir
 from postroad.sources import control, kafka, log_index, requests
-from postroad.streaming import control_state, fanout, hooks, producer, route, sinks, story
+from postroad.streaming import control_state, fanout, hooks, producer, route, sinks, story, windows
 from postroad.streaming.deliver import ConnectionFailed, PayloadFailed, deliver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -468,6 +468,15 @@ def committable_offsets_filtered(spark, events):
     return delivery.committable_offsets(settled, commit_filtered=True)
 
 
+@query("events")
+def offset_ledger(spark, events):
+    """Three batches by record number, carried from one to the next."""
+    results, ledger = _results(events), None
+    for batch in range(3):
+        ledger = delivery.offset_ledger(results.where(F.pmod(F.col("offset"), F.lit(3)) == batch), ledger)
+    return ledger
+
+
 @query("events")
 def dead_letter_topics(spark, events):
     named = _log(events).withColumn(
@@ -712,6 +721,18 @@ def windowed_counts_stream(spark, events):
     return spark.read.parquet(f"{out}/data").select(F.col("window_start").cast("string"), "topic", "n")
 
 
+@query("events")
+def closed_windows(spark, events):
+    """Windows that closed, late rows and open windows of four batches add up to the counts of all events."""
+    out = shared_dir(spark, "windows")
+    kept = windows.ClosedWindows(out, "6 hours", "topic", 24 * 3600.0)
+    stamped = _log(events).select("topic", "ts", F.expr("offset * 7 % 4").alias("run"))
+    for run in range(4):
+        kept.process(stamped.where(F.col("run") == run).drop("run"), run)
+    totals = kept.totals(spark, 3)
+    return totals.select(F.col("window_start").cast("string"), "topic", "n")
+
+
 class ScriptedSink:
     """A sink that answers by event id and attempt, as the ``attempts`` view does.
 

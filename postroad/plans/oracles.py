@@ -460,6 +460,15 @@ ORACLES: dict[str, str] = {
         group by topic, "partition" """,
     "committable_offsets_filtered": f"""with {_LOG}
         select topic, "partition", max("offset") + 1 as next_offset from log group by topic, "partition" """,
+    "offset_ledger": f"""with {_RESULTS}, marks as (
+          select "offset" % 3 as batch, min(case when status = 'UNKNOWN' then round end) as broken, max(case when passes then round end) as sent
+          from results group by 1),
+        settled as (
+          select r.* from results r join marks m on m.batch = r."offset" % 3
+          where (m.broken is null or r.round < m.broken) and r.round <= m.sent)
+        select r.topic, r."partition", max(s."offset") + 1 as next_offset, max(r."offset") + 1 as seen
+        from results r left join settled s on s.topic = r.topic and s."partition" = r."partition" and s."offset" = r."offset"
+        group by r.topic, r."partition" """,
     "dead_letter_topics": f"""with {_LOG} select "offset", regexp_replace(concat(
           case "offset" % 5 when 0 then '' when 1 then 'event-v2-' when 2 then 'event-v12-'
             when 3 then 'x-event-v1-' else 'event-v3-dead-letter-' end, topic),
@@ -573,6 +582,7 @@ ORACLES: dict[str, str] = {
     "row_transform": f"""with {_LOG} select id, upper(title) as title from log where event_id % 2 = 0""",
 }
 ORACLES["replay_landed"], ORACLES["seek_landed"] = ORACLES["replay_window"], ORACLES["seek_offsets"]
+ORACLES["closed_windows"] = ORACLES["windowed_counts_stream"]
 ORACLES["story_filter_large"] = ORACLES["story_filter"]
 for _same in ("resolve_topic_table", "resolve_distinct_titles", "resolve_distinct_titles_large", "route_stream"):
     ORACLES[_same] = ORACLES["resolve_topic"]

@@ -192,12 +192,13 @@ def current_sinks(snapshots: DataFrame, by: Sequence[str] = (), data: str = "dat
         .groupBy(*by, "sink_id", data)
         .agg(F.max("version").alias("version"))
     )
-    staged, _, error = _sink_columns(texts, F.col(data))
-    usable = evaluate_once(staged, _error=error).where(F.col("_error").isNull())
+    staged, columns, error = _sink_columns(texts, F.col(data))
+    params = F.struct(*[c.alias(n) for n, c in columns.items()])
+    usable = evaluate_once(staged, _error=error, _params=params).where(F.col("_error").isNull())
     latest = usable.groupBy(*by, "sink_id").agg(
-        F.max("version").alias("version"), F.max_by(data, "version").alias(data)
+        F.max("version").alias("version"), F.max_by("_params", "version").alias("_params")
     )
-    return load_sinks(latest, data).drop("error")
+    return latest.select(*by, "sink_id", "version", "_params.*")
 
 
 def load_stories(

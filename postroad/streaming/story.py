@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postroad import schema
 from postroad.functions.text import parse_headers
-from postroad.operators.delivery import PARTITION, committable_offsets, dead_letter_records, delivery_rounds
+from postroad.operators.delivery import PARTITION, committable_offsets, dead_letter_records, delivery_rounds, offset_ledger
 from postroad.operators.filters import Transform, indexed_passes, transform_chain
 from postroad.operators.lookup import lookup_join
 from postroad.operators.parse import parse_kafka_messages, quarantine_messages
@@ -78,6 +78,8 @@ def process_batch(
 
     save(quarantine_messages(records), "quarantine")
     save(committable_offsets(results), "offsets")
+    earlier = f"{out}/ledger/batch_id={batch_id - 1}"
+    save(offset_ledger(results, spark.read.parquet(earlier) if _is_written(spark, earlier) else None), "ledger")
     if not finished:
         raise DeliveryIncomplete(f"story {story['story_id']}, batch {batch_id}")
     dead_path = f"{out}/dead_letters/batch_id={batch_id}"
