@@ -111,12 +111,12 @@ def write(pages: DataFrame, path: str, page: str = "page_id", url: str = "url",
         "Content-Type": F.lit("application/http; msgtype=response"),
     }
     head = F.concat(F.lit("WARC/1.1\r\n"), *(F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit("")) for name, value in fields.items()))
-    archive = lambda *more: F.pmod(F.xxhash64(*KEY, *more), F.lit(archives)).cast("int").alias("archive")
+    deal = lambda *more: F.xxhash64(*KEY, *more).alias("deal")
     response = F.col("kind") == "response"
-    heads = records.select(F.when(response, archive()).otherwise(archive("copy")).alias("archive"), *KEY, "kind", head.alias("head"), F.lit(None).cast("string").alias("html"), "copy")
-    bodies = named.mapInArrow(_once, named.schema).select(archive(), *KEY, F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("head"), "html", F.lit(0).cast("long").alias("copy"))
-    # A payload comes right before the records of its row.
-    dealt = heads.unionByName(bodies).repartition(archives, "archive").sortWithinPartitions("archive", *KEY, "copy")
+    heads = records.select(F.when(response, deal()).otherwise(deal("copy")).alias("deal"), *KEY, "kind", head.alias("head"), F.lit(None).cast("string").alias("html"), "copy")
+    bodies = named.mapInArrow(_once, named.schema).select(deal(), *KEY, F.lit(None).cast("string").alias("kind"), F.lit(None).cast("string").alias("head"), "html", F.lit(0).cast("long").alias("copy"))
+    # A payload comes right before the records of its row. A task's rows are an archive.
+    dealt = heads.unionByName(bodies).repartition(archives, "deal").drop("deal").sortWithinPartitions(*KEY, "copy")
     folder_ = f"{path}/archives"
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,18 +136,15 @@ _INDEX = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("length", pa
 
 
 class _Archive:
-    """Writes sorted rows to archives, one after another: a payload row is held until the records of the same key have passed."""
+    """Writes sorted rows to an archive: a payload row is held until the records of the same key have passed."""
 
     def __init__(self, folder_: str):
-        self.folder, self.number, self.file, self.name, self.offset = folder_, None, None, "", 0
+        self.name, self.file, self.offset = f"{folder_}/{uuid.uuid4().hex}.warc.gz", None, 0
         self.key: tuple | None = None
         self.html = ""
         self.index: list[dict] = []
 
-    def add(self, archive: int, page_id: int, url: str, digest: str, size: int, kind: str, head: str, html: str, copy: int) -> None:
-        if archive != self.number:
-            self.close()
-            self.number, self.name, self.offset = archive, f"{self.folder}/{archive:06d}-{uuid.uuid4().hex}.warc.gz", 0
+    def add(self, page_id: int, url: str, digest: str, size: int, kind: str, head: str, html: str, copy: int) -> None:
         key = page_id, url, digest, size
         if head is None:
             self.key, self.html = key, html
