@@ -47,13 +47,13 @@ PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b"\x20\x09"
 
 #: Occurrences in a row of a relation.
-SEGMENT = 256
+SEGMENT = 64
 #: Rows of a relation that a task looks at together.
-SLICE = 1 << 10
+SLICE = 1 << 12
 #: Sums that a task gathers before it hands them on.
 GATHER = 1 << 19
 #: Words that a task gathers before it hands their sums on.
-GATHER_WORDS = 1 << 18
+GATHER_WORDS = 1 << 19
 #: Bits of the semi-joins' map: 16 MB.
 BITS = 27
 #: Steps of the logarithm by which scores are told apart before they are ranked.
@@ -99,13 +99,24 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang", seed: int
     """(lang, word, n): all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[tuple[int, int], list]] = {}
-        size = 0
+        held: dict[str, list[tuple]] = {}
+
+        def size() -> int:
+            return sum(len(n) for found in held.values() for _, _, n, _ in found)
+
+        def merged(found: list[tuple]) -> tuple:
+            codes, others, n = (np.concatenate([f[k] for f in found]) for k in range(3))
+            order = np.argsort(codes, kind="stable")
+            codes, others, n = codes[order], others[order], n[order]
+            # Words of equal bits are told apart by 64 other bits; they may make two rows of one word, which Spark adds up.
+            heads = np.flatnonzero(np.concatenate([[True], (codes[1:] != codes[:-1]) | (others[1:] != others[:-1])]))
+            texts = pa.concat_arrays([f[3] for f in found]).take(pa.array(order[heads]))
+            return codes[heads], others[heads], np.add.reduceat(n, heads), texts
 
         def drain() -> Iterator[pa.RecordBatch]:
             for name, found in held.items():
-                texts, n = zip(*found.values(), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(found), pa.string()), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], names=["lang", "word", "n"])
+                _, _, n, texts = merged(found)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(n), pa.string()), texts.cast(pa.string()), pa.array(n)], names=["lang", "word", "n"])
             held.clear()
 
         for batch in batches:
@@ -117,20 +128,17 @@ def word_counts(df: DataFrame, text: str = "text", lang: str = "lang", seed: int
                     if not len(mine):
                         continue
                     mine = mine[np.argsort(codes[mine], kind="stable")]
-                    # Words of equal bits are told apart by 64 other bits; here they may make two rows of one word, which Spark adds up.
                     new = (codes[mine[1:]] != codes[mine[:-1]]) | (others[mine[1:]] != others[mine[:-1]])
                     heads = np.flatnonzero(np.concatenate([[True], new]))
                     first, n = mine[heads], np.diff(np.append(heads, len(mine)))
-                    found = held.setdefault(name, {})
-                    for code, other, at, count in zip(codes[first].tolist(), others[first].tolist(), first.tolist(), n.tolist(), strict=True):
-                        if (row := found.get((code, other))) is None:
-                            found[code, other] = [words.text(at), count]
-                            size += 1
-                        else:
-                            row[1] += count
-                if size > GATHER_WORDS:
-                    yield from drain()
-                    size = 0
+                    index, ends = _spread(words.start[first], words.end[first])
+                    texts = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(words.data[index].tobytes())])
+                    held.setdefault(name, []).append((codes[first], others[first], n, texts))
+                if size() > 2 * GATHER_WORDS:
+                    for name in held:
+                        held[name] = [merged(held[name])]
+                    if size() > GATHER_WORDS:
+                        yield from drain()
         yield from drain()
 
     parts = df.select(_lang(lang).alias("lang"), F.col(f"`{text}`").alias("text")).mapInArrow(run, "lang string, word string, n long")
