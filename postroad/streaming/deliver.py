@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from itertools import groupby
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -52,6 +52,32 @@ RESULT_FIELDS = [
     T.StructField("log", T.ArrayType(schema.ATTEMPT)),
 ]
 
+#: The same fields in Arrow.
+RESULT_TYPES = {
+    "status": pa.string(),
+    "error": pa.string(),
+    "attempts": pa.int64(),
+    "total_delay": pa.float64(),
+    "log": pa.list_(pa.struct([
+        ("attempt", pa.int32()),
+        ("http_status", pa.int32()),
+        ("body", pa.string()),
+        ("error_kind", pa.string()),
+        ("error", pa.string()),
+        ("duration_ms", pa.int64()),
+    ])),
+}
+
+
+def with_columns(batch: pa.RecordBatch, more: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch with columns added; its own stay as they came."""
+    fields = [*batch.schema, *(pa.field(name, column.type) for name, column in more.items())]
+    return pa.RecordBatch.from_arrays([*batch.columns, *more.values()], schema=pa.schema(fields))
+
+
+def result_columns(results: list[dict[str, Any]]) -> dict[str, pa.Array]:
+    return {name: pa.array([r.get(name) for r in results], kind) for name, kind in RESULT_TYPES.items()}
+
 
 def http_transport(
     method: str, url: str, headers: dict[str, str] | None, body: bytes, timeout: float
@@ -151,17 +177,27 @@ def send_until_settled(
         sleep(wait)
 
 
-def _rounds(batch: pd.DataFrame, column: str | None) -> Iterator[list[int]]:
+def _rounds(sent: list[bool], values: list[Any] | None) -> Iterator[list[int]]:
     """Positions of the rows to send, in runs of one round; without rounds one by one."""
-    sent = batch["passes"] if "passes" in batch else [True] * len(batch)
     places = [i for i, passes in enumerate(sent) if passes]
-    if column is None:
+    if values is None:
         yield from ([i] for i in places)
         return
-    values = batch[column].to_numpy()
     yield from (list(run) for _, run in groupby(places, key=lambda i: values[i]))
 
 
+def _by_step(batch: pa.RecordBatch, step: str | None) -> Iterator[tuple[Any, pa.RecordBatch]]:
+    """The runs of rows of one step, with its number."""
+    if step is None:
+        yield None, batch
+        return
+    first = 0
+    for number, run in groupby(batch.column(step).to_pylist()):
+        n = sum(1 for _ in run)
+        yield number, batch.slice(first, n)
+        first += n
+
+
 def deliver(
     events: DataFrame,
     sink: dict[str, Any],
@@ -170,6 +206,7 @@ def deliver(
     deadline_s: float = 3600.0,
     sleep: Callable[[float], None] = time.sleep,
     max_parallel: int = 32,
+    step: str | None = None,
 ) -> DataFrame:
     """Send each event's payload and add ``status, error, attempts, total_delay, log``.
 
@@ -180,6 +217,8 @@ def deliver(
     ``deadline_s`` holds for a task as a whole. What is not settled by then is UNKNOWN, and
     so is all that follows in a partition with an UNKNOWN event: it is not sent, as order
     demands. Rows whose ``passes`` is false are carried along and not sent.
+    ``step`` names a column of steps that a task sends one after the other, with ``deadline_s`` for each; after a step with
+    an UNKNOWN event it sends no further one, and those events have no row in the result.
 
     The plan has side effects: write the result once and read it back.
     """
@@ -188,14 +227,16 @@ def deliver(
         raise ValueError("sink needs a url")
     rounds = "round" if ordered and "round" in events.columns else None
     if ordered:
-        lead = [rounds] if rounds else []
+        lead = [c for c in (step, rounds) if c]
         # With a number, since adaptive execution would merge partitions that wait on a sink.
         tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         events = events.repartition(tasks, "topic", "partition").sortWithinPartitions(
             *lead, "topic", "partition", "offset"
         )
+    elif step:
+        events = events.sortWithinPartitions(step)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from concurrent.futures import ThreadPoolExecutor
 
         if hasattr(transport, "open"):
@@ -211,29 +252,39 @@ def deliver(
         def settle(payload: str) -> dict[str, Any]:
             return send_until_settled(send, params, payload, deadline, sleep)
 
+        def sent(batch: pa.RecordBatch, pool: ThreadPoolExecutor) -> list[dict[str, Any]]:
+            results: list[dict[str, Any]] = [{}] * batch.num_rows
+            column = {c: batch.column(c).to_pylist() for c in ("payload", "topic", "partition", "passes", rounds) if c in batch.schema.names}
+            payloads = column["payload"]
+            lines = list(zip(column["topic"], column["partition"])) if ordered else [None] * len(results)
+            for places in _rounds(column.get("passes", [True] * len(results)), column.get(rounds)):
+                late = not ordered and time.monotonic() > deadline
+                for i in places:
+                    if late or lines[i] in stopped:
+                        results[i] = unsent
+                places = [i for i in places if results[i] is not unsent]
+                todo = [payloads[i] for i in places]
+                settle_all = map if len(todo) == 1 else pool.map
+                for i, result in zip(places, settle_all(settle, todo)):
+                    results[i] = result
+                    if ordered and result["status"] == "UNKNOWN":
+                        stopped.add(lines[i])
+            return results
+
+        at, unsettled = None, False
         try:
             with ThreadPoolExecutor(max_parallel) as pool:
                 for batch in batches:
-                    results: list[dict[str, Any]] = [{}] * len(batch)
-                    payloads = batch["payload"].tolist()
-                    lines = list(zip(batch["topic"], batch["partition"])) if ordered else [None] * len(batch)
-                    for places in _rounds(batch, rounds):
-                        late = not ordered and time.monotonic() > deadline
-                        for i in places:
-                            if late or lines[i] in stopped:
-                                results[i] = unsent
-                        places = [i for i in places if results[i] is not unsent]
-                        todo = [payloads[i] for i in places]
-                        settle_all = map if len(todo) == 1 else pool.map
-                        for i, result in zip(places, settle_all(settle, todo)):
-                            results[i] = result
-                            if ordered and result["status"] == "UNKNOWN":
-                                stopped.add(lines[i])
-                    yield batch.assign(**{
-                        f.name: [r.get(f.name) for r in results] for f in RESULT_FIELDS
-                    })
+                    for number, part in _by_step(batch, step):
+                        if number != at:
+                            if unsettled:
+                                continue
+                            at, deadline = number, time.monotonic() + deadline_s
+                        results = sent(part, pool)
+                        unsettled = unsettled or any(r.get("status") == "UNKNOWN" for r in results)
+                        yield with_columns(part, result_columns(results))
         finally:
             if hasattr(transport, "close"):
                 transport.close()
 
-    return events.mapInPandas(run, T.StructType(events.schema.fields + RESULT_FIELDS))
+    return events.mapInArrow(run, T.StructType(events.schema.fields + RESULT_FIELDS))

@@ -21,6 +21,10 @@ from postroad.operators.replay import replay_window
 from postroad.streaming.deliver import RESULT_FIELDS, deliver, http_transport
 
 
+#: Offsets of each partition that the longest wave of a replay has, if its steps are shorter.
+WAVE = 100_000
+
+
 class DeliveryIncomplete(RuntimeError):
     """Some events have no outcome; the batch is to be run again."""
 
@@ -205,6 +209,14 @@ def run_stories(
     return running
 
 
+def wave_of(number: Column, step: int, longest: int = WAVE) -> Column:
+    """The wave of a step: steps 0, 1, 2 to 3, 4 to 7 and so on, then runs of at most ``longest`` offsets."""
+    doublings = max(1, longest // step).bit_length() - 1
+    run = 1 << doublings
+    growing = F.when(number == 0, 0).otherwise(F.length(F.bin(number)))
+    return F.when(number < run, growing).otherwise(F.floor((number - run) / run) + (doublings + 1)).cast("long")
+
+
 def replay(
     log: DataFrame,
     url: str,
@@ -220,21 +232,24 @@ def replay(
     """Send a time range of a log to a sink; returns the written results.
 
     The range is first written under ``out`` in steps of ``step`` offsets of each partition,
-    counted from the first one chosen there, and the steps are sent one after the other. So a
-    task never holds more than ``step`` records of a partition. A replay that is started again
+    counted from the first one chosen there, and the steps are sent one after the other. They
+    are sent in waves, a job for each: the first step, then waves as long as all before them, up
+    to `WAVE` offsets, so short steps of a long range do not take a job each. Within a wave a
+    partition's task goes through its steps in order, and stops after one with an event that has no outcome.
+    A replay that is started again goes on after the last full wave and
     sends only what has no final outcome; with other arguments on the same folder it is
     refused. Failures stay in the results and are not dead-lettered. Unparsable records go to a
     quarantine table and the replay goes on. ``headers`` are ``k=v`` texts. ``window`` gives the range's records
     by a shorter way than `replay_window`, such as `replay_landed`.
     """
     spark = log.sparkSession
-    by_step = T.StructField("step", T.LongType())
-    chosen_schema = T.StructType([*log.schema.fields, by_step])
+    by_step, by_wave = T.StructField("step", T.LongType()), T.StructField("wave", T.LongType())
+    chosen_schema = T.StructType([*log.schema.fields, by_step, by_wave])
     sent_schema = T.StructType([*parse_kafka_messages(log).schema.fields, *RESULT_FIELDS, by_step])
     sink: dict[str, Any] = {"url": url}
     if headers:
         sink["headers"] = parse_headers(headers)
-    asked = json.dumps([url, str(start), None if end is None else str(end), list(headers or []), step])
+    asked = json.dumps([url, str(start), None if end is None else str(end), list(headers or []), step, WAVE])
     if _is_written(spark, f"{out}/asked"):
         before = spark.read.parquet(f"{out}/asked").first().asked
         if before != asked:
@@ -246,18 +261,18 @@ def replay(
         chosen_records = window() if window else replay_window(log, start, end)
         first = chosen_records.groupBy(*PARTITION).agg(F.min("offset").alias("_first"))
         numbered = lookup_join(chosen_records, first, PARTITION, "inner", ["offset"])
-        numbered = numbered.withColumn("step", F.expr(f"(`offset` - _first) div {step}"))
-        chosen = numbered.select(*chosen_schema.fieldNames()).repartition("step", *PARTITION)
-        chosen.write.partitionBy("step").mode("overwrite").parquet(chosen_path)
+        numbered = numbered.withColumn("step", F.expr(f"(`offset` - _first) div {step}")).withColumn("wave", wave_of(F.col("step"), step))
+        chosen = numbered.select(*chosen_schema.fieldNames()).repartition("wave", *PARTITION)
+        chosen.write.partitionBy("wave").mode("overwrite").parquet(chosen_path)
     chosen = spark.read.schema(chosen_schema).parquet(chosen_path)
-    quarantine_messages(chosen).write.mode("overwrite").parquet(f"{out}/quarantine")
+    quarantine_messages(chosen.drop("wave")).write.mode("overwrite").parquet(f"{out}/quarantine")
     any_sent = False
-    for (number,) in chosen.select("step").distinct().orderBy("step").toLocalIterator():
-        events = parse_kafka_messages(chosen.where(F.col("step") == number).drop("step"))
-        paths = f"{out}/tries/step={number}", f"{out}/results/step={number}"
+    for (number,) in chosen.select("wave").distinct().orderBy("wave").toLocalIterator():
+        events = parse_kafka_messages(chosen.where(F.col("wave") == number).drop("wave"))
+        paths = f"{out}/tries/wave={number}", f"{out}/results/wave={number}"
         any_sent = True
-        if not deliver_unsettled(events, sink, transport, *paths, **delivery):
+        if not deliver_unsettled(events, sink, transport, *paths, step="step", **delivery):
             break  # later records of a partition must not pass earlier ones
     if not any_sent:
         return spark.createDataFrame([], sent_schema)
-    return spark.read.schema(sent_schema).parquet(f"{out}/results")
+    return spark.read.schema(sent_schema).parquet(f"{out}/results").select(*sent_schema.fieldNames())

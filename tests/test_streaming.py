@@ -314,6 +314,41 @@ def test_replay_tries_unknown_events_again(spark, tmp_path):
     assert sorted(order) == [*range(8), *range(1000, 1008)] and [n for n in order if n < 8] == list(range(8))
 
 
+def test_many_short_steps_are_few_jobs(spark, tmp_path):
+    """200 steps of two offsets: sent in order, in waves; a down sink stops its partition within a wave."""
+    rows = [record("t", p, 1000 * p + i) for i in range(400) for p in range(2)]
+    df = log(spark, rows).withColumn("timestamp", F.timestamp_seconds(F.col("offset") % 1000))
+    out, flag, sent = str(tmp_path / "out"), str(tmp_path / "up"), str(tmp_path / "sent")
+
+    def send(method, url, headers, body, timeout):
+        n = json.loads(body)["id"]
+        if n == "100" and not os.path.exists(flag):
+            raise ConnectionFailed("down")
+        with open(sent, "a") as f:
+            f.write(f"{n}\n")
+        return 200, "ok"
+
+    def start():
+        return story.replay(df, SINK["url"], F.timestamp_seconds(F.lit(0)), None, out, send, step=2, sleep=_no_sleep, deadline_s=0.5)
+
+    first = start()
+    assert sorted(int(r.id) for r in first.where("status = 'UNKNOWN'").collect()) == [100, 101]
+    assert first.where("step > 50 and partition = 0").isEmpty()
+    open(flag, "w").close()
+    done = start()
+    assert sorted((r.partition, r.step, int(r.id)) for r in done.where("status = 'DONE'").collect()) == sorted((p, i // 2, 1000 * p + i) for i in range(400) for p in range(2))
+    order = [int(n) for n in open(sent)]
+    assert len(order) == 800 and [n for n in order if n < 1000] == list(range(400)) and [n for n in order if n >= 1000] == list(range(1000, 1400))
+    assert len([d for d in os.listdir(f"{out}/results") if "=" in d]) == 9
+
+
+def test_waves_of_steps(spark):
+    found = spark.range(3000).select(story.wave_of(F.col("id"), 100, 6400).alias("w")).groupBy("w").count().collect()
+    assert sorted((r.w, r["count"]) for r in found)[:9] == [(0, 1), (1, 1), (2, 2), (3, 4), (4, 8), (5, 16), (6, 32), (7, 64), (8, 64)]
+    assert max(r["count"] for r in found) == 64
+    assert [r.w for r in spark.range(4).select(story.wave_of(F.col("id"), 100_000).alias("w")).collect()] == [0, 1, 2, 3]
+
+
 def test_all_stories(spark, tmp_path):
     rows = [record(f"t{i % 2}", 0, i, "user.a" if i % 3 else "msg.x") for i in range(24)]
     path = str(tmp_path / "log")
