@@ -12,14 +12,14 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postroad import schema
 from postroad.operators.lookup import lookup_join
-from postroad.streaming.deliver import RESULT_FIELDS, http_transport, send_until_settled
+from postroad.streaming.deliver import RESULT_FIELDS, http_transport, result_columns, send_until_settled, with_columns
 
 PER_SINK = 32  # sends at once to one sink
 LANE_ROWS = 10_000
@@ -61,6 +61,19 @@ def _parameters(row: dict[str, Any]) -> dict[str, Any]:
     return out
 
 
+def batch_parameters(batch: pa.RecordBatch) -> list[dict[str, Any]]:
+    """The sink's parameters of each row; equal ones are one and the same."""
+    names = [c for c in PARAMETERS if c in batch.schema.names]
+    known: dict[tuple, dict[str, Any]] = {}
+    out = []
+    for row in zip(*(batch.column(c).to_pylist() for c in names)) if names else [()] * batch.num_rows:
+        key = tuple(tuple(v) if isinstance(v, list) else v for v in row)
+        if key not in known:
+            known[key] = _parameters(dict(zip(names, row)))
+        out.append(known[key])
+    return out
+
+
 def deliver_each(
     events: DataFrame,
     transport: Any = http_transport,
@@ -85,7 +98,7 @@ def deliver_each(
     # With a number, since adaptive execution would merge partitions that wait on a sink.
     laned = laned.repartition(tasks, "sink_id", "lane")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from concurrent.futures import ThreadPoolExecutor
 
         if hasattr(transport, "open"):
@@ -94,31 +107,28 @@ def deliver_each(
         deadline = time.monotonic() + deadline_s
         unsent = {"status": "UNKNOWN", "error": schema.SINK_CLOSED, "attempts": 0, "total_delay": 0.0, "log": []}
 
-        def settled(row: dict[str, Any]) -> dict[str, Any]:
-            if time.monotonic() > deadline:
-                return unsent
-            return send_until_settled(send, _parameters(row), row["payload"], deadline, sleep)
-
-        def serve(queue: list[int], rows: dict[int, dict], results: dict[int, dict]) -> None:
+        def serve(queue: list[int], params: list[dict], payloads: list[str], results: dict[int, dict]) -> None:
             while queue:
                 try:
                     place = queue.pop()
                 except IndexError:  # another thread of the lane took the last one
                     return
-                results[place] = settled(rows[place])
+                late = time.monotonic() > deadline
+                results[place] = unsent if late else send_until_settled(send, params[place], payloads[place], deadline, sleep)
 
         try:
             with ThreadPoolExecutor(max_parallel) as pool:
                 for batch in batches:
-                    todo = batch[batch["_kind"].isna()]
-                    rows = dict(zip(todo.index, todo.to_dict("records")))
+                    own, ids, lanes, at_once, payloads = (batch.column(c).to_pylist() for c in ("_kind", "sink_id", "lane", "at_once", "payload"))
+                    params = batch_parameters(batch)
                     queues: dict[tuple, list[int]] = defaultdict(list)
-                    for place, row in reversed(rows.items()):
-                        queues[row["sink_id"], row["lane"]].append(place)
+                    for place in reversed(range(batch.num_rows)):
+                        if own[place] is None:
+                            queues[ids[place], lanes[place]].append(place)
                     results: dict[int, dict] = {}
-                    threads = [(min(rows[q[0]]["at_once"], len(q), max_parallel), q) for q in queues.values()]
+                    threads = [(min(at_once[q[0]], len(q), max_parallel), q) for q in queues.values()]
                     jobs = [
-                        pool.submit(serve, queue, rows, results)
+                        pool.submit(serve, queue, params, payloads, results)
                         for n in range(max((most for most, _ in threads), default=0))
                         for most, queue in threads
                         if n < most
@@ -132,12 +142,12 @@ def deliver_each(
 
     kept = [f for f in events.schema.fields if f.name in columns]
     kind = T.StructField("error_kind", T.StringType())
-    return laned.mapInPandas(run, T.StructType([*kept, kind, *RESULT_FIELDS]))
+    return laned.mapInArrow(run, T.StructType([*kept, kind, *RESULT_FIELDS]))
 
 
-def _with_results(batch: pd.DataFrame, results: dict[int, dict], columns: list[str]) -> pd.DataFrame:
+def _with_results(batch: pa.RecordBatch, results: dict[int, dict], columns: list[str]) -> pa.RecordBatch:
     """The rows with their results; rows that were refused keep their own error."""
-    found = [results.get(place, {}) for place in batch.index]
+    found = [results.get(place, {}) for place in range(batch.num_rows)]
 
     def kind(result: dict, own: str | None) -> str | None:
         if not result:
@@ -147,12 +157,10 @@ def _with_results(batch: pd.DataFrame, results: dict[int, dict], columns: list[s
         last = result["log"][-1]["error_kind"] if result["log"] else None
         return ERROR_KINDS.get(last, "Exception")
 
-    out = batch[columns].copy()
-    out["error_kind"] = [kind(r, own) for r, own in zip(found, batch["_kind"])]
-    for f in RESULT_FIELDS:
-        out[f.name] = [r.get(f.name) for r in found]
-    out["error"] = [r.get("error") if r else own for r, own in zip(found, batch["_error"])]
-    return out
+    kinds = [kind(r, own) for r, own in zip(found, batch.column("_kind").to_pylist())]
+    errors = [r.get("error") if r else own for r, own in zip(found, batch.column("_error").to_pylist())]
+    more = {"error_kind": pa.array(kinds, pa.string()), **result_columns(found), "error": pa.array(errors, pa.string())}
+    return with_columns(batch.select(columns), more)
 
 
 def send_requests(
