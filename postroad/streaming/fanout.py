@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator, Sequence
+from datetime import datetime, timezone
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,8 +24,8 @@ from postroad.operators.lookup import lookup_join
 from postroad.operators.parse import parse_kafka_messages, quarantine_messages
 from postroad.operators.report import lifecycle_log, story_outcome_counts
 from postroad.operators.routing import story_events
-from postroad.streaming.deliver import RESULT_FIELDS, http_transport, send_until_settled
-from postroad.streaming.sinks import PARAMETERS, _parameters
+from postroad.streaming.deliver import RESULT_FIELDS, by_lane, http_transport, result_columns, send_until_settled, with_columns
+from postroad.streaming.sinks import PARAMETERS, batch_parameters
 from postroad.streaming.story import _is_written
 
 LANE = ("story_id", "topic", "partition")
@@ -44,11 +45,10 @@ def deliver_fanned(
     The lanes of a task are sent side by side. A lane has ``patience_s`` of sending; what is not settled by then is UNKNOWN,
     and so is all that follows in the lane, which is not sent. So a sink that is down costs the others at most that time.
     """
-    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # By offset and not by lane, so that a batch of rows holds all lanes of its task.
-    dealt = events.repartition(tasks, *lane).sortWithinPartitions("offset", *lane)
+    dealt = by_lane(events, lane).sortWithinPartitions("offset", *lane)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from concurrent.futures import ThreadPoolExecutor
 
         if hasattr(transport, "open"):
@@ -57,36 +57,38 @@ def deliver_fanned(
         spent: dict[tuple, float] = {}
         unsent = {"status": "UNKNOWN", "error": schema.SINK_CLOSED, "attempts": 0, "total_delay": 0.0, "log": []}
 
-        def serve(name: tuple, rows: list[dict], results: dict[int, dict]) -> None:
-            for row in rows:
+        def serve(name: tuple, places: list[int], sinks: list[dict], payloads: list[str], results: list[dict]) -> None:
+            for place in places:
                 left = patience_s - spent.get(name, 0.0)
                 if left <= 0:
-                    results[row["_place"]] = {**unsent, "sent_at": pd.Timestamp.now("UTC")}
+                    results[place] = {**unsent, "sent_at": datetime.now(timezone.utc)}
                     continue
                 clock = time.monotonic()
-                result = send_until_settled(send, _parameters(row), row["payload"], clock + left, sleep)
+                result = send_until_settled(send, sinks[place], payloads[place], clock + left, sleep)
                 spent[name] = spent.get(name, 0.0) + time.monotonic() - clock
                 if result["status"] == "UNKNOWN":
                     spent[name] = patience_s
-                results[row["_place"]] = {**result, "sent_at": pd.Timestamp.now("UTC")}
+                result["sent_at"] = datetime.now(timezone.utc)
+                results[place] = result
 
         try:
             with ThreadPoolExecutor(max_parallel) as pool:
                 for batch in batches:
-                    lanes: dict[tuple, list[dict]] = {}
-                    for place, row in enumerate(batch.to_dict("records")):
-                        lanes.setdefault(tuple(row[c] for c in lane), []).append({**row, "_place": place})
-                    results: dict[int, dict] = {}
-                    jobs = [pool.submit(serve, name, rows, results) for name, rows in lanes.items()]
+                    lanes: dict[tuple, list[int]] = {}
+                    for place, name in enumerate(zip(*(batch.column(c).to_pylist() for c in lane))):
+                        lanes.setdefault(name, []).append(place)
+                    sinks, payloads = batch_parameters(batch), batch.column("payload").to_pylist()
+                    results: list[dict] = [{}] * batch.num_rows
+                    jobs = [pool.submit(serve, name, places, sinks, payloads, results) for name, places in lanes.items()]
                     for job in jobs:
                         job.result()
-                    found = [results[k] for k in range(len(batch))]
-                    yield batch.assign(**{f.name: [r[f.name] for r in found] for f in (*RESULT_FIELDS, SENT_AT)})
+                    sent_at = pa.array([r["sent_at"] for r in results], pa.timestamp("us", "UTC"))
+                    yield with_columns(batch, {**result_columns(results), "sent_at": sent_at})
         finally:
             if hasattr(transport, "close"):
                 transport.close()
 
-    return dealt.mapInPandas(run, T.StructType([*events.schema.fields, *RESULT_FIELDS, SENT_AT]))
+    return dealt.mapInArrow(run, T.StructType([*events.schema.fields, *RESULT_FIELDS, SENT_AT]))
 
 
 class SharedStories:
