@@ -57,21 +57,26 @@ def process_batch(
     results_path = f"{out}/results/batch_id={batch_id}"
     tries = f"{out}/tries/batch_id={batch_id}"
 
-    events = parse_kafka_messages(records)
     include, exclude = story.get("include"), story.get("exclude")
     passes = indexed_passes(spark, F.col("title"), include, exclude) if include or exclude else F.lit(True)
+    # Parsed and tested once; rounds, lanes and results read what was written.
+    events_path = f"{out}/events/batch_id={batch_id}"
+    tested = parse_kafka_messages(records).withColumn("_passes", passes)
+    tested.write.mode("overwrite").parquet(events_path)
+    events = spark.read.schema(tested.schema).parquet(events_path)
+    passes = F.col("_passes")
     if transforms:
         kept_path = f"{out}/transformed/batch_id={batch_id}"
         if not _is_written(spark, kept_path):
-            transform_chain(events.where(passes), transforms).write.mode("overwrite").parquet(kept_path)
+            transform_chain(events.where(passes).drop("_passes"), transforms).write.mode("overwrite").parquet(kept_path)
         kept = spark.read.parquet(kept_path)
-        dropped = events.join(kept, key, "left_anti")
+        dropped = events.drop("_passes").join(kept, key, "left_anti")
         passes = F.col("_kept")
         events = kept.withColumn("_kept", F.lit(True)).unionByName(
             dropped.withColumn("_kept", F.lit(False)), allowMissingColumns=True
         )
     # Filtered events take part in offset accounting; they are not sent.
-    rounds = delivery_rounds(events, passes, story.get("concurrent", 1))
+    rounds = delivery_rounds(events, passes, story.get("concurrent", 1)).drop("_passes")
     finished = deliver_unsettled(
         rounds, story["sink"], transport, tries, results_path, {"story_id": story["story_id"]}, **delivery
     )

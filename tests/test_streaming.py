@@ -314,6 +314,34 @@ def test_replay_tries_unknown_events_again(spark, tmp_path):
     assert sorted(order) == [*range(8), *range(1000, 1008)] and [n for n in order if n < 8] == list(range(8))
 
 
+def test_few_lanes_are_dealt_out_evenly(spark):
+    rows = [(f"t{i % 4}", i % 2, i) for i in range(64)] + [("big", None, i) for i in range(40)]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = delivering.by_lane(df, ["topic", "partition"])
+    found = dealt.withColumn("task", F.spark_partition_id()).groupBy("topic", "partition").agg(F.collect_set("task").alias("tasks"), F.count("*").alias("n")).collect()
+    assert dealt.columns == df.columns and sum(r.n for r in found) == len(rows)
+    assert all(len(r.tasks) == 1 for r in found)
+    lanes = [r.tasks[0] for r in found if r.topic != "big"]
+    assert len(set(lanes)) == len(lanes) == 4 <= tasks
+
+
+def test_a_batch_is_parsed_once(spark, tmp_path):
+    """What a story sends, counts and files comes from events that were written, and not from its records once more."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = log(spark, [record("t", i % 2, i) for i in range(20)]).mapInArrow(counted, schema.KAFKA_SOURCE)
+    out = str(tmp_path / "out")
+    story.process_batch(df, 0, {"story_id": "s", "sink": SINK}, out, lambda *a: (200, "ok"))
+    assert spark.read.parquet(f"{out}/results").where("status = 'DONE'").count() == 20
+    assert seen.value == 40  # the events, and the quarantine
+
+
 def test_many_short_steps_are_few_jobs(spark, tmp_path):
     """200 steps of two offsets: sent in order, in waves; a down sink stops its partition within a wave."""
     rows = [record("t", p, 1000 * p + i) for i in range(400) for p in range(2)]
