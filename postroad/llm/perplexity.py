@@ -1,8 +1,7 @@
 """Quality classifier: the perplexity of each text under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over bytes. It learns from trusted documents, those labelled good and not toxic; at most `max_trusted`
-of them, chosen by a hash of their ids, so the model's training has a fixed bound. Counting is a job over all
-texts: it gives every n-gram of the corpus with its count in the trusted sample. From the longest n-grams, the
+The model is over bytes. It learns from all trusted documents, those labelled good and not toxic. Counting is a job over all
+texts: it gives every n-gram of the corpus with its count in the trusted ones. From the longest n-grams, the
 levels below follow by sharded groupings (how many different n-grams end in this one), context sums by windows of
 at most 256 rows, and each level's probabilities by a join with the level below. So every n-gram of the corpus has
 its log probability, and a text's perplexity is the sum over its bytes.
@@ -28,7 +27,6 @@ from postroad.llm import grams
 from postroad.llm.shared import lookup, written
 
 ORDER = 5
-MAX_TRUSTED = 20_000
 MIN_ROWS = 100
 REACH = 4.0
 LEAST = 0.4
@@ -37,10 +35,10 @@ NOISE = 4.0
 ACCURACY = 10_000
 
 
-def trusted_ids(labels: DataFrame, key: str = "doc_id", limit: int = MAX_TRUSTED) -> DataFrame:
-    """(id): documents labelled good and not toxic; a bounded sample by hash."""
+def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(id): all documents labelled good and not toxic."""
     good = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("id")).agg(F.min(F.coalesce("quality", F.lit(0))).alias("q"), F.max(F.coalesce("toxic", F.lit(0))).alias("t")).where("q = 1 and t = 0")
-    return good.select("id").orderBy(F.xxhash64("id"), "id").limit(limit)
+    return good.select("id")
 
 
 def _discounts(level: DataFrame, k: int) -> DataFrame:
@@ -88,10 +86,11 @@ def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
     return below.select(F.col("shorter").alias("gram"), F.log10("p_below").alias("value"))
 
 
-def fitted(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def fitted(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER) -> DataFrame:
     """The model of the trusted documents among `df`, with every n-gram of `df`."""
-    ids = trusted_ids(labels, limit=max_trusted)  # at most max_trusted longs, so they go to every task
-    marked = df.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(ids.withColumn("weight", F.lit(1))), "id", "left").select("text", F.coalesce("weight", F.lit(0)).alias("weight"))
+    ids = trusted_ids(labels).withColumn("weight", F.lit(1))
+    # Few ids go to every task, more are joined by shuffling.
+    marked = lookup(df.select(F.col(key).alias("id"), F.col(text).alias("text")), ids, ["id"], salts=8).select("text", F.coalesce("weight", F.lit(0)).alias("weight"))
     return written(model(written(grams.counts(marked, order), "grams"), order), "model")
 
 
@@ -121,21 +120,21 @@ def _judged(measured: DataFrame, limits: DataFrame, lang: str, noise: float) ->
     return rows.withColumn("limit_", F.col("limit_") + noise / F.sqrt("n_bytes"))
 
 
-def judge(df: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER, max_trusted: int = MAX_TRUSTED, min_rows: int = MIN_ROWS, reach: float = REACH, least: float = LEAST, noise: float = NOISE) -> DataFrame:
+def judge(df: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER, min_rows: int = MIN_ROWS, reach: float = REACH, least: float = LEAST, noise: float = NOISE) -> DataFrame:
     """key, lang, n_bytes, bits, perplexity (per byte), threshold (a perplexity) and kept."""
-    measured = written(bits(df, fitted(df, labels, text, key, order, max_trusted), text, (key, lang), order), "bits")
+    measured = written(bits(df, fitted(df, labels, text, key, order), text, (key, lang), order), "bits")
     rows = _judged(measured, written(thresholds(measured, lang, min_rows, reach, least), "limits"), lang, noise)
     return rows.select(key, lang, "n_bytes", "bits", F.pow(F.lit(2.0), "bits").alias("perplexity"), F.pow(F.lit(2.0), "limit_").alias("threshold"), (F.col("bits") <= F.col("limit_")).alias("kept"))
 
 
-def kept(df: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER, max_trusted: int = MAX_TRUSTED, min_rows: int = MIN_ROWS, reach: float = REACH, least: float = LEAST, noise: float = NOISE) -> DataFrame:
+def kept(df: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", order: int = ORDER, min_rows: int = MIN_ROWS, reach: float = REACH, least: float = LEAST, noise: float = NOISE) -> DataFrame:
     """The rows of `df` that pass, in its own columns.
 
     The texts are scored twice, once for the thresholds and once to be judged, so that no copy of them is written.
     """
     at = {c: f"keep_{k}" for k, c in enumerate(df.columns)}
     rows = df.select(*(F.col(f"`{c}`").alias(k) for c, k in at.items()))
-    table = fitted(rows, labels, at[text], at[key], order, max_trusted)
+    table = fitted(rows, labels, at[text], at[key], order)
     measured = written(bits(rows, table, at[text], (at[lang],), order), "bits")
     limits = written(thresholds(measured, at[lang], min_rows, reach, least), "limits")
     judged = _judged(bits(rows, table, at[text], tuple(rows.columns), order), limits, at[lang], noise)

@@ -365,6 +365,15 @@ def test_perplexity(spark, odd, sent):
     same([(r.doc_id, r.bits) for r in found], [(i, b) for (i, _), b in zip(docs, brute.kneser_ney(train, [t for _, t in docs], 4), strict=True)])
 
 
+def test_all_trusted_documents_are_learned_from(spark):
+    labels = spark.range(30_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), (F.col("id") % 10 == 0).cast("int").alias("toxic"))
+    assert perplexity.trusted_ids(labels).count() == 27_000
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("t"), F.col("id")).alias("text"))
+    learned = perplexity.fitted(docs, labels, order=2)
+    seen = {r.gram: r.value for r in learned.collect()}
+    assert seen[(255 << 8) + ord("t")] == max(v for g, v in seen.items() if g >> 8 == 255)
+
+
 def test_classifier(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
     assert perplexity.judge(odd, labels).count() == odd.count()
