@@ -82,11 +82,14 @@ def resolve_distinct_titles(
 ) -> DataFrame:
     """Resolve each distinct title of the whole table once, then look the events' titles up.
 
-    Pays off for few titles that are spread over many tasks. The looked-up titles are written once,
-    measured and joined from there.
+    Pays off for few titles that are spread over many tasks. The distinct titles are written before they are looked up, as the
+    optimizer would test for a match below the grouping, title by title of all events; the looked-up ones are
+    written once, measured and joined from there.
     """
     spark = df.sparkSession
-    titles = df.select("title").where(F.col("title").isNotNull()).distinct()
+    names = shared_dir(spark, "names")
+    df.select("title").where(F.col("title").isNotNull()).distinct().write.parquet(names)
+    titles = spark.read.schema("title string").parquet(names)
     resolved = resolve_topic_table(titles, rules, block, allow_empty=True).where(F.col("topic").isNotNull())
     path = shared_dir(spark, "titles")
     resolved.select("title", "topic").write.parquet(path)

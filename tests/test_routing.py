@@ -171,3 +171,26 @@ def test_dispatch(spark):
         ("r1", "b", "http://example.invalid/", None),
         ("r2", "root", None, "Sink 'nope' not found."),
     ]
+
+
+def test_only_distinct_titles_are_looked_up(spark, monkeypatch):
+    import pyarrow as pa
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(session, text, patterns, answers):
+        @F.arrow_udf("string")
+        def found(texts: pa.Array) -> pa.Array:
+            seen.add(len(texts))
+            return pa.array([answers[0] if t in patterns else None for t in texts.to_pylist()], pa.string())
+
+        return found(text)
+
+    monkeypatch.setattr(routing, "first_match", counting)
+    df = spark.range(20_000, numPartitions=4).select("id", F.concat(F.lit("t"), F.col("id") % 3).alias("title"))
+    rules = spark.createDataFrame([(0, "a", "t0"), (1, "b", "t1")], "rank int, topic string, pattern string")
+    routed = routing.resolve_distinct_titles(df, rules, block=1, spread_by=["id"], max_titles=1)
+    assert {(r.title, r.topic, r.n) for r in routed.groupBy("title", "topic").agg(F.count("*").alias("n")).collect()} == {
+        ("t0", "a", 6667), ("t1", "b", 6667), ("t2", None, 6666)
+    }
+    assert seen.value <= 12
