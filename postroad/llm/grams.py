@@ -20,6 +20,8 @@ from postroad.llm.arrays import Table, chunks, counted, distinct, framed, gram_k
 GATHER = 2_000_000
 #: A table of more n-grams than this (12 bytes each, 20 in memory) is joined and not sent to the tasks.
 SENT = 4_000_000
+#: Bytes of text that a task works on at once; counts and lookups hold some 100 bytes for each of them.
+CHUNK = 250_000
 
 
 def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") -> DataFrame:
@@ -30,6 +32,7 @@ def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
+        size = merged = 0
 
         def handed() -> pa.RecordBatch:
             keys, (sums,) = counted(np.concatenate([k for k, _ in held]), [np.concatenate([c for _, c in held])])
@@ -37,18 +40,20 @@ def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") ->
             return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(sums)], names=["gram", "n"])
 
         for batch in batches:
-            for rows, data, offsets in chunks(batch, 0):
+            for rows, data, offsets in chunks(batch, 0, CHUNK):
                 data, offsets = framed(data, offsets)
                 keys = gram_keys(data, offsets, n)
                 learned = np.repeat(rows.column(1).to_numpy(zero_copy_only=False) > 0, np.diff(offsets))
-                held.append(distinct(keys[learned]))
                 others, _ = distinct(keys[~learned])
-                held.append((others, np.zeros(len(others), np.int64)))
-                if sum(len(k) for k, _ in held) >= GATHER:
+                held += [distinct(keys[learned]), (others, np.zeros(len(others), np.int64))]
+                size += len(held[-1][0]) + len(held[-2][0])
+                # Added up whenever what came since is as much as what was there, or a quarter of GATHER.
+                if size - merged >= max(merged, GATHER // 4):
                     batch_out = handed()
                     if batch_out.num_rows >= GATHER // 2:
                         yield batch_out
                         held.clear()
+                    size = merged = sum(len(k) for k, _ in held)
         if held:
             yield handed()
 
@@ -72,7 +77,7 @@ def scored(df: DataFrame, table: DataFrame, n: int, text: str = "text", keep: tu
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values = Table(*shared.value)
         for batch in batches:
-            for rows, data, offsets in chunks(batch, columns.index(text)):
+            for rows, data, offsets in chunks(batch, columns.index(text), CHUNK):
                 data, offsets = framed(data, offsets)
                 found = values.find(gram_keys(data, offsets, n))
                 total = np.add.reduceat(values.values[found], offsets[:-1])
