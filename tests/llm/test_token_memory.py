@@ -1,5 +1,6 @@
-"""What a worker holds after a task of the tokenizer."""
+"""What a worker of the pipeline holds: after a task of the tokenizer, and of a batch."""
 
+import corpus_pipeline
 import public_tokenizers
 import pyarrow as pa
 from odd_rows import prose
@@ -21,3 +22,14 @@ def test_a_worker_holds_its_memories_as_bytes_between_tasks(spark, monkeypatch):
     monkeypatch.setattr(piece_tokens.Encoder, "encode_segment", lambda self, segment: 1 / 0)  # nothing is forgotten
     again = pa.Table.from_batches(caught[0](iter([batch])))
     assert again == first and sorted(rows, key=lambda r: r["doc_id"]) == first.to_pylist()
+
+
+def test_stages_of_the_pipeline_send_texts_in_small_batches(spark):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "concat('text number ', id) as text")
+    try:
+        corpus_pipeline.near_duplicates(spark, docs, "")
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sum(r.n for r in sizes) == 3000 and max(r.n for r in sizes) <= 1000
