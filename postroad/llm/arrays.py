@@ -123,7 +123,8 @@ class Table:
         self.keys, self.values = keys[order], values[order]
         sizes = np.bincount(bucket.astype(np.int64), minlength=1 << (64 - int(self.shift)))
         self.longest = int(sizes.max()) if len(keys) else 0
-        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32 if len(keys) < 2**31 else np.int64)
+        self.first = np.zeros(len(sizes) + 1, np.int32 if len(keys) < 2**31 else np.int64)
+        np.cumsum(sizes, out=self.first[1:])
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place of each key in `self.keys`, or -1."""

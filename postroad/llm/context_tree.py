@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from postroad.llm import grams
 from postroad.llm.arrays import LOWER, NOT_SPACE, Table, Words, chunks, counted, distinct, framed, gram_keys
@@ -163,43 +164,44 @@ def score(df: DataFrame, text: str = "text", key: str = "doc_id", depth: int = D
     shared = df.sparkSession.sparkContext.broadcast((often.column("word").to_numpy().view(np.uint64), often.column("n").to_numpy().astype(np.float64)))
     of = math.log10(n_all + v_all + 1)
     end = math.log10(ends + 1) - of
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("word", T.LongType()), T.StructField("n", T.LongType()), T.StructField("doc", T.StructType([T.StructField("key", df.schema[key].dataType), *(T.StructField(c, k) for c, k in (("held_out", T.BooleanType()), ("n_bytes", T.LongType()), ("total", T.DoubleType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base", T.DoubleType())))]))])
+    schema_doc = to_arrow_type(schema["doc"].dataType)
+    held: list[Table] = []
+
+    def parsed(ids: np.ndarray, rows: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not held:
+            held.append(Table(*shared.value))
+        frequent = held[0]
+        words = Words(LOWER[data], offsets, NOT_SPACE)
+        hashes = words.hashes()
+        found = frequent.find(hashes)
+        known = found >= 0
+        logs = np.where(known, np.log10(frequent.values[found] + 1) - of, 0.0) if len(frequent.values) else np.zeros(len(words))
+        base = np.bincount(words.row, logs, rows.num_rows) + end
+        n_known = np.bincount(words.row[known], minlength=rows.num_rows) + (ends > 0)
+        doc = pa.StructArray.from_arrays([*rows.columns, pa.array(words.count + 1), pa.array(n_known), pa.array(base)], names=["key", "held_out", "n_bytes", "total", "n_tokens", "n_known", "base"])
+        # A row for the text; its word is its own number, so that these rows are dealt out evenly.
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), doc.cast(schema_doc)], names=["row", "word", "n", "doc"])
+        rare, of_row = hashes[~known], ids[words.row[~known]]
+        yield pa.RecordBatch.from_arrays([pa.array(of_row), pa.array(rare.view(np.int64)), pa.array(np.ones(len(rare), np.int64)), pa.nulls(len(rare), schema_doc)], names=["row", "word", "n", "doc"])
+
     if table.count() > sent:
-        named = grams.scored(named, table, depth + 1, "text", ("key", "text", "held_out"), sent)
-        grams_sent = None
+        rows = grams.joined(named, table, depth + 1, "text", ("key", "held_out"), then=parsed, schema=schema)
     else:
-        rows = table.toArrow()
-        named = named.select("*", F.lit(None).cast("long").alias("n_bytes"), F.lit(None).cast("double").alias("total"))
-        grams_sent = df.sparkSession.sparkContext.broadcast((rows.column("gram").to_numpy().view(np.uint64), rows.column("value").to_numpy()))
-    named = named.select(F.monotonically_increasing_id().alias("row"), "key", "held_out", "n_bytes", "total", "text")
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("word", T.LongType()), T.StructField("n", T.LongType()), T.StructField("doc", T.StructType([T.StructField("key", df.schema[key].dataType), *(T.StructField(c, k) for c, k in (("held_out", T.BooleanType()), ("n_bytes", T.LongType()), ("total", T.DoubleType()), ("n_tokens", T.LongType()), ("n_known", T.LongType()), ("base", T.DoubleType())))]))])
+        of_grams = table.toArrow()
+        grams_sent = df.sparkSession.sparkContext.broadcast((of_grams.column("gram").to_numpy().view(np.uint64), of_grams.column("value").to_numpy()))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        values, frequent = Table(*grams_sent.value) if grams_sent else None, Table(*shared.value)
-        for batch in batches:
-            for rows, data, offsets in chunks(batch, 5):
-                if values:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            values = Table(*grams_sent.value)
+            for batch in batches:
+                for rows, data, offsets in chunks(batch, 3):
                     whole, at = framed(data, offsets)
-                    n_bytes, total = np.diff(at), np.add.reduceat(values.values[values.find(gram_keys(whole, at, depth + 1))], at[:-1])
-                else:
-                    n_bytes, total = rows.column(3).to_numpy(), rows.column(4).to_numpy()
-                words = Words(LOWER[data], offsets, NOT_SPACE)
-                hashes = words.hashes()
-                found = frequent.find(hashes)
-                known = found >= 0
-                logs = np.where(known, np.log10(frequent.values[found] + 1) - of, 0.0) if len(frequent.values) else np.zeros(len(words))
-                base = np.bincount(words.row, logs, rows.num_rows) + end
-                n_known = np.bincount(words.row[known], minlength=rows.num_rows) + (ends > 0)
-                ids = rows.column(0).to_numpy()
-                doc = pa.StructArray.from_arrays([rows.column(1), rows.column(2), pa.array(n_bytes), pa.array(total), pa.array(words.count + 1), pa.array(n_known), pa.array(base)], names=["key", "held_out", "n_bytes", "total", "n_tokens", "n_known", "base"])
-                # A row for the text; its word is its own number, so that these rows are dealt out evenly.
-                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), doc.cast(schema_doc)], names=["row", "word", "n", "doc"])
-                rare, of_row = hashes[~known], ids[words.row[~known]]
-                yield pa.RecordBatch.from_arrays([pa.array(of_row), pa.array(rare.view(np.int64)), pa.array(np.ones(len(rare), np.int64)), pa.nulls(len(rare), schema_doc)], names=["row", "word", "n", "doc"])
-
-    from pyspark.sql.pandas.types import to_arrow_type
+                    total = np.add.reduceat(values.values[values.find(gram_keys(whole, at, depth + 1))], at[:-1])
+                    scored = pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), pa.array(np.diff(at)), pa.array(total)], names=["key", "held_out", "n_bytes", "total"])
+                    yield from parsed(rows.column(0).to_numpy(), scored, data, offsets)
 
-    schema_doc = to_arrow_type(schema["doc"].dataType)
-    parts = named.mapInArrow(run, schema).join(words.where(~frequent).withColumnRenamed("n", "c"), "word", "left")
+        rows = named.select(F.monotonically_increasing_id().alias("row"), "key", "held_out", "text").mapInArrow(run, schema)
+    parts = rows.join(words.where(~frequent).withColumnRenamed("n", "c"), "word", "left")
     log = F.col("n") * (F.log10(F.coalesce("c", F.lit(0)) + 1) - F.lit(of))
     summed = parts.groupBy("row").agg(F.max("doc").alias("doc"), F.sum(log).alias("rare"), F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("rare_known"))
     return summed.select(

@@ -6,11 +6,12 @@ below farther ones. Before a text stand bytes 255, and a byte 255 closes it; UTF
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,10 +19,12 @@ from postroad.llm.arrays import Table, chunks, counted, distinct, framed, gram_k
 
 #: Distinct n-grams that a task gathers before it hands them on.
 GATHER = 2_000_000
-#: A table of more n-grams than this (12 bytes each, 20 in memory) is joined and not sent to the tasks.
-SENT = 4_000_000
+#: A table of more n-grams than this (16 bytes each, 20 in memory) is joined and not sent to the tasks: the driver holds it some four times.
+SENT = 1_000_000
 #: Bytes of text that a task works on at once; counts and lookups hold some 100 bytes for each of them.
 CHUNK = 250_000
+#: Bytes of text in a part of the texts whose n-grams are looked up together, and that a task holds to deal them out to parts.
+PART, PACK = 32_000_000, 16_000_000
 
 
 def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") -> DataFrame:
@@ -65,11 +68,11 @@ def scored(df: DataFrame, table: DataFrame, n: int, text: str = "text", keep: tu
     """The kept columns, `n_bytes` (with the closing one) and `total`, the sum of the n-grams' values.
 
     `table` (gram, value) has a value for every n-gram of the texts. Up to `sent` n-grams go to the tasks as an array
-    table; more are joined by shuffling with the n-grams of each text.
+    table; more are joined by shuffling with the n-grams of each part of the texts.
     """
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_bytes", T.LongType()), T.StructField("total", T.DoubleType())])
     if table.count() > sent:
-        return _joined(df, table, n, text, keep, value)
+        return joined(df, table, n, text, keep, value)
     columns = keep if text in keep else (*keep, text)
     rows = table.select("gram", F.col(value).cast("double").alias("value")).toArrow()
     shared = df.sparkSession.sparkContext.broadcast((rows.column("gram").to_numpy().view(np.uint64), rows.column("value").to_numpy()))
@@ -86,22 +89,114 @@ def scored(df: DataFrame, table: DataFrame, n: int, text: str = "text", keep: tu
     return df.select(*columns).mapInArrow(run, schema)
 
 
-def _joined(df: DataFrame, table: DataFrame, n: int, text: str, keep: tuple[str, ...], value: str) -> DataFrame:
-    """As `scored`, for a table of any size: the distinct n-grams of each text meet their values."""
-    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.struct(*keep).alias("_keep"), F.col(text).alias("_text"))
-    schema = T.StructType([T.StructField("_row", T.LongType()), T.StructField("_keep", rows.schema["_keep"].dataType), T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
+def joined(df: DataFrame, table: DataFrame, n: int, text: str, keep: tuple[str, ...], value: str = "value", part: int = PART, then: Callable | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """As `scored`, for a table of any size: the distinct n-grams of each part of the texts meet their values, and these the part.
+
+    Rows are dealt to parts by a hash of all their columns, so a part holds the same rows whenever it is computed. The texts
+    move once, compressed, and of the n-grams a row for each part that has them; nothing goes through the driver.
+
+    `then` makes rows of `schema` of a batch in the same task: it gets a number for each row (the same in no other batch), the
+    kept columns, n_bytes and total as a batch, and the bytes and offsets of the texts.
+    """
+    ways = max(1, -(-(df.agg(F.sum(F.octet_length(text))).first()[0] or 0) // part))
+    labels = _labels(df.sparkSession, ways)
+    hashed = F.xxhash64(*(F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind))
+    columns = keep if text in keep else (*keep, text)
+    place = columns.index(text)
+    fields = T.StructType([*(df.schema[c] for c in keep), T.StructField("n_bytes", T.LongType()), T.StructField("total", T.DoubleType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+
+        def handed() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held)
+            held.clear()
+            rows = rows.take(np.argsort(rows.column(0).to_numpy(), kind="stable")).combine_chunks()
+            own = labels[rows.column(0).to_numpy()]
+            heads = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])).tolist()
+            packed = [_packed(rows.slice(a, b - a).remove_column(0)) for a, b in zip(heads, [*heads[1:], len(own)], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(own[heads]), pa.array(packed, pa.binary())], names=["part", "texts"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, data, offsets in chunks(batch, 2, 200_000):
-                data, offsets = framed(data, offsets)
-                keys = gram_keys(data, offsets, n)
-                for k in range(rows.num_rows):
-                    grams, times = np.unique(keys[offsets[k] : offsets[k + 1]], return_counts=True)
-                    at = pa.array(np.full(len(grams), k))
-                    first = pa.array(np.where(np.arange(len(grams)) == 0, k, -1), mask=np.arange(len(grams)) > 0)
-                    yield pa.RecordBatch.from_arrays([rows.column(0).take(at), rows.column(1).take(first), pa.array(grams.view(np.int64)), pa.array(times.astype(np.int64))], names=schema.names)
-
-    pairs = rows.mapInArrow(run, schema).join(table.select("gram", F.col(value).cast("double").alias("value")), "gram", "left")
-    summed = pairs.groupBy("_row").agg(F.max("_keep").alias("_keep"), F.sum("n").alias("n_bytes"), F.sum(F.col("n") * F.col("value")).alias("total"))
-    return summed.select("_keep.*", "n_bytes", "total")
+            for rows, data, _ in chunks(batch, place + 1, PACK):
+                held.append(rows)
+                size += len(data)
+                if size >= PACK:
+                    yield handed()
+                    size = 0
+        if held:
+            yield handed()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+        merged: dict[int, int] = {}
+        for batch in batches:
+            for own, packed in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = held.setdefault(own, [])
+                keys += [distinct(gram_keys(*framed(data, offsets), n))[0] for _, data, offsets in _unpacked(packed.as_buffer(), place)]
+                if sum(map(len, keys)) - merged.get(own, 0) >= max(merged.get(own, 0), GATHER // 4):
+                    keys[:] = [distinct(np.concatenate(keys))[0]]
+                    merged[own] = len(keys[0])
+        for own, keys in held.items():
+            grams = distinct(np.concatenate(keys))[0]
+            for first in range(0, len(grams), GATHER // 4):
+                some = grams[first : first + GATHER // 4]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), own, np.int32)), pa.array(some.view(np.int64))], names=["part", "gram"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, values, packed = [], [], []
+        row = 0
+        for batch in batches:
+            row = batch.column(0)[0].as_py() << 33
+            texts = batch.column(3).is_valid()
+            packed += batch.column(3).filter(texts).to_pylist()
+            known = batch.filter(pc.invert(texts))
+            keys.append(known.column(1).to_numpy())
+            values.append(known.column(2).to_numpy())
+        found_ = Table(np.concatenate(keys).view(np.uint64), np.concatenate(values))
+        keys.clear()
+        values.clear()
+        for texts in sorted(packed):
+            for rows, data, offsets in _unpacked(texts, place):
+                whole, at = framed(data, offsets)
+                found = found_.find(gram_keys(whole, at, n))
+                if (found < 0).any():
+                    raise ValueError("the table has no value for an n-gram of the texts")
+                scored_ = pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], pa.array(np.diff(at)), pa.array(np.add.reduceat(found_.values[found], at[:-1]))], names=fields.names)
+                if then:
+                    yield from then(np.arange(row, row + rows.num_rows), scored_, data, offsets)
+                else:
+                    yield scored_
+                row += rows.num_rows
+        pa.default_memory_pool().release_unused()
+
+    parts = df.select(F.pmod(hashed, F.lit(ways)).cast("int").alias("_part"), *columns).mapInArrow(pack, "part int, texts binary").repartition(ways, "part")
+    asked = parts.mapInArrow(ask, "part int, gram long")
+    told = asked.join(table.select("gram", F.col(value).cast("double").alias("value")), "gram").repartition(ways, "part")
+    # Both sides lie by part already, so Spark puts them together without a further exchange.
+    met = told.select("part", "gram", "value", F.lit(None).cast("binary").alias("texts")).union(parts.select("part", F.lit(None).cast("long"), F.lit(None).cast("double"), "texts"))
+    return met.groupBy("part").applyInArrow(add, schema or fields)
+
+
+def _labels(spark: SparkSession, ways: int) -> np.ndarray:
+    """Numbers for so many parts, of which each, where possible, goes to a partition of its own."""
+    ids = spark.range(32 * ways).select(F.col("id").cast("int").alias("id"))
+    found = ids.groupBy(F.pmod(F.hash("id"), F.lit(ways)).alias("at")).agg(F.min("id").alias("id")).toArrow()  # a row for each part
+    labels = np.arange(32 * ways, 33 * ways, dtype=np.int32)
+    labels[found.column("at").to_numpy()] = found.column("id").to_numpy()
+    return labels
+
+
+def _packed(rows: pa.Table) -> bytes:
+    """Rows as a compressed Arrow stream."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(packed: bytes | pa.Buffer, column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """As `chunks` gives them."""
+    for batch in pa.ipc.open_stream(packed):
+        yield from chunks(batch, column, CHUNK)
