@@ -27,12 +27,22 @@ CHUNK = 250_000
 PART, PACK = 32_000_000, 16_000_000
 
 
-def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") -> DataFrame:
+def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight", ids: np.ndarray | None = None) -> DataFrame:
     """(gram, n): every n-gram of the texts, and how often it occurs in rows of weight 1; weight 0 rows add n-grams without counts.
 
-    Each task adds up as it goes, so about as many rows are shuffled as there are distinct n-grams in a task.
+    With `ids` (sorted numbers, sent to the tasks at 8 bytes each), rows of which the column `weight` is one of them are of weight 1. Each task adds up as it goes, so about as many rows are shuffled as there are distinct n-grams in a task.
     """
 
+    shared = None if ids is None else df.sparkSession.sparkContext.broadcast(ids)
+
+    def chosen(column: pa.Array) -> np.ndarray:
+        if shared is None:
+            return column.to_numpy(zero_copy_only=False) > 0
+        asked, known = pc.fill_null(column, 0).to_numpy(), shared.value
+        if not len(known):
+            return np.zeros(len(asked), bool)
+        return (known[np.minimum(np.searchsorted(known, asked), len(known) - 1)] == asked) & column.is_valid().to_numpy(zero_copy_only=False)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = merged = 0
@@ -46,7 +56,7 @@ def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") ->
             for rows, data, offsets in chunks(batch, 0, CHUNK):
                 data, offsets = framed(data, offsets)
                 keys = gram_keys(data, offsets, n)
-                learned = np.repeat(rows.column(1).to_numpy(zero_copy_only=False) > 0, np.diff(offsets))
+                learned = np.repeat(chosen(rows.column(1)), np.diff(offsets))
                 others, _ = distinct(keys[~learned])
                 held += [distinct(keys[learned]), (others, np.zeros(len(others), np.int64))]
                 size += len(held[-1][0]) + len(held[-2][0])
@@ -60,7 +70,7 @@ def counts(df: DataFrame, n: int, text: str = "text", weight: str = "weight") ->
         if held:
             yield handed()
 
-    parts = df.select(text, F.col(weight).cast("int")).mapInArrow(run, "gram long, n long")
+    parts = df.select(text, F.col(weight).cast("int" if ids is None else "long")).mapInArrow(run, "gram long, n long")
     return parts.groupBy("gram").agg(F.sum("n").alias("n"))
 
 

@@ -20,8 +20,10 @@ rows is. An empty table gives no rows.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from postroad.llm import grams
 from postroad.llm.shared import lookup, written
@@ -33,6 +35,8 @@ LEAST = 0.4
 NOISE = 4.0
 #: Relative error of the quantiles' ranks: one in this many.
 ACCURACY = 10_000
+#: Trusted ids, if numbers, that go to the tasks as an array of 8 bytes each; a join would hold some 100 bytes of each in the driver.
+SENT_IDS = 1_500_000
 
 
 def trusted_ids(labels: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -88,10 +92,15 @@ def model(counted: DataFrame, order: int = ORDER) -> DataFrame:
 
 def fitted(df: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", order: int = ORDER) -> DataFrame:
     """The model of the trusted documents among `df`, with every n-gram of `df`."""
-    ids = trusted_ids(labels).withColumn("weight", F.lit(1))
-    # Few ids go to every task, more are joined by shuffling.
-    marked = lookup(df.select(F.col(key).alias("id"), F.col(text).alias("text")), ids, ["id"], salts=8).select("text", F.coalesce("weight", F.lit(0)).alias("weight"))
-    return written(model(written(grams.counts(marked, order), "grams"), order), "model")
+    ids, named = trusted_ids(labels), df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    if isinstance(ids.schema["id"].dataType, T.IntegralType) and ids.schema["id"].dataType == named.schema["id"].dataType and ids.count() <= SENT_IDS:
+        known = np.sort(ids.select(F.col("id").cast("long")).toArrow().column(0).to_numpy())
+        found = grams.counts(named, order, weight="id", ids=known)
+    else:
+        # Few ids go to every task, more are joined by shuffling.
+        marked = lookup(named, ids.withColumn("weight", F.lit(1)), ["id"], salts=8)
+        found = grams.counts(marked.select("text", F.coalesce("weight", F.lit(0)).alias("weight")), order)
+    return written(model(written(found, "grams"), order), "model")
 
 
 def bits(df: DataFrame, table: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), order: int = ORDER, sent: int = grams.SENT) -> DataFrame:

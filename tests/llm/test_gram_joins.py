@@ -6,7 +6,7 @@ import pytest
 from odd_rows import prose
 from pyspark.sql import functions as F
 
-from postroad.llm import grams
+from postroad.llm import grams, perplexity
 from postroad.llm.arrays import chunks, distinct, framed, gram_keys
 
 
@@ -60,3 +60,21 @@ def test_the_driver_holds_no_table_of_more_than_a_million(spark, monkeypatch):
     kept = type(df).toArrow
     monkeypatch.setattr(type(df), "toArrow", lambda self: kept(self) if self.columns == ["at", "id"] else pytest.fail("the table goes to the driver"))
     assert grams.scored(df, table, 5).count() == 1
+
+
+def test_trusted_ids_go_to_the_tasks_as_numbers(spark):
+    docs = spark.createDataFrame([(1, "aa"), (2, "bb"), (2, "cc"), (None, "dd"), (7, None), (0, "ee"), (-3, "ff")], "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1, 0), (7, 1, 0), (-3, 1, None), (1, 0, 0), (None, 1, 0), (99, 1, 0)], "doc_id long, quality int, toxic int")
+    of = lambda found: sorted((r.gram, r.value) for r in found.collect())
+    numbers = perplexity.fitted(docs, labels, order=2)
+    texts = perplexity.fitted(docs.withColumn("doc_id", F.col("doc_id").cast("string")), labels.withColumn("doc_id", F.col("doc_id").cast("string")), order=2)
+    assert of(numbers) == of(texts) and len(of(numbers)) == 19
+    assert of(perplexity.fitted(docs, labels.where("quality = 0"), order=2)) != of(numbers)
+    caught = []
+    kept = grams.counts
+    try:
+        grams.counts = lambda df, *more, **options: caught.append(df) or kept(df, *more, **options)
+        perplexity.fitted(docs, labels, order=2)
+    finally:
+        grams.counts = kept
+    assert not [x for x in nodes(caught[0]._jdf.queryExecution().executedPlan()) if "Join" in x.nodeName()]
